@@ -71,3 +71,57 @@ scoring AS (SELECT * EXCLUDE (posted_rate) FROM clean WHERE date >= DATE '2001-0
 
 def oracle_clean(body: str, ctes: str = "") -> str:
     return oracle(body, CLEAN_CTE + ((",\n" + ctes) if ctes.strip() else ""))
+
+
+# Built feature columns (P13) in SQL over a cleaned relation, rounded to 6 places.
+FEATURES_SQL = """pickup, delivery, equipment, round(pickup_lat, 6) AS pickup_lat, round(pickup_lon, 6) AS pickup_lon,
+  round(delivery_lat, 6) AS delivery_lat, round(delivery_lon, 6) AS delivery_lon, round(distance, 6) AS distance,
+  round(weight, 6) AS weight, round(market_index, 6) AS market_index, round(quote_signal, 6) AS quote_signal,
+  round(sin(2 * pi() * (dayofyear(date) - 1) / dayofyear(make_date(year(date), 12, 31))), 6) AS doy_sin,
+  round(cos(2 * pi() * (dayofyear(date) - 1) / dayofyear(make_date(year(date), 12, 31))), 6) AS doy_cos,
+  round(sin(2 * pi() * (isodow(date) - 1) / 7.0), 6) AS dow_sin,
+  round(cos(2 * pi() * (isodow(date) - 1) / 7.0), 6) AS dow_cos,
+  CASE WHEN isodow(date) - 1 >= 5 THEN 1.0 ELSE 0.0 END AS is_weekend,
+  round(2 * 3958.7613 * asin(sqrt(least(greatest(
+     pow(sin((radians(delivery_lat) - radians(pickup_lat)) / 2), 2)
+     + cos(radians(pickup_lat)) * cos(radians(delivery_lat)) * pow(sin((radians(delivery_lon) - radians(pickup_lon)) / 2), 2),
+     0.0), 1.0))), 6) AS haversine_miles,
+  round(sin(atan2(sin(radians(delivery_lon) - radians(pickup_lon)) * cos(radians(delivery_lat)),
+     cos(radians(pickup_lat)) * sin(radians(delivery_lat)) - sin(radians(pickup_lat)) * cos(radians(delivery_lat)) * cos(radians(delivery_lon) - radians(pickup_lon)))), 6) AS bearing_sin,
+  round(cos(atan2(sin(radians(delivery_lon) - radians(pickup_lon)) * cos(radians(delivery_lat)),
+     cos(radians(pickup_lat)) * sin(radians(delivery_lat)) - sin(radians(pickup_lat)) * cos(radians(delivery_lat)) * cos(radians(delivery_lon) - radians(pickup_lon)))), 6) AS bearing_cos,
+  round(delivery_lon - pickup_lon, 6) AS lon_delta, round(delivery_lat - pickup_lat, 6) AS lat_delta,
+  round(CASE WHEN distance IS NOT NULL THEN ln(1 + greatest(distance, 0)) END, 6) AS log_distance,
+  round(CASE WHEN distance > 0 THEN weight / distance END, 6) AS weight_per_mile,
+  CASE WHEN weight IS NULL THEN 1.0 ELSE 0.0 END AS weight_is_missing,
+  CASE WHEN market_index IS NULL THEN 1.0 ELSE 0.0 END AS market_index_is_missing
+"""
+
+
+def _unround(sql: str) -> str:
+    """Drop ``round(<expr>, 6)`` wrappers (for statistics computed on exact values)."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        depth, k = 0, j + len("round")
+        last_comma = None
+        while True:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            elif ch == "," and depth == 1:
+                last_comma = k
+            k += 1
+        out.append(_unround(sql[j + len("round("):last_comma]))
+        i = k + 1
+
+
+FEATURES_RAW_SQL = _unround(FEATURES_SQL)

@@ -12,7 +12,7 @@ from loadlab.config import DEFAULT
 from loadlab.functions import cleaning as C
 from loadlab.functions import features as FE
 from loadlab.plans import flagship
-from loadlab.plans.common import clean, oracle, oracle_clean, rounded
+from loadlab.plans.common import FEATURES_SQL, clean, oracle, oracle_clean, rounded
 from loadlab.plans.registry import register
 from loadlab.sources import tables
 
@@ -180,28 +180,6 @@ def f18_back_transform(spark, sf):
     return rounded(df.select("load_id", C.back_transform(F.col("distance") * 2.0 - 150.0, 1.0124, 1.0).alias("adjusted")))
 
 
-@register("p13_feature_matrix", oracle_clean("""
-SELECT load_id, pickup, delivery, equipment, round(pickup_lat, 6) AS pickup_lat, round(pickup_lon, 6) AS pickup_lon,
-  round(delivery_lat, 6) AS delivery_lat, round(delivery_lon, 6) AS delivery_lon, round(distance, 6) AS distance,
-  round(weight, 6) AS weight, round(market_index, 6) AS market_index, round(quote_signal, 6) AS quote_signal,
-  round(sin(2 * pi() * (dayofyear(date) - 1) / dayofyear(make_date(year(date), 12, 31))), 6) AS doy_sin,
-  round(cos(2 * pi() * (dayofyear(date) - 1) / dayofyear(make_date(year(date), 12, 31))), 6) AS doy_cos,
-  round(sin(2 * pi() * (isodow(date) - 1) / 7.0), 6) AS dow_sin,
-  round(cos(2 * pi() * (isodow(date) - 1) / 7.0), 6) AS dow_cos,
-  CASE WHEN isodow(date) - 1 >= 5 THEN 1.0 ELSE 0.0 END AS is_weekend,
-  round(2 * 3958.7613 * asin(sqrt(least(greatest(
-     pow(sin((radians(delivery_lat) - radians(pickup_lat)) / 2), 2)
-     + cos(radians(pickup_lat)) * cos(radians(delivery_lat)) * pow(sin((radians(delivery_lon) - radians(pickup_lon)) / 2), 2),
-     0.0), 1.0))), 6) AS haversine_miles,
-  round(sin(atan2(sin(radians(delivery_lon) - radians(pickup_lon)) * cos(radians(delivery_lat)),
-     cos(radians(pickup_lat)) * sin(radians(delivery_lat)) - sin(radians(pickup_lat)) * cos(radians(delivery_lat)) * cos(radians(delivery_lon) - radians(pickup_lon)))), 6) AS bearing_sin,
-  round(cos(atan2(sin(radians(delivery_lon) - radians(pickup_lon)) * cos(radians(delivery_lat)),
-     cos(radians(pickup_lat)) * sin(radians(delivery_lat)) - sin(radians(pickup_lat)) * cos(radians(delivery_lat)) * cos(radians(delivery_lon) - radians(pickup_lon)))), 6) AS bearing_cos,
-  round(delivery_lon - pickup_lon, 6) AS lon_delta, round(delivery_lat - pickup_lat, 6) AS lat_delta,
-  round(CASE WHEN distance IS NOT NULL THEN ln(1 + greatest(distance, 0)) END, 6) AS log_distance,
-  round(CASE WHEN distance > 0 THEN weight / distance END, 6) AS weight_per_mile,
-  CASE WHEN weight IS NULL THEN 1.0 ELSE 0.0 END AS weight_is_missing,
-  CASE WHEN market_index IS NULL THEN 1.0 ELSE 0.0 END AS market_index_is_missing
-FROM clean"""))
+@register("p13_feature_matrix", oracle_clean("SELECT load_id, " + FEATURES_SQL + " FROM clean"))
 def p13_feature_matrix(spark, sf):
     return rounded(FE.build_features(clean(spark, sf), keep=("load_id",)))
