@@ -26,7 +26,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # Importing the job modules fills the registry.
-    from loadlab.plans import jobs_core, jobs_encode, jobs_errors, jobs_inference, jobs_models, jobs_quality, jobs_splits, jobs_stats  # noqa: F401
+    from loadlab.plans import jobs_core, jobs_encode, jobs_errors, jobs_inference, jobs_models, jobs_quality, jobs_splits, jobs_stats, jobs_streaming  # noqa: F401
 
 
 def jobs() -> dict[str, Job]:
