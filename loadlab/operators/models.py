@@ -11,7 +11,8 @@ from __future__ import annotations
 import random
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -108,8 +109,14 @@ def fit(spec: ModelSpec, train: DataFrame, cfg: JobConfig = DEFAULT, params: dic
         n_train, label_std = st["n"], st["s"]
     assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="error")
     reg = _regressor(spec, params, n_train, label_std)
-    head = Pipeline(stages=[assembler, reg]).fit(enc_model.transform(labelled))
-    return FittedModel(spec, PipelineModel(stages=[enc_model, *head.stages]))
+    # The assembled training matrix is read once per solver pass: keep it
+    # (memory, spilling to disk) for the duration of the fit only.
+    matrix = assembler.transform(enc_model.transform(labelled)).select("features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        reg_model = reg.fit(matrix)
+    finally:
+        matrix.unpersist()
+    return FittedModel(spec, PipelineModel(stages=[enc_model, assembler, reg_model]))
 
 
 def load(spec: ModelSpec, path: str) -> FittedModel:
