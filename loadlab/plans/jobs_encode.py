@@ -141,3 +141,54 @@ def g3_null_counts_processed(spark, sf):
     model = _fit(spark, sf)
     out = EN.transform_guarded(model, tables.holdout(spark, sf))
     return EN.null_counts(out, model.feature_names())
+
+
+# --- fixed values: feature family by name (first matching rule wins) ---
+FAMILY_RULES = (
+    ("one-hot", ("pickup_", "delivery_", "equipment_"), "onehot"),
+    ("unknown flag", ("_is_unknown",), "suffix"),
+    ("missing flag", ("_is_missing",), "suffix"),
+    ("calendar", ("doy_", "dow_", "is_weekend", "days_since"), "prefix"),
+    ("geometry", ("haversine", "bearing", "lon_delta", "lat_delta", "pickup_lat", "pickup_lon",
+                  "delivery_lat", "delivery_lon"), "prefix"),
+    ("interaction", ("log_distance", "weight_per_mile"), "prefix"),
+)
+# --- end fixed values ---
+
+
+@register("p15_feature_families")
+def p15_feature_families(spark, sf):
+    """Family label per processed feature (when/otherwise on the name), then the list per family."""
+    model = _fit(spark, sf)
+    names = spark.createDataFrame([(n,) for n in model.feature_names()], "feature string")
+    f = F.col("feature")
+    label = F.lit("market / other")
+    for fam, keys, how in reversed(FAMILY_RULES):
+        if how == "suffix":
+            cond = F.lit(False)
+            for k in keys:
+                cond = cond | f.endswith(k)
+        elif how == "onehot":
+            cond = F.lit(False)
+            for k in keys:
+                cond = cond | (f.startswith(k) & ~f.endswith("_lat") & ~f.endswith("_lon") & ~f.endswith("_is_unknown"))
+        else:
+            cond = F.lit(False)
+            for k in keys:
+                cond = cond | f.startswith(k)
+        label = F.when(cond, F.lit(fam)).otherwise(label)
+    return names.withColumn("family", label).groupBy("family").agg(
+        F.count(F.lit(1)).alias("n_features"), F.sort_array(F.collect_list("feature")).alias("features"))
+
+
+@register("s6_processed_matrix_write")
+def s6_processed_matrix_write(spark, sf):
+    """Write the processed holdout matrix (with id and target) as parquet partitioned by month; read back."""
+    from loadlab.functions.features import month_label
+    from loadlab.sources import files
+    model = _fit(spark, sf)
+    h = tables.holdout(spark, sf)
+    out = model.transform(h.withColumn("month", month_label("date")))
+    m = h.select("load_id", month_label("date").alias("month"))
+    path = files.write_parquet(out.join(m, "load_id"), files.scratch_path(spark, "processed"), ["month"])
+    return spark.read.parquet(path).groupBy("month").agg(F.count(F.lit(1)).alias("rows"))

@@ -122,3 +122,27 @@ SELECT model, round(avg(mae), 6) AS cv_mae_mean, round(stddev_pop(mae), 6) AS cv
 FROM (SELECT model, fold, avg(abs(y - p)) AS mae FROM scored GROUP BY model, fold) GROUP BY model""", CV_CTES))
 def a45_baseline_cv_summary(spark, sf):
     return rounded(EV.cv_summary(EV.cv_fold_metrics(_dev(spark, sf))))
+
+
+@register("t4_j12_baseline_ranking", oracle("""
+SELECT h.model, h.mae, h.rmse, h.r2, h.mape, h.n, c.cv_mae_mean, c.cv_mae_std, c.n_folds,
+  cast(row_number() OVER (ORDER BY h.mae, h.model) AS INTEGER) AS rank,
+  round(100.0 * (max(h.mae) FILTER (WHERE h.model = 'Mean (constant)') OVER () - h.mae)
+        / max(h.mae) FILTER (WHERE h.model = 'Mean (constant)') OVER (), 6) AS improvement_pct
+FROM (SELECT model, """ + METRICS_COLS + """ FROM hscored GROUP BY model) h
+LEFT JOIN (SELECT model, round(avg(mae), 6) AS cv_mae_mean, round(stddev_pop(mae), 6) AS cv_mae_std, count(*) AS n_folds
+           FROM (SELECT model, fold, avg(abs(y - p)) AS mae FROM scored GROUP BY model, fold) GROUP BY model) c
+ON h.model = c.model""", CV_CTES + """,
+htrain AS (SELECT *, 1 AS k FROM loads WHERE date < DATE '2000-07-01'),
+hhold AS (SELECT *, 1 AS k FROM loads WHERE date >= DATE '2000-07-01' AND date < DATE '2001-01-01'),
+""" + BASELINE_PRED_SQL.format(k="k", train="htrain", test="hhold").replace("st AS", "hst AS").replace(
+    "gr AS", "hgr AS").replace("jt AS", "hjt AS").replace("preds AS", "hpreds AS").replace("scored AS", "hscored AS")
+    .replace("JOIN st ON", "JOIN hst st ON").replace("JOIN gr ON", "JOIN hgr gr ON").replace("FROM jt", "FROM hjt")
+    .replace("FROM preds", "FROM hpreds")))
+def t4_j12_baseline_ranking(spark, sf):
+    hold = EV.holdout_table(tables.train(spark, sf), tables.holdout(spark, sf))
+    cv = rounded(EV.cv_summary(EV.cv_fold_metrics(_dev(spark, sf))))
+    table = EV.improvement_vs(rounded(hold), "Mean (constant)")
+    from pyspark.sql import Window
+    ranked = table.join(cv, "model", "left").withColumn("rank", F.row_number().over(Window.orderBy("mae", "model")))
+    return rounded(ranked)

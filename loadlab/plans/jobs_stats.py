@@ -200,3 +200,33 @@ FROM train, (SELECT quantile_cont(posted_rate, 0.25) AS q1, quantile_cont(posted
                     quantile_cont(posted_rate, 0.75) AS q3 FROM train) q""", DEV_CTE))
 def a39_box_stats(spark, sf):
     return rounded(S.box_stats(_train(spark, sf), "posted_rate"))
+
+
+@register("a36_prediction_stats", oracle("""
+SELECT count(p) AS count, round(min(p), 6) AS min, round(quantile_cont(p, 0.05), 6) AS p05,
+  round(quantile_cont(p, 0.5), 6) AS median, round(avg(p), 6) AS mean, round(quantile_cont(p, 0.95), 6) AS p95,
+  round(max(p), 6) AS max, round(stddev_samp(p), 6) AS std
+FROM (SELECT CASE WHEN p0 IS NULL OR isnan(p0) OR isinf(p0) OR p0 < 1.0 THEN 1.0 ELSE p0 END AS p
+      FROM (SELECT coalesce(s.distance, 0) * coalesce(r.r, g.r) AS p0 FROM scoring s
+            LEFT JOIN rates r ON s.equipment = r.equipment CROSS JOIN g))""",
+    DEV_CTE + """,
+scoring AS (SELECT * FROM loads WHERE date >= DATE '2001-01-01'),
+rates AS (SELECT equipment, quantile_cont(CASE WHEN distance > 0 THEN posted_rate / distance END, 0.5) AS r
+          FROM dev WHERE equipment IS NOT NULL GROUP BY equipment),
+g AS (SELECT quantile_cont(CASE WHEN distance > 0 THEN posted_rate / distance END, 0.5) AS r FROM dev)"""))
+def a36_prediction_stats(spark, sf):
+    from loadlab.functions.cleaning import floor_predictions
+    from loadlab.operators.baselines import fit_rate_per_mile
+    model = fit_rate_per_mile(_dev(spark, sf), "equipment")
+    p = model.transform(tables.scoring(spark, sf), "p0").withColumn("predicted", floor_predictions("p0", 1.0))
+    return rounded(S.prediction_stats(p))
+
+
+@register("w3_lane_average_rank", oracle("""
+SELECT pickup, delivery, loads, cast(floor(rank() OVER (ORDER BY loads DESC)
+  + (count(*) OVER (PARTITION BY loads) - 1) / 2.0) AS INTEGER) AS load_rank
+FROM (SELECT pickup, delivery, count(*) AS loads FROM dev GROUP BY pickup, delivery)""", DEV_CTE))
+def w3_lane_average_rank(spark, sf):
+    from loadlab.operators.errors import average_rank_desc
+    lanes = _dev(spark, sf).groupBy("pickup", "delivery").agg(F.count(F.lit(1)).alias("loads"))
+    return average_rank_desc(lanes, "loads", "load_rank")
