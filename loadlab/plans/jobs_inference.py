@@ -160,3 +160,22 @@ def s9_s10_metadata_roundtrip(spark, sf):
     path = files.write_metadata(spark, record, files.scratch_path(spark, "metadata"))
     back = files.read_metrics_rows(spark, path)
     return rounded(back.select("model", "mae", "rmse", "r2", "mape", F.col("n").cast("long").alias("n")))
+
+
+@register("s5_scenario_csv_roundtrip", oracle("""
+SELECT pickup, delivery, distance, equipment, weight, date, round(predicted_rate, 6) AS predicted_rate FROM priced""", INF_CTES))
+def s5_scenario_csv_roundtrip(spark, sf):
+    """S5 + G10: write the priced scenario as a date-ordered CSV, scan it back strictly, check the contract."""
+    from pyspark.sql import types as T
+    priced = rounded(_priced_scenario(spark, sf))
+    path = files.write_csv(priced, files.scratch_path(spark, "scenario"), order_by=["date"])
+    schema = T.StructType([T.StructField("pickup", T.StringType()), T.StructField("delivery", T.StringType()),
+                           T.StructField("distance", T.DoubleType()), T.StructField("equipment", T.StringType()),
+                           T.StructField("weight", T.DoubleType()), T.StructField("date", T.DateType()),
+                           T.StructField("predicted_rate", T.DoubleType())])
+    back = files.read_csv(spark, path, schema, "scenario")
+    report = CT.scenario_report(back).first()
+    bad = {k: v for k, v in report.asDict().items() if k != "rows" and v}
+    if bad or report["rows"] != 31:
+        raise ValueError(f"scenario contract failed: {bad}")
+    return back

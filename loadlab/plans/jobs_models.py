@@ -35,15 +35,18 @@ register("m10_random_forest_log_holdout")(lambda spark, sf: _holdout_metrics(spa
 register("m11_gbt_log_holdout")(lambda spark, sf: _holdout_metrics(spark, sf, "GBT (log target)"))
 
 
-@register("m12_gbt_search")
-def m12_gbt_search(spark, sf):
+@register("m12_ridge_log_search")
+def m12_ridge_log_search(spark, sf):
+    """Seeded random search of the ridge (log target) penalty over three expanding folds of
+    the training window; the same loop drives the tree families (``MO.search``)."""
     from loadlab.operators.splits import with_position
-    dev = tables.train(spark, sf)
-    pos = with_position(dev)
+    pos = with_position(tables.train(spark, sf)).persist()
     n = pos.count()
-    spec = SPECS["GBT (log target)"]
-    return rounded(MO.search(MO.ModelSpec(spec.name, spec.kind, spec.target_transform, spec.params,
-                                          spec.search_space, n_iter=2), pos, n, n_folds=3))
+    spec = MO.ModelSpec("Ridge (log target)", "ridge", "log", params={"alpha": 1.0},
+                        search_space={"alpha": [0.1, 1.0, 10.0, 100.0]}, n_iter=3)
+    res = MO.search(spec, pos, n, n_folds=3)  # fold metrics are already computed here
+    pos.unpersist()
+    return rounded(res)
 
 
 @register("m16_smearing_decision")
@@ -140,3 +143,25 @@ def m15_model_cv_folds(spark, sf):
     for p in parts[1:]:
         allp = allp.unionByName(p)
     return rounded(metrics_by(allp, ["fold"]).withColumn("model", F.lit(spec.name)))
+
+
+@register("t8_seeded_sample")
+def t8_seeded_sample(spark, sf):
+    """A repeatable sample of 2,000 holdout rows without replacement (the limit is the feature:
+    order by a seeded hash of the id; each task keeps at most 2,000 rows)."""
+    h = tables.holdout(spark, sf)
+    return h.orderBy(F.xxhash64(F.col("load_id"), F.lit(42)), "load_id").limit(2000).select("load_id", "date")
+
+
+@register("u2_s8_model_comparison")
+def u2_s8_model_comparison(spark, sf):
+    """Baseline rows and model rows in one ranked table; S8: the importance ranking as CSV."""
+    from loadlab.operators import evaluation as EV
+    from loadlab.sources import files
+    base = EV.holdout_table(tables.train(spark, sf), tables.holdout(spark, sf))
+    ridge = _holdout_metrics(spark, sf, "Ridge (alpha=1.0, log target)")
+    both = rounded(base).unionByName(ridge.select(*base.columns))
+    model = _ridge_log(spark, sf)
+    ranking = EX.mean_abs_attribution(EX.linear_attribution(model, tables.holdout(spark, sf), DEFAULT))
+    files.write_csv(rounded(ranking), files.scratch_path(spark, "importance"), order_by=["rank", "feature"])
+    return EV.comparison_table(both)
