@@ -82,7 +82,8 @@ class FittedModel:
 
     @property
     def feature_names(self) -> list[str]:
-        return self.pipeline.stages[0].feature_names()
+        """Names of the model's input features (the assembler's columns), in order."""
+        return list(self.pipeline.stages[1].getInputCols())
 
     def predict(self, df: DataFrame, out: str = "predicted") -> DataFrame:
         """Raw model output back in dollars (exp for log target), smearing factor, floor."""
@@ -103,19 +104,21 @@ def fit(spec: ModelSpec, train: DataFrame, cfg: JobConfig = DEFAULT, params: dic
     enc_model = encoder.fit(train)
     names = enc_model.feature_names()
     labelled = _labelled(train, spec, cfg)
-    n_train, label_std = None, None
-    if spec.kind == "ridge":
-        st = labelled.agg(F.count(LABEL).alias("n"), F.stddev_pop(LABEL).alias("s")).first()
-        n_train, label_std = st["n"], st["s"]
-    assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="error")
-    reg = _regressor(spec, params, n_train, label_std)
-    # The assembled training matrix is read once per solver pass: keep it
-    # (memory, spilling to disk) for the duration of the fit only.
-    matrix = assembler.transform(enc_model.transform(labelled)).select("features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    # The encoded training rows are read by the statistics pass and by every
+    # solver pass: keep them (memory, spilling to disk) for the fit only.
+    encoded = enc_model.transform(labelled).select(*names, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        reg_model = reg.fit(matrix)
+        st = encoded.agg(F.count(LABEL).alias("__n"), F.stddev_pop(LABEL).alias("__s"),
+                         *[F.min(c).alias(f"lo{i}") for i, c in enumerate(names)],
+                         *[F.max(c).alias(f"hi{i}") for i, c in enumerate(names)]).first()
+        # Columns constant on the training rows (e.g. unknown-category flags) carry no
+        # information and make the normal equations singular; they get no coefficient.
+        keep = [c for i, c in enumerate(names) if st[f"lo{i}"] != st[f"hi{i}"]]
+        assembler = VectorAssembler(inputCols=keep, outputCol="features", handleInvalid="error")
+        reg = _regressor(spec, params, st["__n"], st["__s"])
+        reg_model = reg.fit(assembler.transform(encoded))
     finally:
-        matrix.unpersist()
+        encoded.unpersist()
     return FittedModel(spec, PipelineModel(stages=[enc_model, assembler, reg_model]))
 
 
