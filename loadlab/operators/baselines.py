@@ -1,8 +1,8 @@
 """Constant and rate-per-mile baselines.
 
-Fitting is one aggregate job; the fitted statistics are a handful of numbers,
-so applying a baseline is a projection plus (for the grouped rate) one
-size-checked broadcast join.
+Fitting computes exact medians by sorting (see ``quantiles``); the fitted
+statistics are a handful of numbers, so applying a baseline is a projection
+plus (for the grouped rate) one size-checked broadcast join.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from loadlab.functions.cleaning import strip_text
 from loadlab.functions.features import per_mile
 from loadlab.operators.lookup import Lookup, bounded
+from loadlab.operators.quantiles import exact_quantiles, quantile_values
 
 
 def rate_per_mile(y: str = "posted_rate", distance: str = "distance"):
@@ -24,20 +25,20 @@ def rate_per_mile(y: str = "posted_rate", distance: str = "distance"):
 
 def rate_table(df: DataFrame, group: str | None = "equipment", y: str = "posted_rate",
                distance: str = "distance") -> DataFrame:
-    """Median rate per mile per group plus the global one, in one pass.
+    """Median rate per mile per group plus the global one.
 
-    ``rollup`` gives the grouped rows and the grand total from a single
-    partial/final aggregate; NULL groups are dropped like pandas' groupby.
+    Exact medians by sorting (``exact_quantiles``): no group's values are
+    gathered in one task, even a group holding a third of all rows. NULL
+    groups are dropped like pandas' groupby.
     """
     rpm = rate_per_mile(y, distance).alias("rpm")
+    glob = exact_quantiles(df.select(rpm), "rpm", [0.5], [], ["rate_per_mile"]).select(
+        F.lit(None).cast("string").alias("group"), F.lit(True).alias("is_global"), "rate_per_mile")
     if group is None:
-        return df.select(rpm).agg(F.percentile("rpm", 0.5).alias("rate_per_mile")).select(
-            F.lit(None).cast("string").alias("group"), F.lit(True).alias("is_global"), "rate_per_mile")
-    g = strip_text(group).alias("group")
-    return (df.select(g, rpm).rollup("group")
-            .agg(F.percentile("rpm", 0.5).alias("rate_per_mile"), F.grouping("group").alias("gid"))
-            .filter((F.col("gid") == 1) | F.col("group").isNotNull())
-            .select("group", (F.col("gid") == 1).alias("is_global"), "rate_per_mile"))
+        return glob
+    grouped = exact_quantiles(df.select(strip_text(group).alias("group"), rpm), "rpm", [0.5], ["group"],
+                              ["rate_per_mile"])
+    return grouped.select("group", F.lit(False).alias("is_global"), "rate_per_mile").unionByName(glob)
 
 
 @dataclass
@@ -82,13 +83,14 @@ class ConstantModel:
         return df.withColumn(out, F.lit(self.value))
 
 
-def constant_stats(df: DataFrame, y: str = "posted_rate") -> DataFrame:
-    """Mean and median of the target in one aggregate."""
-    return df.agg(F.avg(y).alias("mean_rate"), F.percentile(y, 0.5).alias("median_rate"))
+def constant_stats(df: DataFrame, y: str = "posted_rate") -> dict:
+    """Mean (one aggregate) and exact median (sort-based) of the target."""
+    mean = df.agg(F.avg(y)).first()[0]
+    return {"mean_rate": mean, "median_rate": quantile_values(df, y, [0.5])[0]}
 
 
 def fit_constant(df: DataFrame, kind: str = "mean", y: str = "posted_rate") -> ConstantModel:
-    row = constant_stats(df, y).first()
+    row = constant_stats(df, y)
     value = row["mean_rate"] if kind == "mean" else row["median_rate"]
     if value is None:
         raise ValueError("constant baseline fitted on an empty frame")

@@ -32,6 +32,7 @@ from loadlab.config import (
     WORST_SHARE,
 )
 from loadlab.functions.features import distance_band, month_label, weekday_name, weight_band
+from loadlab.operators.quantiles import quantile_values, with_medians
 from loadlab.operators.stats import quantile_cut, quantile_edges
 
 SEGMENTS = ("equipment", "distance_band", "weight_band", "month", "day_of_week", "prediction_quintile",
@@ -60,10 +61,11 @@ def segment_table(errors: DataFrame, segments=SEGMENTS, y: str = "posted_rate")
     stacked = errors.select(
         F.inline(F.array(*[F.struct(F.lit(s).alias("segment"), F.col(s).cast("string").alias("value")) for s in segments])),
         "absolute_error", "absolute_percentage_error", "residual", y)
-    return (stacked.filter(F.col("value").isNotNull()).groupBy("segment", "value").agg(
+    stacked = stacked.filter(F.col("value").isNotNull())
+    agg = stacked.groupBy("segment", "value").agg(
         F.count(F.lit(1)).alias("rows"), F.avg("absolute_error").alias("MAE"),
-        F.avg("absolute_percentage_error").alias("MAPE"), F.avg("residual").alias("bias"),
-        F.percentile(y, 0.5).alias("median_rate")))
+        F.avg("absolute_percentage_error").alias("MAPE"), F.avg("residual").alias("bias"))
+    return with_medians(agg, stacked, ["segment", "value"], {"median_rate": y})
 
 
 def segment_report(table: DataFrame, min_rows: int = SEGMENT_MIN_ROWS, top_cities: int = 15) -> DataFrame:
@@ -96,12 +98,12 @@ def worst_best(table: DataFrame) -> DataFrame:
 
 def headline(errors: DataFrame) -> DataFrame:
     """MAE, median / p95 / p99 / max absolute error, MAPE, bias, median residual."""
-    q = F.percentile("absolute_error", [0.5, 0.95, 0.99])
-    return errors.agg(F.avg("absolute_error").alias("mae"), q.alias("__q"), F.max("absolute_error").alias("max_abs_error"),
-                      F.avg("absolute_percentage_error").alias("mape"), F.avg("residual").alias("bias"),
-                      F.percentile("residual", 0.5).alias("median_residual")).select(
-        "mae", F.col("__q")[0].alias("median_abs_error"), F.col("__q")[1].alias("p95_abs_error"),
-        F.col("__q")[2].alias("p99_abs_error"), "max_abs_error", "mape", "bias", "median_residual")
+    q = quantile_values(errors, "absolute_error", [0.5, 0.95, 0.99])
+    med = quantile_values(errors, "residual", [0.5])[0]
+    return errors.agg(F.avg("absolute_error").alias("mae"), F.max("absolute_error").alias("max_abs_error"),
+                      F.avg("absolute_percentage_error").alias("mape"), F.avg("residual").alias("bias")).select(
+        "mae", F.lit(q[0]).alias("median_abs_error"), F.lit(q[1]).alias("p95_abs_error"),
+        F.lit(q[2]).alias("p99_abs_error"), "max_abs_error", "mape", "bias", F.lit(med).alias("median_residual"))
 
 
 def worst_share(errors: DataFrame, share: float = WORST_SHARE) -> DataFrame:
@@ -125,17 +127,18 @@ def worst_share(errors: DataFrame, share: float = WORST_SHARE) -> DataFrame:
 def diagnose(errors: DataFrame) -> DataFrame:
     """Eleven residual diagnostics, one row."""
     base = errors.agg(
-        F.avg("residual").alias("mean_residual"), F.percentile("residual", 0.5).alias("median_residual"),
+        F.avg("residual").alias("mean_residual"),
         F.stddev_samp("residual").alias("residual_std"), F.count(F.lit(1)).alias("n"),
         F.corr(F.abs("residual"), F.col("predicted")).alias("abs_residual_vs_prediction_corr"),
         F.kurtosis("residual").alias("excess_kurtosis")).first()
+    median_residual = quantile_values(errors, "residual", [0.5])[0]
     q = (errors.filter(F.col("prediction_quintile").isNotNull()).groupBy("prediction_quintile")
          .agg(F.stddev_samp("residual").alias("s")).agg((F.max("s") / F.min("s")).alias("r")).first()["r"])
     ws = worst_share(errors).first()["worst_share_pct"]
     se = base["residual_std"] / math.sqrt(base["n"]) if base["n"] else 0.0
     bias_t = base["mean_residual"] / se if se else 0.0
     row = {
-        "mean_residual": base["mean_residual"], "median_residual": base["median_residual"],
+        "mean_residual": base["mean_residual"], "median_residual": median_residual,
         "residual_std": base["residual_std"], "bias_t_statistic": bias_t,
         "bias_is_significant": abs(bias_t) > 2.0, "quintile_std_ratio": q,
         "abs_residual_vs_prediction_corr": base["abs_residual_vs_prediction_corr"],

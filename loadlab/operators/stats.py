@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from loadlab.config import IQR_MIN_ROWS, IQR_MULTIPLIER, MARKET_QUINTILE_LABELS, SEGMENT_MIN_ROWS, WEEKDAYS
 from loadlab.functions.features import distance_band, month_label, per_mile, weekday_name
+from loadlab.operators.quantiles import exact_quantiles, quantile_values, with_medians
 
 
 def _stack(structs: list[Column]) -> Column:
@@ -25,6 +26,14 @@ def with_rate_per_mile(df: DataFrame, y: str = "posted_rate", distance: str = "d
     return df.withColumn("rate_per_mile", per_mile(y, distance))
 
 
+def _column_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float]]:
+    """Exact quantiles of several columns with one sort of the stacked (feature, value) rows."""
+    stacked = df.select(_stack([F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols]))
+    names = [f"q{i}" for i in range(len(probs))]
+    rows = exact_quantiles(stacked, "v", probs, ["feature"], names).collect()
+    return {r["feature"]: [r[n] for n in names] for r in rows}
+
+
 # ---- A15 ----------------------------------------------------------------------
 
 def iqr_outliers(df: DataFrame, cols: list[str], multiplier: float = IQR_MULTIPLIER,
@@ -35,11 +44,11 @@ def iqr_outliers(df: DataFrame, cols: list[str], multiplier: float = IQR_MULTIPL
     one aggregate with the fences as literals. Columns with n < min_rows or
     IQR = 0 are skipped.
     """
-    first = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-                   *[F.percentile(F.col(c), [0.25, 0.75]).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+    first = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    quart = _column_quantiles(df, cols, [0.25, 0.75])
     rows, aggs = [], []
     for i, c in enumerate(cols):
-        n, q = first[f"n{i}"], first[f"q{i}"]
+        n, q = first[f"n{i}"], quart.get(c)
         if n < min_rows or q is None:
             continue
         iqr = q[1] - q[0]
@@ -131,8 +140,9 @@ def group_target_stats(df: DataFrame, keys: list[str], y: str = "posted_rate", t
     """Count / mean / median of the target per value of each key, top 10 by mean each."""
     out = None
     for k in keys:
-        g = (df.groupBy(F.col(k).alias("value")).agg(F.count(F.lit(1)).alias("count"), F.avg(y).alias("mean"),
-                                                     F.percentile(y, 0.5).alias("median"))
+        kv = df.select(F.col(k).alias("value"), F.col(y).alias("__y"))
+        agg = kv.groupBy("value").agg(F.count(F.lit(1)).alias("count"), F.avg("__y").alias("mean"))
+        g = (with_medians(agg, kv, ["value"], {"median": "__y"})
              .orderBy(F.col("mean").desc(), "value").limit(top).withColumn("feature", F.lit(k)))
         out = g if out is None else out.unionByName(g)
     return out
@@ -142,24 +152,24 @@ def group_target_stats(df: DataFrame, keys: list[str], y: str = "posted_rate", t
 
 def equipment_effects(df: DataFrame) -> DataFrame:
     """A21."""
-    return with_rate_per_mile(df).groupBy("equipment").agg(
-        F.count(F.lit(1)).alias("loads"), F.percentile("posted_rate", 0.5).alias("median_rate"),
-        F.percentile("rate_per_mile", 0.5).alias("median_rate_per_mile"), F.avg("distance").alias("mean_distance"))
+    f = with_rate_per_mile(df)
+    agg = f.groupBy("equipment").agg(F.count(F.lit(1)).alias("loads"), F.avg("distance").alias("mean_distance"))
+    return with_medians(agg, f, ["equipment"], {"median_rate": "posted_rate", "median_rate_per_mile": "rate_per_mile"})
 
 
 def distance_effects(df: DataFrame) -> DataFrame:
     """By left-closed distance band (F7); rows outside every band dropped."""
-    return (with_rate_per_mile(df).withColumn("distance_band", distance_band("distance"))
-            .filter(F.col("distance_band").isNotNull()).groupBy("distance_band").agg(
-                F.count(F.lit(1)).alias("loads"), F.percentile("posted_rate", 0.5).alias("median_rate"),
-                F.percentile("rate_per_mile", 0.5).alias("median_rate_per_mile")))
+    f = (with_rate_per_mile(df).withColumn("distance_band", distance_band("distance"))
+         .filter(F.col("distance_band").isNotNull()))
+    agg = f.groupBy("distance_band").agg(F.count(F.lit(1)).alias("loads"))
+    return with_medians(agg, f, ["distance_band"], {"median_rate": "posted_rate", "median_rate_per_mile": "rate_per_mile"})
 
 
 def quantile_edges(df: DataFrame, c: str, q: int = 5) -> list[float]:
     """F8 pass 1: interpolated quantile edges [min, ..., max]; equal edges raise."""
     probs = [i / q for i in range(q + 1)]
-    edges = df.agg(F.percentile(F.col(c), probs).alias("e")).first()["e"]
-    if edges is None:
+    edges = quantile_values(df, c, probs)
+    if edges[0] is None:
         raise ValueError(f"quantile cut of {c!r}: no values")
     if len(set(edges)) < len(edges):
         raise ValueError(f"Bin edges must be unique: {edges}")
@@ -181,9 +191,9 @@ def market_effects(df: DataFrame) -> DataFrame:
     """By market-index quintile (F8)."""
     edges = quantile_edges(df, "market_index", 5)
     f = with_rate_per_mile(df).withColumn("market_quintile", quantile_cut("market_index", edges, MARKET_QUINTILE_LABELS))
-    return f.filter(F.col("market_quintile").isNotNull()).groupBy("market_quintile").agg(
-        F.count(F.lit(1)).alias("loads"), F.avg("market_index").alias("mean_market_index"),
-        F.percentile("rate_per_mile", 0.5).alias("median_rate_per_mile"))
+    f = f.filter(F.col("market_quintile").isNotNull())
+    agg = f.groupBy("market_quintile").agg(F.count(F.lit(1)).alias("loads"), F.avg("market_index").alias("mean_market_index"))
+    return with_medians(agg, f, ["market_quintile"], {"median_rate_per_mile": "rate_per_mile"})
 
 
 def monthly_effects(df: DataFrame) -> DataFrame:
@@ -204,9 +214,9 @@ def weekday_effects(df: DataFrame) -> DataFrame:
 
 def lane_effects(df: DataFrame, min_loads: int = SEGMENT_MIN_ROWS, top: int = 15) -> DataFrame:
     """A26 + P9: pickup x delivery, loads >= 30, top 15 by median rate per mile."""
-    return (with_rate_per_mile(df).groupBy("pickup", "delivery").agg(
-        F.count(F.lit(1)).alias("loads"), F.avg("distance").alias("mean_distance"),
-        F.percentile("rate_per_mile", 0.5).alias("median_rate_per_mile"))
+    f = with_rate_per_mile(df)
+    agg = f.groupBy("pickup", "delivery").agg(F.count(F.lit(1)).alias("loads"), F.avg("distance").alias("mean_distance"))
+    return (with_medians(agg, f, ["pickup", "delivery"], {"median_rate_per_mile": "rate_per_mile"})
         .filter(F.col("loads") >= min_loads)
         .orderBy(F.col("median_rate_per_mile").desc(), "pickup", "delivery").limit(top))
 
@@ -234,11 +244,11 @@ def monthly_swing(df: DataFrame) -> DataFrame:
 
 def prediction_stats(df: DataFrame, p: str = "predicted") -> DataFrame:
     """Count, min, p05, median, mean, p95, max, sample std."""
-    q = F.percentile(p, [0.05, 0.5, 0.95])
-    return df.agg(F.count(p).alias("count"), F.min(p).alias("min"), q.alias("__q"), F.avg(p).alias("mean"),
+    q = quantile_values(df, p, [0.05, 0.5, 0.95])
+    return df.agg(F.count(p).alias("count"), F.min(p).alias("min"), F.avg(p).alias("mean"),
                   F.max(p).alias("max"), F.stddev_samp(p).alias("std")).select(
-        "count", "min", F.col("__q")[0].alias("p05"), F.col("__q")[1].alias("median"), "mean",
-        F.col("__q")[2].alias("p95"), "max", "std")
+        "count", "min", F.lit(q[0]).alias("p05"), F.lit(q[1]).alias("median"), "mean",
+        F.lit(q[2]).alias("p95"), "max", "std")
 
 
 def histogram(df: DataFrame, c: str, bins: int = 40) -> DataFrame:
@@ -274,7 +284,7 @@ def histogram(df: DataFrame, c: str, bins: int = 40) -> DataFrame:
 
 def box_stats(df: DataFrame, c: str, whisker: float = IQR_MULTIPLIER) -> DataFrame:
     """Quartiles, whiskers (most extreme values inside the fences) and outlier count."""
-    q = df.agg(F.percentile(c, [0.25, 0.5, 0.75]).alias("q")).first()["q"]
+    q = quantile_values(df, c, [0.25, 0.5, 0.75])
     iqr = q[2] - q[0]
     lo_f, hi_f = q[0] - whisker * iqr, q[2] + whisker * iqr
     x = F.col(c)
