@@ -13,6 +13,13 @@ DuckDB's ``quantile_cont``, Spark's ``percentile``).
 
 Only values are read at the target ranks, so ties in the sort order do not
 matter and the result is the same after a recomputation.
+
+The sort costs a shuffle of the values. When a cheap pre-pass proves that no
+group has many distinct values (``approx_count_distinct`` per group, bounded
+by ``loadlab.quantiles.mapLimit``, default 1,000,000 with a 3x margin for the
+estimate's error), Spark's ``percentile`` aggregate is used instead: its
+per-group state is then the bounded value -> count map. Both paths give the
+same numbers.
 """
 
 from __future__ import annotations
@@ -20,6 +27,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+MAP_LIMIT_CONF = "loadlab.quantiles.mapLimit"
+DEFAULT_MAP_LIMIT = 1_000_000
+
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], keys: list[str] | tuple = (),
                     names: list[str] | None = None, n_partitions: int | None = None) -> DataFrame:
@@ -37,6 +47,13 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], keys
     for k in keys:
         base = base.filter(F.col(k).isNotNull())
 
+    limit = int(spark.conf.get(MAP_LIMIT_CONF, str(DEFAULT_MAP_LIMIT)))
+    if limit > 0:
+        est = base.groupBy(*keys).agg(F.approx_count_distinct("__v", 0.05).alias("__d")).agg(F.max("__d")).first()[0]
+        if est is not None and est * 3 <= limit:
+            agg = base.groupBy(*keys).agg(F.percentile("__v", [float(p) for p in probs]).alias("__qs"))
+            return agg.select(*keys, *[F.col("__qs")[i].alias(n) for i, n in enumerate(names)])
+
     ordered = (base.repartitionByRange(n_part, *keys, "__v").sortWithinPartitions(*keys, "__v")
                .withColumn("__pid", F.spark_partition_id()).withColumn("__mid", F.monotonically_increasing_id()))
     # One row per (partition, group) run: its first id and size (at most partitions + groups rows).

@@ -4,8 +4,16 @@ import pytest
 from loadlab.operators.quantiles import exact_quantiles, quantile_values
 
 
+@pytest.fixture(params=["sort", "map"])
+def path(request, spark):
+    from loadlab.operators.quantiles import MAP_LIMIT_CONF
+    spark.conf.set(MAP_LIMIT_CONF, "0" if request.param == "sort" else "1000000")
+    yield request.param
+    spark.conf.unset(MAP_LIMIT_CONF)
+
+
 @pytest.mark.parametrize("parts", [1, 3, 16])
-def test_exact_quantiles_match_numpy_with_hot_group_and_ties(spark, parts):
+def test_exact_quantiles_match_numpy_with_hot_group_and_ties(spark, parts, path):
     rng = np.random.default_rng(7)
     rows = []
     for i in range(3000):
@@ -26,6 +34,6 @@ def test_exact_quantiles_match_numpy_with_hot_group_and_ties(spark, parts):
     assert quantile_values(df, "v", [0.5]) == pytest.approx([np.quantile(allv, 0.5)])
 
 
-def test_single_value_group(spark):
+def test_single_value_group(spark, path):
     df = spark.createDataFrame([("a", 3.0)], "g string, v double")
     assert exact_quantiles(df, "v", [0.25, 0.5], ["g"]).first()["q1"] == 3.0
