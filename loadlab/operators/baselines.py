@@ -32,13 +32,18 @@ def rate_table(df: DataFrame, group: str | None = "equipment", y: str = "posted_
     groups are dropped like pandas' groupby.
     """
     rpm = rate_per_mile(y, distance).alias("rpm")
-    glob = exact_quantiles(df.select(rpm), "rpm", [0.5], [], ["rate_per_mile"]).select(
-        F.lit(None).cast("string").alias("group"), F.lit(True).alias("is_global"), "rate_per_mile")
     if group is None:
-        return glob
-    grouped = exact_quantiles(df.select(strip_text(group).alias("group"), rpm), "rpm", [0.5], ["group"],
-                              ["rate_per_mile"])
-    return grouped.select("group", F.lit(False).alias("is_global"), "rate_per_mile").unionByName(glob)
+        return exact_quantiles(df.select(rpm), "rpm", [0.5], [], ["rate_per_mile"]).select(
+            F.lit(None).cast("string").alias("group"), F.lit(True).alias("is_global"), "rate_per_mile")
+    # Grouped and global medians in one pass: each row once under its group and
+    # once under the global key (is_global separates them; NULL groups only count globally).
+    g = strip_text(group)
+    both = df.select(F.inline(F.array(
+        F.struct(g.alias("group"), F.lit(False).alias("is_global"), rpm),
+        F.struct(F.lit("").alias("group"), F.lit(True).alias("is_global"), rpm))))
+    both = both.filter(F.col("is_global") | F.col("group").isNotNull())
+    med = exact_quantiles(both, "rpm", [0.5], ["is_global", "group"], ["rate_per_mile"])
+    return med.select(F.when(~F.col("is_global"), F.col("group")).alias("group"), "is_global", "rate_per_mile")
 
 
 @dataclass

@@ -108,3 +108,36 @@ def with_medians(agg: DataFrame, df: DataFrame, keys: list[str], values: dict[st
     if not keys:
         raise ValueError("with_medians needs group keys; use quantile_values for global medians")
     return agg.join(group_medians(df, keys, values), keys, "left")
+
+
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float],
+                     distinct_estimates: dict[str, int] | None = None) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns (no groups), as a dict.
+
+    With bounded distinct counts (estimates may be passed in from an aggregate
+    the caller runs anyway) all columns are answered by one wide ``percentile``
+    aggregate; otherwise by one sort of the stacked ``(feature, value)`` rows.
+    """
+    if not cols:
+        return {}
+    spark = df.sparkSession
+    limit = int(spark.conf.get(MAP_LIMIT_CONF, str(DEFAULT_MAP_LIMIT)))
+    if limit > 0:
+        if distinct_estimates is None:
+            row = df.agg(*[F.approx_count_distinct(F.col(c), 0.05).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+            distinct_estimates = {c: row[f"d{i}"] for i, c in enumerate(cols)}
+        if all((distinct_estimates.get(c) or 0) * 3 <= limit for c in cols):
+            row = df.agg(*[F.percentile(F.col(c).cast("double"), [float(p) for p in probs]).alias(f"q{i}")
+                           for i, c in enumerate(cols)]).first()
+            return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else None) for i, c in enumerate(cols)}
+    stacked = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("__f"), F.col(c).cast("double").alias("__x"))
+                                           for c in cols])))
+    names = [f"q{i}" for i in range(len(probs))]
+    spark.conf.set(MAP_LIMIT_CONF, "0")  # the estimate already chose the sort path
+    try:
+        rows = exact_quantiles(stacked, "__x", probs, ["__f"], names).collect()
+    finally:
+        spark.conf.set(MAP_LIMIT_CONF, str(limit))
+    out = {c: None for c in cols}
+    out.update({r["__f"]: [r[n] for n in names] for r in rows})
+    return out

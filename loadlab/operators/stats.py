@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loadlab.config import IQR_MIN_ROWS, IQR_MULTIPLIER, MARKET_QUINTILE_LABELS, SEGMENT_MIN_ROWS, WEEKDAYS
 from loadlab.functions.features import distance_band, month_label, per_mile, weekday_name
-from loadlab.operators.quantiles import exact_quantiles, quantile_values, with_medians
+from loadlab.operators.quantiles import column_quantiles, quantile_values, with_medians
 
 
 def _stack(structs: list[Column]) -> Column:
@@ -27,11 +27,8 @@ def with_rate_per_mile(df: DataFrame, y: str = "posted_rate", distance: str = "d
 
 
 def _column_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float]]:
-    """Exact quantiles of several columns with one sort of the stacked (feature, value) rows."""
-    stacked = df.select(_stack([F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols]))
-    names = [f"q{i}" for i in range(len(probs))]
-    rows = exact_quantiles(stacked, "v", probs, ["feature"], names).collect()
-    return {r["feature"]: [r[n] for n in names] for r in rows}
+    """Exact quantiles of several columns (see ``quantiles.column_quantiles``)."""
+    return column_quantiles(df, cols, probs)
 
 
 # ---- A15 ----------------------------------------------------------------------
