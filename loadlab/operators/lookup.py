@@ -1,11 +1,11 @@
 """Size-checked lookup joins.
 
 A fitted lookup (group -> rate, city -> coordinates, date -> market) is the
-output of an aggregate, so its size is known only at run time. ``bounded``
-measures it with one ``limit(n + 1)`` job: under the bound the rows are
-re-created as a local relation and broadcast (proven size); over it, the table
-is cut from its lineage into the shared checkpoint folder and joined by a
-normal shuffle join.
+output of an aggregate over a large table, so its size is known only at run
+time. ``bounded`` cuts it from its lineage into the shared checkpoint folder
+(the aggregate runs once; the small result is written, not sent through the
+driver), then counts at most ``max_rows + 1`` of its rows: under the bound the
+join broadcasts it (proven size), over it the join is a normal shuffle join.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from loadlab.session import checkpoint_dir
 
-# Largest lookup broadcast to every task (rows); about a few MB of small rows.
-MAX_BROADCAST_ROWS = 200_000
+# Largest lookup broadcast to every task (rows of a few narrow columns: a few MB).
+MAX_BROADCAST_ROWS = 100_000
 
 
 @dataclass
@@ -33,10 +33,7 @@ class Lookup:
 
 
 def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Lookup:
-    spark = df.sparkSession
-    head = df.limit(max_rows + 1).collect()
-    if len(head) <= max_rows:
-        local = spark.createDataFrame(head, schema=df.schema) if head else spark.createDataFrame([], df.schema)
-        return Lookup(local, len(head), True)
-    checkpoint_dir(spark)
-    return Lookup(df.checkpoint(eager=True), None, False)
+    checkpoint_dir(df.sparkSession)
+    cut = df.checkpoint(eager=True)
+    n = cut.limit(max_rows + 1).count()
+    return Lookup(cut, n if n <= max_rows else None, n <= max_rows)

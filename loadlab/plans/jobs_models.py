@@ -116,13 +116,13 @@ def m17_native_importance_gbt(spark, sf):
 @register("a47_mean_abs_attribution")
 def a47_mean_abs_attribution(spark, sf):
     model = _ridge_log(spark, sf)
-    return rounded(EX.mean_abs_attribution(EX.linear_attribution(model, tables.holdout(spark, sf), DEFAULT)))
+    return rounded(EX.mean_abs_attribution_linear(model, tables.holdout(spark, sf)))
 
 
 @register("t7_top_continuous_features")
 def t7_top_continuous_features(spark, sf):
     model = _ridge_log(spark, sf)
-    ranking = EX.mean_abs_attribution(EX.linear_attribution(model, tables.holdout(spark, sf), DEFAULT))
+    ranking = EX.mean_abs_attribution_linear(model, tables.holdout(spark, sf))
     frame = model.pipeline.stages[0].transform(tables.holdout(spark, sf))
     return rounded(EX.continuous_top(ranking, frame, "mean_abs_attribution"))
 
@@ -162,6 +162,6 @@ def u2_s8_model_comparison(spark, sf):
     ridge = _holdout_metrics(spark, sf, "Ridge (alpha=1.0, log target)")
     both = rounded(base).unionByName(ridge.select(*base.columns))
     model = _ridge_log(spark, sf)
-    ranking = EX.mean_abs_attribution(EX.linear_attribution(model, tables.holdout(spark, sf), DEFAULT))
+    ranking = EX.mean_abs_attribution_linear(model, tables.holdout(spark, sf))
     files.write_csv(rounded(ranking), files.scratch_path(spark, "importance"), order_by=["rank", "feature"])
     return EV.comparison_table(both)
