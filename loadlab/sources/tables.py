@@ -23,7 +23,9 @@ from loadlab.config import DEFAULT, JobConfig
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 # The freight view over driver tables (fixed text, shared with the oracle).
-LOADS_SELECT = """
+# ``{name}`` placeholders are bound to DataFrames by ``spark.sql(..., name=df)``
+# on the Spark side and to the oracle's table names for DuckDB.
+LOADS_TEMPLATE = """
 SELECT concat_ws('-', cast(l.l_orderkey AS varchar(20)), cast(l.l_linenumber AS varchar(20)),
                  cast(l.l_partkey AS varchar(20)), cast(l.l_suppkey AS varchar(20)),
                  cast(cast(l.l_shipdate AS date) AS varchar(20))) AS load_id,
@@ -44,25 +46,29 @@ SELECT concat_ws('-', cast(l.l_orderkey AS varchar(20)), cast(l.l_linenumber AS
     * (cast(1 AS double) + l.l_discount) * (p.p_retailprice / cast(950 AS double))
     * CASE l.l_returnflag WHEN 'A' THEN cast(1 AS double) WHEN 'N' THEN cast(1.085 AS double) ELSE cast(1.127 AS double) END
     * CASE WHEN l.l_suppkey % 100 = 13 AND l.l_partkey % 2 = 0 THEN cast(4 AS double) ELSE cast(1 AS double) END AS posted_rate
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation cn ON c.c_nationkey = cn.n_nationkey
-  JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation sn ON s.s_nationkey = sn.n_nationkey
-  JOIN part p ON l.l_partkey = p.p_partkey
+FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
+  JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} cn ON c.c_nationkey = cn.n_nationkey
+  JOIN {supplier} s ON l.l_suppkey = s.s_suppkey JOIN {nation} sn ON s.s_nationkey = sn.n_nationkey
+  JOIN {part} p ON l.l_partkey = p.p_partkey
 """
 
 # Dirty variant for the audit jobs: text-typed numbers and dates, duplicates,
 # case variants, empty strings, impossible coordinates (fixed text).
-LOADS_DIRTY_SELECT = """
+LOADS_DIRTY_TEMPLATE = """
 SELECT CASE WHEN distance = 700 AND equipment = 'Reefer' THEN NULL ELSE load_id END AS load_id,
   CASE WHEN distance = 140 THEN upper(pickup) WHEN distance = 210 THEN lower(pickup) WHEN distance = 280 THEN '' ELSE pickup END AS pickup,
   CASE WHEN distance = 350 THEN pickup_lat + 100 ELSE pickup_lat END AS pickup_lat,
   CASE WHEN distance = 420 THEN 'n/a' WHEN distance = 490 THEN 'inf' ELSE cast(cast(distance AS integer) AS varchar(20)) END AS distance,
   CASE WHEN quote_signal = 2.05 THEN '2001-02-30' ELSE cast(date AS varchar(20)) END AS date
-FROM loads
+FROM {loads}
 UNION ALL
-SELECT load_id, pickup, pickup_lat, cast(cast(distance AS integer) AS varchar(20)), cast(date AS varchar(20)) FROM loads WHERE distance = 1400
+SELECT load_id, pickup, pickup_lat, cast(cast(distance AS integer) AS varchar(20)), cast(date AS varchar(20)) FROM {loads} WHERE distance = 1400
 """
 
+# The same texts with plain table names (DuckDB oracle).
+LOADS_SELECT = LOADS_TEMPLATE.format(**{t: t for t in ("lineitem", "orders", "customer", "nation", "supplier", "part")})
+LOADS_DIRTY_SELECT = LOADS_DIRTY_TEMPLATE.format(loads="loads")
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
@@ -73,10 +79,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def register_driver_tables(spark: SparkSession, sf_dir: str,
-                           names: tuple[str, ...] = DRIVER_TABLES) -> None:
-    for name in names:
-        read_table(spark, sf_dir, name).createOrReplaceTempView(name)
+def driver_tables(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = DRIVER_TABLES) -> dict[str, DataFrame]:
+    return {name: read_table(spark, sf_dir, name) for name in names}
+
+
+def _star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = driver_tables(spark, sf_dir, ("lineitem", "orders", "customer", "nation", "supplier", "part"))
+    return spark.sql(LOADS_TEMPLATE, **t)
 
 
 MATERIALIZE_CONF = "loadlab.loads.materialize"
@@ -86,8 +95,8 @@ _MATERIALIZED: dict[tuple[str, str], str] = {}
 def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 14-column freight table, lazily (a plan, not data).
 
-    The seven inputs are read as session-scoped temp views and the view is the
-    fixed SQL text; Catalyst prunes columns and pushes filters into each scan.
+    The inputs are bound to the fixed SQL text as DataFrame parameters (no
+    session temp views); Catalyst prunes columns and pushes filters into each scan.
 
     With ``loadlab.loads.materialize=true`` the star join runs once per session
     and input folder: the result is written, range-partitioned and sorted by
@@ -95,12 +104,8 @@ def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     that copy (date filters then skip row groups by their min/max statistics).
     """
     if spark.conf.get(MATERIALIZE_CONF, "false") == "true":
-        df = spark.read.parquet(materialize_loads(spark, sf_dir))
-    else:
-        register_driver_tables(spark, sf_dir)
-        df = spark.sql(LOADS_SELECT)
-    df.createOrReplaceTempView("loads")
-    return df
+        return spark.read.parquet(materialize_loads(spark, sf_dir))
+    return _star_join(spark, sf_dir)
 
 
 def materialize_loads(spark: SparkSession, sf_dir: str) -> str:
@@ -114,9 +119,8 @@ def materialize_loads(spark: SparkSession, sf_dir: str) -> str:
         return _MATERIALIZED[key]
     base = checkpoint_dir(spark)
     path = os.path.join(base, "loads-" + hashlib.sha1("|".join(key).encode()).hexdigest()[:16])
-    register_driver_tables(spark, sf_dir)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (spark.sql(LOADS_SELECT).repartitionByRange(n, "date").sortWithinPartitions("date")
+    (_star_join(spark, sf_dir).repartitionByRange(n, "date").sortWithinPartitions("date")
      .write.mode("overwrite").parquet(path))
     _MATERIALIZED[key] = path
     return path
@@ -124,10 +128,7 @@ def materialize_loads(spark: SparkSession, sf_dir: str) -> str:
 
 def loads_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit fixture with text-typed columns and planted defects."""
-    loads(spark, sf_dir)
-    df = spark.sql(LOADS_DIRTY_SELECT)
-    df.createOrReplaceTempView("loads_dirty")
-    return df
+    return spark.sql(LOADS_DIRTY_TEMPLATE, loads=loads(spark, sf_dir))
 
 
 def with_window(df: DataFrame, cfg: JobConfig = DEFAULT) -> DataFrame:
