@@ -165,3 +165,12 @@ def u2_s8_model_comparison(spark, sf):
     ranking = EX.mean_abs_attribution_linear(model, tables.holdout(spark, sf))
     files.write_csv(rounded(ranking), files.scratch_path(spark, "importance"), order_by=["rank", "feature"])
     return EV.comparison_table(both)
+
+
+@register("m18_permutation_importance_gbt")
+def m18_permutation_importance_gbt(spark, sf):
+    """M18 for a tree model: GBT (log target) with the generic union-of-copies scoring."""
+    spec = MO.ModelSpec("GBT (log target)", "gbt", "log", params={"maxIter": 20, "maxDepth": 4, "seed": 42})
+    model = MO.fit(spec, tables.train(spark, sf))
+    perm = EX.permutation_importance(model, tables.holdout(spark, sf), DEFAULT, repeats=2)
+    return rounded(EX.importance_table(EX.native_importance(model), perm))
