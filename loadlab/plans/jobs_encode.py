@@ -181,7 +181,9 @@ def p15_feature_families(spark, sf):
         F.count(F.lit(1)).alias("n_features"), F.sort_array(F.collect_list("feature")).alias("features"))
 
 
-@register("s6_processed_matrix_write")
+@register("s6_processed_matrix_write", oracle("""
+SELECT strftime(date, '%Y-%m') AS month, count(*) AS rows FROM loads
+WHERE date >= DATE '2000-07-01' AND date < DATE '2001-01-01' GROUP BY 1"""))
 def s6_processed_matrix_write(spark, sf):
     """Write the processed holdout matrix (with id and target) as parquet partitioned by month; read back."""
     from loadlab.functions.features import month_label

@@ -79,7 +79,7 @@ def a3_missing_report(spark, sf):
 
 # ---- A4-A9 / A14 --------------------------------------------------------------
 
-def _validate_sql(src: str, name: str, cols: dict[str, str]) -> str:
+def _validate_sql(src: str, name: str, cols: dict[str, str], id_col: str = "load_id") -> str:
     """DuckDB twin of ``Q.validate`` for a dataset with the given column types."""
     parts = []
     lat_like = [c for c in cols if c.endswith("_lat")]
@@ -112,10 +112,10 @@ def _validate_sql(src: str, name: str, cols: dict[str, str]) -> str:
     allc = ", ".join(cols)
     parts.append(f"SELECT '{name}', 'duplicate_rows', NULL, 'warning', coalesce(sum(CASE WHEN c > 1 THEN c END), 0), sum(c) "
                  f"FROM (SELECT count(*) AS c FROM {src} GROUP BY ALL_COLS)".replace("ALL_COLS", allc))
-    if "load_id" in cols:
-        parts.append(f"SELECT '{name}', 'duplicate_ids', 'load_id', CASE WHEN sum(CASE WHEN c > 1 THEN c ELSE 0 END) > 0 "
-                     f"THEN 'error' ELSE 'warning' END, coalesce(sum(CASE WHEN load_id IS NULL THEN c END), 0) + "
-                     f"coalesce(sum(CASE WHEN c > 1 THEN c END), 0), sum(c) FROM (SELECT load_id, count(*) AS c FROM {src} GROUP BY load_id)")
+    if id_col in cols:
+        parts.append(f"SELECT '{name}', 'duplicate_ids', '{id_col}', CASE WHEN sum(CASE WHEN c > 1 THEN c ELSE 0 END) > 0 "
+                     f"THEN 'error' ELSE 'warning' END, coalesce(sum(CASE WHEN {id_col} IS NULL THEN c END), 0) + "
+                     f"coalesce(sum(CASE WHEN c > 1 THEN c END), 0), sum(c) FROM (SELECT {id_col}, count(*) AS c FROM {src} GROUP BY {id_col})")
     body = _union([f"SELECT * FROM ({p})" for p in parts])
     return f"SELECT dataset, issue_type, feature, severity, cast(n_bad AS BIGINT) AS n_bad, cast(n_total AS BIGINT) AS n_total FROM ({body}) WHERE n_bad > 0"
 
@@ -167,3 +167,21 @@ def a10_feature_audit(spark, sf):
 @register("a49_feature_dictionary")
 def a49_feature_dictionary(spark, sf):
     return rounded(Q.feature_dictionary(Q.feature_audit(tables.loads(spark, sf))))
+
+
+EVENT_TYPES = {"event_id": "bigint", "ts": "timestamp", "user_id": "bigint", "event_type": "varchar",
+               "value": "double", "props": "varchar"}
+
+
+@register("a14_validate_events", oracle(_validate_sql("events", "events", EVENT_TYPES, "event_id")))
+def a14_validate_events(spark, sf):
+    """The same audit over another driver table (the event stream), keyed by ``event_id``."""
+    return Q.validate(tables.read_table(spark, sf, "events"), "events", id_col="event_id")
+
+
+@register("a1_numeric_profile_events", oracle(_union([f"""
+SELECT '{c}' AS feature, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
+  round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
+  round(quantile_cont({c}, 0.75), 6) AS q75, round(max({c}), 6) AS max FROM events""" for c in ["event_id", "user_id", "value"]])))
+def a1_numeric_profile_events(spark, sf):
+    return rounded(Q.numeric_profile(tables.read_table(spark, sf, "events"), ["event_id", "user_id", "value"]))
