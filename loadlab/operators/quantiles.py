@@ -16,7 +16,7 @@ matter and the result is the same after a recomputation.
 
 The sort costs a shuffle of the values. When a cheap pre-pass proves that no
 group has many distinct values (``approx_count_distinct`` per group, bounded
-by ``loadlab.quantiles.mapLimit``, default 1,000,000 with a 3x margin for the
+by ``loadlab.quantiles.mapLimit``, default 4,000,000 with a 3x margin for the
 estimate's error), Spark's ``percentile`` aggregate is used instead: its
 per-group state is then the bounded value -> count map. Both paths give the
 same numbers.
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAP_LIMIT_CONF = "loadlab.quantiles.mapLimit"
-DEFAULT_MAP_LIMIT = 1_000_000
+DEFAULT_MAP_LIMIT = 4_000_000
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], keys: list[str] | tuple = (),
