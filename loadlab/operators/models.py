@@ -86,11 +86,20 @@ class FittedModel:
         return list(self.pipeline.stages[1].getInputCols())
 
     def predict(self, df: DataFrame, out: str = "predicted") -> DataFrame:
-        """Raw model output back in dollars (exp for log target), smearing factor, floor."""
-        scored = self.pipeline.transform(df)
+        """The input rows with ``out``: raw model output back in dollars (exp for a log
+        target), times the smearing factor, floored (P10, F16, F18).
+
+        The input columns ride through the encoder inside one struct column, so no join
+        is needed to re-attach them (processed features reuse raw column names).
+        """
+        enc, *head = self.pipeline.stages
+        carried = df.withColumn("__row", F.struct(*[F.col(c) for c in df.columns]))
+        scored = enc.copy({enc.keepColumns: ["__row"]}).transform(carried)
+        for stage in head:
+            scored = stage.transform(scored)
         raw = F.col("__raw")
         dollars = exp_target(raw) if self.spec.target_transform == "log" else raw
-        return scored.withColumn(out, floor_predictions(dollars * F.lit(self.factor), self.floor)).drop("features", "__raw")
+        return scored.select("__row.*", floor_predictions(dollars * F.lit(self.factor), self.floor).alias(out))
 
     def save(self, path: str) -> None:
         """Persist the fitted pipeline."""
@@ -100,6 +109,16 @@ class FittedModel:
 def fit(spec: ModelSpec, train: DataFrame, cfg: JobConfig = DEFAULT, params: dict | None = None) -> FittedModel:
     """Fit encoder + assembler + regressor on ``train`` only."""
     params = {**spec.params, **(params or {})}
+    # Every fitting pass reads the training rows: compute them once (star join,
+    # filters) and keep them for the duration of the fit.
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit_cached(spec, train, cfg, params)
+    finally:
+        train.unpersist()
+
+
+def _fit_cached(spec: ModelSpec, train: DataFrame, cfg: JobConfig, params: dict) -> FittedModel:
     encoder = FeatureEncoder(keepColumns=[cfg.id_column, cfg.target, LABEL])
     enc_model = encoder.fit(train)
     names = enc_model.feature_names()
