@@ -109,16 +109,8 @@ class FittedModel:
 def fit(spec: ModelSpec, train: DataFrame, cfg: JobConfig = DEFAULT, params: dict | None = None) -> FittedModel:
     """Fit encoder + assembler + regressor on ``train`` only."""
     params = {**spec.params, **(params or {})}
-    # Every fitting pass reads the training rows: compute them once (star join,
-    # filters) and keep them for the duration of the fit.
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _fit_cached(spec, train, cfg, params)
-    finally:
-        train.unpersist()
-
-
-def _fit_cached(spec: ModelSpec, train: DataFrame, cfg: JobConfig, params: dict) -> FittedModel:
+    # The encoder caches its built features while fitting; the solver passes below
+    # read the cached encoded rows. The raw training rows are read twice, never cached.
     encoder = FeatureEncoder(keepColumns=[cfg.id_column, cfg.target, LABEL])
     enc_model = encoder.fit(train)
     names = enc_model.feature_names()
