@@ -164,7 +164,23 @@ def a10_feature_audit(spark, sf):
     return audit.select("feature", "n_unique", F.array_join("unique_values", "|").alias("unique_values"))
 
 
-@register("a49_feature_dictionary")
+# Expected dtype and role of each ``loads`` column (A11 rules applied to names and types).
+A49_ROLES = {"load_id": ("string", "identifier"), "pickup": ("string", "categorical"),
+             "delivery": ("string", "categorical"), "pickup_lat": ("double", "numeric"),
+             "pickup_lon": ("double", "numeric"), "delivery_lat": ("double", "numeric"),
+             "delivery_lon": ("double", "numeric"), "distance": ("double", "numeric"),
+             "equipment": ("string", "categorical"), "weight": ("double", "numeric"), "date": ("date", "datetime"),
+             "market_index": ("double", "numeric"), "quote_signal": ("double", "numeric"),
+             "posted_rate": ("double", "numeric")}
+A49_USE = {"identifier": "exclude from features (key)", "datetime": "derive calendar features",
+           "numeric": "numeric feature (impute + scale)", "categorical": "categorical feature (one-hot)"}
+A49_PARTS = [
+    f"SELECT '{c}' AS feature, '{dt}' AS dtype, '{role}' AS role, round(100.0 * count(*) FILTER (WHERE {c} IS NULL"
+    + (f" OR isnan({c})" if dt == "double" else "") + f") / count(*), 6) AS missing_pct, '{A49_USE[role]}' AS recommended_use "
+    "FROM loads" for c, (dt, role) in A49_ROLES.items()]
+
+
+@register("a49_feature_dictionary", oracle(_union(A49_PARTS)))
 def a49_feature_dictionary(spark, sf):
     return rounded(Q.feature_dictionary(Q.feature_audit(tables.loads(spark, sf))))
 
