@@ -156,7 +156,27 @@ FAMILY_RULES = (
 # --- end fixed values ---
 
 
-@register("p15_feature_families")
+P15_SQL = oracle_clean("""
+SELECT family, count(*) AS n_features, string_agg(feature, '|' ORDER BY feature) AS features FROM (
+  SELECT feature, CASE
+    WHEN (starts_with(feature, 'pickup_') OR starts_with(feature, 'delivery_') OR starts_with(feature, 'equipment_'))
+         AND NOT ends_with(feature, '_lat') AND NOT ends_with(feature, '_lon') AND NOT ends_with(feature, '_is_unknown') THEN 'one-hot'
+    WHEN ends_with(feature, '_is_unknown') THEN 'unknown flag'
+    WHEN ends_with(feature, '_is_missing') THEN 'missing flag'
+    WHEN starts_with(feature, 'doy_') OR starts_with(feature, 'dow_') OR starts_with(feature, 'is_weekend')
+         OR starts_with(feature, 'days_since') THEN 'calendar'
+    WHEN starts_with(feature, 'haversine') OR starts_with(feature, 'bearing') OR starts_with(feature, 'lon_delta')
+         OR starts_with(feature, 'lat_delta') OR starts_with(feature, 'pickup_lat') OR starts_with(feature, 'pickup_lon')
+         OR starts_with(feature, 'delivery_lat') OR starts_with(feature, 'delivery_lon') THEN 'geometry'
+    WHEN starts_with(feature, 'log_distance') OR starts_with(feature, 'weight_per_mile') THEN 'interaction'
+    ELSE 'market / other' END AS family
+  FROM names) GROUP BY family""", "names AS (SELECT unnest([" + ", ".join(f"'{n}'" for n in WEIGHT + OTHER + BINARY)
+    + "]) AS feature UNION ALL " + " UNION ALL ".join(
+        f"SELECT DISTINCT '{c}_' || {c} FROM train WHERE {c} IS NOT NULL" for c in CATS)
+    + " UNION ALL SELECT unnest(['pickup_is_unknown', 'delivery_is_unknown', 'equipment_is_unknown']))")
+
+
+@register("p15_feature_families", P15_SQL)
 def p15_feature_families(spark, sf):
     """Family label per processed feature (when/otherwise on the name), then the list per family."""
     model = _fit(spark, sf)
@@ -178,7 +198,8 @@ def p15_feature_families(spark, sf):
                 cond = cond | f.startswith(k)
         label = F.when(cond, F.lit(fam)).otherwise(label)
     return names.withColumn("family", label).groupBy("family").agg(
-        F.count(F.lit(1)).alias("n_features"), F.sort_array(F.collect_list("feature")).alias("features"))
+        F.count(F.lit(1)).alias("n_features"),
+        F.array_join(F.sort_array(F.collect_list("feature")), "|").alias("features"))
 
 
 @register("s6_processed_matrix_write", oracle("""
