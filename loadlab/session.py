@@ -57,17 +57,20 @@ def ensure_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts.
 
-    Read from ``spark.checkpoint.dir`` (the cluster's shared storage). Only when
-    the session has none - local tests - a fresh scratch folder is created.
+    Read from ``spark.checkpoint.dir`` (the cluster's shared storage). Only a local
+    session without the setting gets a scratch folder of its own; a cluster without it
+    is an error, because executors would write where others cannot read.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(configured)
         return configured
-    current = spark.sparkContext.getCheckpointDir()
+    current = context.getCheckpointDir()
     if current:
         return current
-    local = tempfile.mkdtemp(prefix="loadlab-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="loadlab-ckpt-"))
+    return context.getCheckpointDir()
