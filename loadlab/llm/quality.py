@@ -32,10 +32,10 @@ from loadlab.llm.common import WHITE, cut, text_or_empty
 BASE_WORDS, BASE_REPEAT_PERCENT = 50, 50
 COMMON = 16
 MIN_CHARS, MIN_WORDS, MIN_REFERENCE = 200, 50, 2000
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.25, 0.45
-# Character classes, in order; what is left over is the class of symbols.
-CLASSES = (("upper", r"\p{Lu}"), ("other_letter", r"\p{L}"), ("digit", r"\p{N}"), ("white", WHITE),
-           ("stop", r".,;:'\"()\-"), ("mark", "!?"))
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.22, 0.32
+# Character classes besides lower-case ASCII letters and white space, in order; the rest are symbols.
+CLASSES = (("upper", r"\p{Lu}"), ("other_letter", r"\p{L}"), ("digit", r"\p{N}"), ("stop", r".,;:'\"()\-"), ("mark", "!?"))
+N_CLASSES = len(CLASSES) + 3
 
 
 def _without(col: Column, chars: str) -> Column:
@@ -44,27 +44,26 @@ def _without(col: Column, chars: str) -> Column:
 
 def measured(docs: DataFrame) -> DataFrame:
     """Per row: counts, class histogram and words of the whole text."""
-    text = text_or_empty()
-    d = docs.select("doc_id", F.coalesce(F.col("lang"), F.lit("\x00")).alias("lang"), text.alias("text"))
-    # Lower-case ASCII letters are most of a text; the other classes are counted in what is left.
-    d = d.withColumn("rest", _without(F.col("text"), "a-z"))
-    left, sizes, col = F.length("rest"), [], F.col("rest")
+    d = docs.select("doc_id", F.coalesce(F.col("lang"), F.lit("\x00")).alias("lang"), text_or_empty().alias("text"))
+    # Lower-case ASCII letters and blanks are most of a text; the other classes are counted in what is left.
+    d = d.withColumn("rest", _without(F.col("text"), "a-z "))
+    d = d.withColumn("solid", _without(F.col("rest"), WHITE))
+    sizes, col = [F.length("solid")], F.col("solid")
     for _name, chars in CLASSES:
         col = _without(col, chars)
         sizes.append(F.length(col))
-    d = d.withColumn("left", F.array(F.length("text"), left, *sizes))
-    counts = F.array(*[(F.get("left", F.lit(i)) - F.get("left", F.lit(i + 1))).cast("double") for i in range(len(CLASSES) + 1)],
-                     F.get("left", F.lit(len(CLASSES) + 1)).cast("double"))
-    white = 1 + [n for n, _ in CLASSES].index("white")
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(f"[^{WHITE}]"))
     words = F.filter(F.split("text", f"[{WHITE}]+", -1), lambda w: w != "")
-    d = d.select(
-        "doc_id", "lang", counts.alias("classes"),
-        (F.length("text") - (F.get("left", F.lit(white)) - F.get("left", F.lit(white + 1)))).cast("long").alias("word_chars"),
-        (F.length("rest") - F.length(_without(F.col("rest"), r"#*$%&|<>"))).cast("long").alias("n_symbols"),
-        lines.alias("lines"), words.alias("words"))
-    return d.select("doc_id", "lang", "classes", "word_chars", "n_symbols", "words",
-                    F.size("words").cast("long").alias("n_words"),
+    blanks = F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))
+    d = d.select("doc_id", "lang", F.length("text").alias("chars"), (blanks + F.length("rest") - F.length("solid")).alias("white"),
+                 (F.length("text") - blanks - F.length("rest")).alias("lower"), F.array(*sizes).alias("left"),
+                 (F.length("solid") - F.length(_without(F.col("solid"), r"#*$%&|<>"))).cast("long").alias("n_symbols"),
+                 lines.alias("lines"), words.alias("words"))
+    counts = F.array(F.col("lower").cast("double"), F.col("white").cast("double"),
+                     *[(F.get("left", F.lit(i)) - F.get("left", F.lit(i + 1))).cast("double") for i in range(len(CLASSES))],
+                     F.get("left", F.lit(len(CLASSES))).cast("double"))
+    return d.select("doc_id", "lang", counts.alias("classes"), (F.col("chars") - F.col("white")).cast("long").alias("word_chars"),
+                    "n_symbols", "words", F.size("words").cast("long").alias("n_words"),
                     (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"))
 
 
@@ -87,13 +86,14 @@ def with_repeats(d: DataFrame) -> DataFrame:
     return d.withColumn("n_repeat_words", covered).drop("windows", "ordered", "starts")
 
 
-def references(d: DataFrame, common: int = COMMON) -> DataFrame:
+def references(docs: DataFrame, common: int = COMMON) -> DataFrame:
     """Per language: ``common`` words, reference shares of classes and of common words."""
-    classes = len(CLASSES) + 2
-    sums = d.groupBy("lang").agg(F.sum("n_words").alias("n_words"), F.array(
-        *[F.sum(F.get("classes", F.lit(i))) for i in range(classes)]).alias("classes"))
-    counts = cut(d.select("lang", F.explode("words").alias("word")).groupBy("lang", F.lower("word").alias("word")).agg(
-        F.count(F.lit(1)).alias("n")).filter("n > 1"), "quality-words")
+    d, classes = measured(docs), N_CLASSES
+    sums = d.groupBy("lang").agg(F.array(*[F.sum(F.get("classes", F.lit(i))) for i in range(classes)]).alias("classes"))
+    words = docs.select(F.coalesce(F.col("lang"), F.lit("\x00")).alias("lang"), F.explode(
+        F.split(F.lower(text_or_empty()), f"[{WHITE}]+", -1)).alias("word")).filter("word <> ''")
+    counts = cut(words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "quality-words")
+    sums = sums.join(counts.groupBy("lang").agg(F.sum("n").alias("n_words")), "lang", "left").na.fill(0, ["n_words"])
     pooled = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit("\x01").alias("lang"), "word", "n")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     top = counts.unionByName(pooled).withColumn("rank", rank).filter(F.col("rank") <= common).groupBy("lang").agg(
@@ -131,17 +131,21 @@ def _with_rest(shares: Column) -> Column:
 def judged(docs: DataFrame, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """Per row: the base counts, both distances (null under their guard), ``base_failed``, ``kept``."""
     d = with_repeats(measured(docs))
-    ref = cut(references(measured(docs)), "quality-reference")
+    ref = references(docs)
+    longest = F.coalesce(F.array_max(F.transform("common", lambda c: F.octet_length(c))), F.lit(0))
+    ref = cut(ref.withColumn("longest", longest), "quality-reference")
     j = d.join(ref, "lang")
-    found = F.filter("words", lambda w: F.array_contains("common", F.lower(w)))
+    found = F.filter("words", lambda w: (F.octet_length(w) <= F.col("longest")) & F.array_contains("common", F.lower(w)))
     j = j.withColumn("found", F.transform(found, lambda w: F.lower(w)))
-    hits = F.transform("common", lambda c: F.size(F.filter("found", lambda w: w == c)).cast("double"))
+    share = lambda n: n / F.greatest(F.col("n_words"), F.lit(1))
+    hits = F.transform("common", lambda c: share(F.size(F.filter("found", lambda w: w == c)).cast("double")))
     n_chars = F.aggregate("classes", F.lit(0.0), lambda a, x: a + x)
-    j = j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_ref", "word_ref",
-                 n_chars.alias("n_chars"), F.transform("classes", lambda x: x / F.greatest(n_chars, F.lit(1.0))).alias("class_own"),
-                 F.transform(hits, lambda x: x / F.greatest(F.col("n_words"), F.lit(1))).alias("word_own"))
+    # ``found`` is read twice, so the optimizer computes it once instead of inside the function over ``common``.
+    j = j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_ref", "word_ref", "classes",
+                 n_chars.alias("n_chars"), F.concat(hits, F.array(share(F.col("n_words") - F.size("found")))).alias("word_own"))
+    j = j.withColumn("class_own", F.transform("classes", lambda x: x / F.greatest(F.col("n_chars"), F.lit(1.0))))
     class_distance = F.when(F.col("n_chars") >= MIN_CHARS, js_distance(F.col("class_own"), F.col("class_ref")))
-    word_distance = F.when(F.col("n_words") >= MIN_WORDS, js_distance(_with_rest(F.col("word_own")), _with_rest(F.col("word_ref"))))
+    word_distance = F.when(F.col("n_words") >= MIN_WORDS, js_distance(F.col("word_own"), _with_rest(F.col("word_ref"))))
     failed = (F.col("n_words") < BASE_WORDS) | (100 * F.col("n_repeat_words") > BASE_REPEAT_PERCENT * F.col("n_words"))
     j = j.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                  class_distance.alias("class_distance"), word_distance.alias("word_distance"), failed.alias("base_failed"))
