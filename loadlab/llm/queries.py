@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadlab.llm import bpe, chat, line_dedup, mixing, quality, sharding, token_counts, topk
+from loadlab.llm import bpe, chat, line_dedup, mixing, neardup, quality, sharding, token_counts, topk, toxicity
 from loadlab.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,9 +18,15 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_sharding": (_over("documents", sharding.placed_documents), sharding.PLACED_SQL),
+    "op2_toxicity": (_toxicity, None),
     "op3_token_counts": (_over("documents", token_counts.document_lengths), None),
+    "op4_near_dedup": (_over("documents", neardup.marked), None),
     "op5_line_dedup": (_over("documents", line_dedup.line_digests), line_dedup.LINES_SQL),
     "op6_quality": (_over("documents", quality.verdicts), None),
     "op7_mixing": (_over("documents", mixing.taken_words), mixing.TAKEN_SQL),
