@@ -36,6 +36,7 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -227,7 +228,7 @@ def vocabulary(path: str) -> WordBpe:
 
 def _slices(batch: pa.RecordBatch, column: int, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Parts of a batch holding at most about ``chars`` bytes of text (one row at least)."""
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, n in enumerate(sizes):
         if i > start and held + n > chars:
