@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loadlab.llm.common import cut
+
 BLOCK = 1024
 
 
@@ -108,4 +110,5 @@ def quantiles(lengths_table: DataFrame, probs: list[float]) -> DataFrame:
 
 
 def document_lengths(docs: DataFrame, path: str | None = None) -> DataFrame:
-    return length_table(histogram(lengths(docs, path)))
+    # Written once: the table below reads the histogram twice, and encoding is the whole cost.
+    return length_table(cut(histogram(lengths(docs, path)), "token-lengths"))
