@@ -22,7 +22,7 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that stand in several; ``n_chars`` follows the text."""
-    out = line_dedup.deduplicate(docs).drop("line_dedup")
+    out = line_dedup.deduplicate(docs)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 

@@ -50,6 +50,14 @@ def _remove_cuts() -> None:
             return
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until ``df`` has no such column (names are case-insensitive)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

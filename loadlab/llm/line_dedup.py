@@ -20,7 +20,8 @@ DataFrame operations throughout.
 
 Defined results: null or empty text is one empty line; a key is counted once per document
 however often it stands there; rows repeating a ``doc_id`` are one document; rows without ``doc_id``
-keep all lines and count for nothing; an empty table gives no rows.
+keep all lines and count for nothing; an empty table gives no rows; other columns are kept by
+``deduplicate`` (working columns take names that the input does not have).
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadlab.llm.common import WHITE_CHARS, cut, text_or_empty
+from loadlab.llm.common import WHITE_CHARS, cut, text_or_empty, unused
 
 MIN_CHARS, MIN_DOCS = 20, 3
 BATCHES, FANOUT = 4, 2
@@ -132,25 +133,30 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     return lost.select("doc_id", "spot").groupBy("doc_id").agg(F.collect_set("spot").alias("spots"))
 
 
-def deduplicate(docs: DataFrame, **options: int) -> DataFrame:
-    """``docs`` with ``text`` without the dropped lines, plus the struct ``line_dedup``
-    (``n_lines`` before dropping, ``n_dropped``).  A null text stays null."""
-    lost = dropped_lines(docs, **options).select(F.col("doc_id").alias("__doc"), F.col("spots").alias("__spots"))
+def _deduplicated(docs: DataFrame, info: str, **options: int) -> DataFrame:
+    doc, spots = unused(docs, "__doc"), unused(docs, "__spots")
+    lost = dropped_lines(docs, **options).select(F.col("doc_id").alias(doc), F.col("spots").alias(spots))
     lines = F.split(text_or_empty(), "\n", -1)
     # Rows without an id lose nothing; kept out of the join, they cannot pile up on one key.
     named, unnamed = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
-    joined = named.join(lost, named["doc_id"] == lost["__doc"], "left").unionByName(
-        unnamed.withColumn("__doc", F.lit(None).cast("long")).withColumn("__spots", F.lit(None).cast("array<int>")))
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__spots"))
+    joined = named.join(lost, F.col("doc_id") == F.col(doc), "left").unionByName(
+        unnamed.withColumn(doc, F.lit(None).cast("long")).withColumn(spots, F.lit(None).cast("array<int>")))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(spots))
     kept = F.transform(stay, lambda i: F.get(lines, i))
-    text = F.when(F.col("__spots").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    info = F.struct(F.size(lines).cast("long").alias("n_lines"),
-                    F.coalesce(F.size("__spots"), F.lit(0)).cast("long").alias("n_dropped"))
-    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns], info.alias("line_dedup"))
+    text = F.when(F.col(spots).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    counts = F.struct(F.size(lines).cast("long").alias("n_lines"),
+                      F.coalesce(F.size(F.col(spots)), F.lit(0)).cast("long").alias("n_dropped"))
+    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns], counts.alias(info))
+
+
+def deduplicate(docs: DataFrame, **options: int) -> DataFrame:
+    """``docs`` with ``text`` without the dropped lines; a null text stays null."""
+    info = unused(docs, "line_dedup")
+    return _deduplicated(docs, info, **options).drop(info)
 
 
 def line_digests(docs: DataFrame) -> DataFrame:
-    out = deduplicate(docs.select("doc_id", "text"))
+    out = _deduplicated(docs.select("doc_id", "text"), "line_dedup")
     return out.select("doc_id", "line_dedup.n_lines", "line_dedup.n_dropped",
                       F.sha2(text_or_empty().cast("binary"), 256).alias("kept_sha256"))
 

@@ -21,7 +21,7 @@ broadcasts it only when its real size allows and AQE splits a skewed source othe
 Defined results: null text has size 0; a null source is a source of its own, last in
 order; rows without ``doc_id`` draw by the hash of their text; repeated rows draw alike;
 a source of size 0 has target 0 and is not emitted; an empty table gives an empty result.
-Other columns are kept by ``mix`` and never collide (working columns are in a struct).
+Other columns are kept by ``mix``; working columns take names that the input does not have.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadlab.llm.common import cut, hex_to_long, text_or_empty, word_count
+from loadlab.llm.common import cut, hex_to_long, text_or_empty, unused, word_count
 
 DRAWS = 8
 
@@ -99,15 +99,15 @@ def mix(docs: DataFrame, max_repeat: int = 3, seed: int = 7, weights=cycle_weigh
     """The mixed corpus: each row of ``docs`` as many times as its copies, columns unchanged."""
     rates = (ledger(docs, max_repeat, seed, weights).groupBy("source")
              .agg(F.first("rate").alias("rate"), F.first("pick").alias("pick")))
-    rates = cut(rates, "mix-bysource").select(F.col("source").alias("__source"), F.struct("rate", "pick").alias("__r"))
+    by, info, copy = unused(docs, "__source"), unused(docs, "__rate"), unused(docs, "__copy")
+    rates = cut(rates, "mix-bysource").select(F.col("source").alias(by), F.struct("rate", "pick").alias(info))
     key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("t"), F.md5(text_or_empty())))
     draw = F.sha2(F.concat(F.lit(f"{seed}:"), key), 256)
-    rate = F.col("__r.rate")
-    u = F.conv(F.substring(draw, 8 * F.col("__r.pick") + 1, F.lit(8)), 16, 10).cast("bigint") / F.lit(4294967296.0)
+    rate = F.col(info)["rate"]
+    u = F.conv(F.substring(draw, 8 * F.col(info)["pick"] + 1, F.lit(8)), 16, 10).cast("bigint") / F.lit(4294967296.0)
     copies = (F.floor(rate) + F.when(u < rate - F.floor(rate), 1).otherwise(0)).cast("int")
-    out = docs.join(rates, F.col("source").eqNullSafe(F.col("__source")), "left")
-    return out.select(*docs.columns, F.explode(F.sequence(F.lit(0), copies)).alias("__copy")).filter(
-        "__copy > 0").drop("__copy")
+    out = docs.join(rates, F.col("source").eqNullSafe(F.col(by)), "left")
+    return out.select(*docs.columns, F.explode(F.sequence(F.lit(0), copies)).alias(copy)).filter(F.col(copy) > 0).drop(copy)
 
 
 def taken_words(docs: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadlab.llm.common import cut
+from loadlab.llm.common import cut, unused
 
 WORDS, PERCENT = 5, 75
 COORDS, POSTED = 128, 32
@@ -395,6 +395,6 @@ def marked(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that another document of their component stands for."""
-    gone = marked(docs).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    gone = cut(gone, "near-gone")
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    name = unused(docs, "__gone")
+    gone = cut(marked(docs).filter("not kept").select(F.col("doc_id").alias(name)).distinct(), "near-gone")
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
