@@ -155,3 +155,47 @@ def judged(docs: DataFrame, max_class: float = MAX_CLASS_DISTANCE, max_word: flo
 
 def verdicts(docs: DataFrame) -> DataFrame:
     return judged(docs).drop("class_distance", "word_distance")
+
+
+_JS = "CASE WHEN {p} > 0 THEN {p} * log2({p} / (({p} + {q}) / 2)) ELSE 0 END + CASE WHEN {q} > 0 THEN {q} * log2({q} / (({p} + {q}) / 2)) ELSE 0 END"
+
+QUALITY_SQL = f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce('l' || lang, 'n') AS lang, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words, len(regexp_extract_all(text, '[a-z]')) AS lo,
+    len(regexp_extract_all(text, '[\\x20\\x09-\\x0D]')) AS ws, len(regexp_extract_all(text, '\\p{{Lu}}')) AS up,
+    len(regexp_extract_all(text, '\\p{{L}}')) AS le, len(regexp_extract_all(text, '\\p{{N}}')) AS di,
+    len(regexp_extract_all(text, '[.,;:''"()\\-]')) AS st, len(regexp_extract_all(text, '[!?]')) AS ma,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM t),
+c AS (SELECT *, len(words) AS n_words, length(text) AS chars,
+    [lo, ws, up, le - lo - up, di, st, ma, length(text) - ws - le - di - st - ma] AS cl FROM w),
+e AS (SELECT r, lang, unnest(words) AS word FROM c),
+counts AS (SELECT lang, lower(word) AS word, count(*) AS n FROM e GROUP BY 1, 2),
+both_ AS (SELECT * FROM counts UNION ALL SELECT 'pool', word, sum(n) FROM counts GROUP BY word),
+sums AS (SELECT lang, sum(n) AS n FROM both_ GROUP BY lang),
+top AS (SELECT b.lang, word, rank_, b.n / s.n AS q FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS rank_ FROM both_) b JOIN sums s USING (lang) WHERE rank_ <= {COMMON}),
+u AS (SELECT c.*, CASE WHEN coalesce(s.n, 0) >= {MIN_REFERENCE} THEN c.lang ELSE 'pool' END AS el FROM c LEFT JOIN sums s USING (lang)),
+k AS (SELECT lang, i, sum(x) AS x FROM (SELECT lang, unnest(cl) AS x, generate_subscripts(cl, 1) AS i FROM c) GROUP BY ALL),
+kb AS (SELECT * FROM k UNION ALL SELECT 'pool', i, sum(x) FROM k GROUP BY i),
+ks AS (SELECT lang, i, x / sum(x) OVER (PARTITION BY lang) AS q FROM kb),
+cd AS (SELECT r, sqrt(greatest(sum({_JS.format(p='p', q='q')}) / 2, 0)) AS class_distance FROM (
+  SELECT r, el, unnest(cl) / greatest(chars, 1) AS p, generate_subscripts(cl, 1) AS i FROM u) x JOIN ks ON ks.lang = x.el AND ks.i = x.i GROUP BY r),
+hit AS (SELECT u.r, top.word, count(*) AS n FROM e JOIN u ON u.r = e.r JOIN top ON top.lang = u.el AND top.word = lower(e.word) GROUP BY ALL),
+bins AS (SELECT u.r, coalesce(h.n, 0) / greatest(u.n_words, 1) AS p, top.q FROM u JOIN top ON top.lang = u.el LEFT JOIN hit h ON h.r = u.r AND h.word = top.word),
+rest AS (SELECT u.r, (u.n_words - coalesce(h.n, 0)) / greatest(u.n_words, 1) AS p, greatest(1 - q.q, 0) AS q FROM u
+  JOIN (SELECT lang, sum(q) AS q FROM top GROUP BY lang) q ON q.lang = u.el LEFT JOIN (SELECT r, sum(n) AS n FROM hit GROUP BY r) h ON h.r = u.r),
+wd AS (SELECT r, sqrt(greatest(sum({_JS.format(p='p', q='q')}) / 2, 0)) AS word_distance FROM (SELECT * FROM bins UNION ALL SELECT * FROM rest) GROUP BY r),
+win AS (SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS x FROM (
+  SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM c WHERE len(words) >= 3)),
+rep AS (SELECT r, count(DISTINCT p) AS n FROM (
+  SELECT r, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY r, x) AS m FROM win) WHERE m > 1) GROUP BY r),
+j AS (SELECT u.doc_id, u.n_words, chars - ws AS word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+  coalesce(rep.n, 0) AS n_repeat_words, u.n_words < {BASE_WORDS} OR 100 * coalesce(rep.n, 0) > {BASE_REPEAT_PERCENT} * u.n_words AS base_failed,
+  CASE WHEN chars >= {MIN_CHARS} THEN class_distance ELSE 0 END AS class_distance,
+  CASE WHEN u.n_words >= {MIN_WORDS} THEN word_distance ELSE 0 END AS word_distance
+  FROM u LEFT JOIN rep USING (r) LEFT JOIN cd USING (r) LEFT JOIN wd USING (r))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(class_distance, 0) <= {MAX_CLASS_DISTANCE} AND coalesce(word_distance, 0) <= {MAX_WORD_DISTANCE} AS kept FROM j
+"""

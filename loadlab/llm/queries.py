@@ -28,7 +28,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op3_token_counts": (_over("documents", token_counts.document_lengths), None),
     "op4_near_dedup": (_over("documents", neardup.marked), None),
     "op5_line_dedup": (_over("documents", line_dedup.line_digests), line_dedup.LINES_SQL),
-    "op6_quality": (_over("documents", quality.verdicts), None),
+    "op6_quality": (_over("documents", quality.verdicts), quality.QUALITY_SQL),
     "op7_mixing": (_over("documents", mixing.taken_words), mixing.TAKEN_SQL),
     "op8_chat": (_over("conversations", chat.digests), chat.CHAT_SQL),
     "op9_topk": (_over("embeddings", topk.nearest), topk.TOPK_SQL),
