@@ -6,7 +6,8 @@ Replaces the YAML loader: every job takes a ``JobConfig`` (or the default one).
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+import json
+from dataclasses import dataclass, field, fields
 
 # --- fixed values (must equal the original pipeline's for equal results) ---
 # Column roles.
@@ -115,3 +116,19 @@ class JobConfig:
 
 
 DEFAULT = JobConfig()
+
+
+def to_json(cfg: JobConfig) -> str:
+    """A config as text, for fitted state that is saved with a model."""
+    return json.dumps({f.name: getattr(cfg, f.name) for f in fields(cfg) if f.name != "extra"},
+                      default=lambda d: d.isoformat())
+
+
+def from_json(text: str) -> JobConfig:
+    values = json.loads(text)
+    for f in fields(JobConfig):
+        if isinstance(getattr(DEFAULT, f.name), dt.date):
+            values[f.name] = dt.date.fromisoformat(values[f.name])
+        elif isinstance(getattr(DEFAULT, f.name), tuple):
+            values[f.name] = tuple(values[f.name])
+    return JobConfig(**values)

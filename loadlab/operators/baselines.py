@@ -27,8 +27,8 @@ def rate_table(df: DataFrame, group: str | None = "equipment", y: str = "posted_
                distance: str = "distance") -> DataFrame:
     """Median rate per mile per group plus the global one.
 
-    Exact medians by sorting (``exact_quantiles``): no group's values are
-    gathered in one task, even a group holding a third of all rows. NULL
+    Exact medians (``exact_quantiles``): no group's values are gathered in one
+    task, even a group holding a third of all rows. NULL
     groups are dropped like pandas' groupby.
     """
     rpm = rate_per_mile(y, distance).alias("rpm")
@@ -60,7 +60,7 @@ class RatePerMileModel:
             return df.withColumn(out, dist * F.lit(self.global_rate))
         keyed = df.withColumn("__grp", strip_text(self.group))
         rates = self.rates.df.select(F.col("group").alias("__grp"), F.col("rate_per_mile").alias("__rpm"))
-        joined = Lookup(rates, self.rates.rows, self.rates.bounded).join(keyed, on="__grp", how="left")
+        joined = Lookup(rates).join(keyed, on="__grp", how="left")
         return joined.withColumn(out, dist * F.coalesce(F.col("__rpm"), F.lit(self.global_rate))).drop("__grp", "__rpm")
 
 
@@ -68,14 +68,11 @@ def fit_rate_per_mile(df: DataFrame, group: str | None = "equipment", y: str = "
                       distance: str = "distance") -> RatePerMileModel:
     table = rate_table(df, group, y, distance)
     lookup = bounded(table)
-    if lookup.bounded:
-        glob = [r["rate_per_mile"] for r in lookup.df.filter("is_global").collect()]
-    else:
-        glob = [r["rate_per_mile"] for r in table.filter("is_global").collect()]
+    glob = [r["rate_per_mile"] for r in lookup.df.filter("is_global").collect()]  # one row
     g = glob[0] if glob else None
     if g is None:
         raise ValueError("rate-per-mile baseline: no row with distance > 0")
-    groups = Lookup(lookup.df.filter(~F.col("is_global")), lookup.rows, lookup.bounded) if group else None
+    groups = Lookup(lookup.df.filter(~F.col("is_global"))) if group else None
     return RatePerMileModel(group, float(g), groups, distance)
 
 
@@ -89,7 +86,7 @@ class ConstantModel:
 
 
 def constant_stats(df: DataFrame, y: str = "posted_rate") -> dict:
-    """Mean (one aggregate) and exact median (sort-based) of the target."""
+    """Mean (one aggregate) and exact median of the target."""
     mean = df.agg(F.avg(y)).first()[0]
     return {"mean_rate": mean, "median_rate": quantile_values(df, y, [0.5])[0]}
 

@@ -1,39 +1,38 @@
-"""Size-checked lookup joins.
+"""Lookup joins.
 
 A fitted lookup (group -> rate, city -> coordinates, date -> market) is the
 output of an aggregate over a large table, so its size is known only at run
-time. ``bounded`` cuts it from its lineage into the shared checkpoint folder
-(the aggregate runs once; the small result is written, not sent through the
-driver), then counts at most ``max_rows + 1`` of its rows: under the bound the
-join broadcasts it (proven size), over it the join is a normal shuffle join.
+time. ``bounded`` writes it to the shared checkpoint folder (the aggregate runs
+once, nothing passes through the driver). Reading it back, the planner knows its
+real size in bytes: under ``spark.sql.autoBroadcastJoinThreshold`` the join
+broadcasts it and the large side is not shuffled; over it the join is a shuffle
+join whose sides are both plain exchanges, which AQE can split where a key is hot.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from loadlab.session import checkpoint_dir
 
-# Largest lookup broadcast to every task (rows of a few narrow columns: a few MB).
-MAX_BROADCAST_ROWS = 100_000
+
+def written(df: DataFrame, name: str = "lookup") -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/loadlab-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @dataclass
 class Lookup:
     df: DataFrame
-    rows: int | None  # exact row count when bounded, else None
-    bounded: bool
 
     def join(self, left: DataFrame, on, how: str = "left") -> DataFrame:
-        right = F.broadcast(self.df) if self.bounded else self.df
-        return left.join(right, on=on, how=how)
+        return left.join(self.df, on=on, how=how)
 
 
-def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Lookup:
-    checkpoint_dir(df.sparkSession)
-    cut = df.checkpoint(eager=True)
-    n = cut.limit(max_rows + 1).count()
-    return Lookup(cut, n if n <= max_rows else None, n <= max_rows)
+def bounded(df: DataFrame) -> Lookup:
+    return Lookup(written(df))

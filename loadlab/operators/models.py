@@ -8,17 +8,18 @@ jobs driven from a short driver loop over (candidate, fold).
 
 from __future__ import annotations
 
+import json
 import random
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlab.config import DEFAULT, JobConfig
+from loadlab.config import DEFAULT, JobConfig, to_json
 from loadlab.functions.cleaning import exp_target, floor_predictions, log_target
 from loadlab.operators.encode import FeatureEncoder
 from loadlab.operators.metrics import regression_metrics, smearing_factor
@@ -80,6 +81,12 @@ class FittedModel:
     floor: float = 1.0
     factor: float = 1.0
 
+    @property
+    def constant_features(self) -> list[str]:
+        """Encoder features that were constant in training and so carry no weight."""
+        used = set(self.feature_names)
+        return [n for n in self.pipeline.stages[0].feature_names() if n not in used]
+
     @property
     def feature_names(self) -> list[str]:
         """Names of the model's input features (the assembler's columns), in order."""
@@ -102,8 +109,12 @@ class FittedModel:
         return scored.select("__row.*", floor_predictions(dollars * F.lit(self.factor), self.floor).alias(out))
 
     def save(self, path: str) -> None:
-        """Persist the fitted pipeline."""
-        self.pipeline.write().overwrite().save(path)
+        """Persist the fitted pipeline and what prediction needs besides it
+        (target transform, smearing factor, floor)."""
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        spark = SparkSession.getActiveSession()
+        state = json.dumps({"spec": asdict(self.spec), "floor": self.floor, "factor": self.factor})
+        spark.createDataFrame([(state,)], "state string").coalesce(1).write.mode("overwrite").json(f"{path}/state")
 
 
 def fit(spec: ModelSpec, train: DataFrame, cfg: JobConfig = DEFAULT, params: dict | None = None) -> FittedModel:
@@ -111,7 +122,7 @@ def fit(spec: ModelSpec, train: DataFrame, cfg: JobConfig = DEFAULT, params: dic
     params = {**spec.params, **(params or {})}
     # The encoder caches its built features while fitting; the solver passes below
     # read the cached encoded rows. The raw training rows are read twice, never cached.
-    encoder = FeatureEncoder(keepColumns=[cfg.id_column, cfg.target, LABEL])
+    encoder = FeatureEncoder(keepColumns=[cfg.id_column, cfg.target, LABEL], config=to_json(cfg))
     enc_model = encoder.fit(train)
     names = enc_model.feature_names()
     labelled = _labelled(train, spec, cfg)
@@ -133,9 +144,10 @@ def fit(spec: ModelSpec, train: DataFrame, cfg: JobConfig = DEFAULT, params: dic
     return FittedModel(spec, PipelineModel(stages=[enc_model, assembler, reg_model]))
 
 
-def load(spec: ModelSpec, path: str) -> FittedModel:
-    """Reload a persisted pipeline."""
-    return FittedModel(spec, PipelineModel.load(path))
+def load(path: str) -> FittedModel:
+    """Reload a saved model; it predicts as the one that was saved."""
+    state = json.loads(SparkSession.getActiveSession().read.schema("state string").json(f"{path}/state").first()["state"])
+    return FittedModel(ModelSpec(**state["spec"]), PipelineModel.load(f"{path}/pipeline"), state["floor"], state["factor"])
 
 
 def fit_predict(spec: ModelSpec, train: DataFrame, evaluate: DataFrame, cfg: JobConfig = DEFAULT,

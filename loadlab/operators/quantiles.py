@@ -1,25 +1,21 @@
-"""Exact, interpolated quantiles without gathering a group's values (sort-based).
-
-Spark's exact ``percentile`` aggregate keeps every distinct value of a group
-(with its count) in one task's memory; on a continuous column of a large
-table, or a group holding a third of all rows, that does not fit. Here the
-values are range-partitioned and sorted on ``(keys, value)``; each row's rank
-inside its group is ``offset of (partition, group) + index inside the
-partition``, where the offsets come from a small table with one row per
-(partition, group) run. Only the two rows around each target rank,
-``h = (n - 1) q``, are joined back, and ``v[lo] + (h - lo) (v[hi] - v[lo])``
-gives the same value as linear-interpolation quantiles (numpy's default,
-DuckDB's ``quantile_cont``, Spark's ``percentile``).
-
-Only values are read at the target ranks, so ties in the sort order do not
-matter and the result is the same after a recomputation.
-
-The sort costs a shuffle of the values. When a cheap pre-pass proves that no
-group has many distinct values (``approx_count_distinct`` per group, bounded
-by ``loadlab.quantiles.mapLimit``, default 4,000,000 with a 3x margin for the
-estimate's error), Spark's ``percentile`` aggregate is used instead: its
-per-group state is then the bounded value -> count map. Both paths give the
-same numbers.
+"""Exact, interpolated quantiles without gathering or sorting a group's values.
+
+One method at every size:
+
+1. a sketch (``percentile_approx``) per group brackets every target rank.  Its rank error is
+   at most ``n / ACCURACY``, and the bracket reaches three times that to each side, so the
+   target lies inside; a group of at most ``ACCURACY`` values is its own bracket;
+2. one map-side combined aggregate counts, per target, the values below the bracket (one
+   row) and each distinct value inside it (a few in ten thousand of the values);
+3. a running count over those rows finds the two values around ``h = (n - 1) q``, and
+   ``v[lo] + (h - lo) (v[hi] - v[lo])`` equals linear-interpolation quantiles (numpy's
+   default, DuckDB's ``quantile_cont``).
+
+No step depends on row order, on one plan node being shared by several branches, or on a session
+setting.  A group's values meet in one task only inside the bracket: about
+``8 / ACCURACY`` of them (for 10^12 rows in a group, under 10^8 numbers in a spilling sort).
+The sketch table is written first, so the planner broadcasts it by its real size, and a hot
+group is split by AQE otherwise.
 """
 
 from __future__ import annotations
@@ -27,57 +23,75 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAP_LIMIT_CONF = "loadlab.quantiles.mapLimit"
-DEFAULT_MAP_LIMIT = 4_000_000
+from loadlab.operators.lookup import written
+
+ACCURACY = 100_000
+REACH = 3.0
+
+
+def _value(value: str | Column) -> Column:
+    return (F.col(value) if isinstance(value, str) else value).cast("double")
+
+
+def _valid(v: Column) -> Column:
+    """NULL and NaN are no values."""
+    return F.when(v.isNotNull() & ~F.isnan(v), v)
+
+
+def _ends(probs: list[float]) -> tuple[list[float], list[float]]:
+    reach = REACH / ACCURACY
+    return [max(p - reach, 0.0) for p in probs], [min(p + reach, 1.0) for p in probs]
+
+
+def _bracket(v: Column, probs: list[float]) -> list[Column]:
+    lows, highs = _ends(probs)
+    return [F.count(v).alias("__n"), F.percentile_approx(v, [*lows, *highs], ACCURACY).alias("__ends")]
+
+
+def _interpolated(counts: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """``counts``: per (keys, __i) rows ``__x`` (NULL: all values below the bracket), ``__c`` of them,
+    ``__n`` values in the group.  Returns ``keys, __i, __q``."""
+    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i") + 1)
+    seen = F.sum("__c").over(Window.partitionBy(*keys, "__i").orderBy(F.col("__x").asc_nulls_first())
+                             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counts.withColumn("__to", seen).withColumn("__h", (F.col("__n") - 1) * prob)
+    lo, hi = F.floor("__h"), F.ceil("__h")
+    at = lambda rank: F.max(F.when((rank >= F.col("__to") - F.col("__c")) & (rank < F.col("__to")), F.col("__x")))
+    pair = ranked.groupBy(*keys, "__i").agg(at(lo).alias("__a"), at(hi).alias("__b"), F.max(F.col("__h") - lo).alias("__w"))
+    outside = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    value = F.col("__a") + F.col("__w") * (F.col("__b") - F.col("__a"))
+    return pair.select(*keys, "__i", F.when(F.col("__a").isNull() | F.col("__b").isNull(), outside)
+                       .when(F.col("__a") == F.col("__b"), F.col("__a")).otherwise(value).alias("__q"))
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], keys: list[str] | tuple = (),
-                    names: list[str] | None = None, n_partitions: int | None = None) -> DataFrame:
+                    names: list[str] | None = None) -> DataFrame:
     """One row per group (``keys``; none for a global result) with one column per probability.
 
     NULL / NaN values are ignored, and so are rows whose group key is NULL
     (like pandas' ``groupby``); a group without values is absent.
     """
-    keys = list(keys)
     names = names or [f"q{i}" for i in range(len(probs))]
-    spark = df.sparkSession
-    n_part = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v = F.col(value) if isinstance(value, str) else value
-    base = df.select(*keys, v.cast("double").alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    for k in keys:
+    by = list(keys) or ["__all"]
+    base = df if keys else df.withColumn("__all", F.lit(0))
+    base = base.select(*by, _valid(_value(value)).alias("__v")).filter(F.col("__v").isNotNull())
+    for k in by:
         base = base.filter(F.col(k).isNotNull())
-
-    limit = int(spark.conf.get(MAP_LIMIT_CONF, str(DEFAULT_MAP_LIMIT)))
-    if limit > 0:
-        est = base.groupBy(*keys).agg(F.approx_count_distinct("__v", 0.05).alias("__d")).agg(F.max("__d")).first()[0]
-        if est is not None and est * 3 <= limit:
-            agg = base.groupBy(*keys).agg(F.percentile("__v", [float(p) for p in probs]).alias("__qs"))
-            return agg.select(*keys, *[F.col("__qs")[i].alias(n) for i, n in enumerate(names)])
-
-    ordered = (base.repartitionByRange(n_part, *keys, "__v").sortWithinPartitions(*keys, "__v")
-               .withColumn("__pid", F.spark_partition_id()).withColumn("__mid", F.monotonically_increasing_id()))
-    # One row per (partition, group) run: its first id and size (at most partitions + groups rows).
-    runs = ordered.groupBy("__pid", *keys).agg(F.min("__mid").alias("__start"), F.count(F.lit(1)).alias("__n"))
-    w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("__pid")
-    runs = runs.withColumn("__off", F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    sizes = runs.groupBy(*keys).agg(F.sum("__n").alias("__size"))
-
-    # Target ranks per group and probability (groups x probs x 2 rows).
-    targets = (sizes.select(*keys, "__size", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("__i", "__p"))
-               .withColumn("__h", (F.col("__size") - 1) * F.col("__p"))
-               .withColumn("__lo", F.floor("__h")).withColumn("__hi", F.ceil("__h")))
-    wanted = targets.select(*keys, F.explode(F.array_distinct(F.array("__lo", "__hi"))).alias("__rank")).distinct()
-
-    ranked = (ordered.join(runs.select("__pid", *keys, "__start", "__off"), ["__pid", *keys])
-              .withColumn("__rank", F.col("__off") + F.col("__mid") - F.col("__start")))
-    picked = ranked.join(wanted, [*keys, "__rank"], "left_semi").select(*keys, "__rank", "__v")
-
-    lo = picked.select(*keys, F.col("__rank").alias("__lo"), F.col("__v").alias("__vlo"))
-    hi = picked.select(*keys, F.col("__rank").alias("__hi"), F.col("__v").alias("__vhi"))
-    res = (targets.join(lo, [*keys, "__lo"]).join(hi, [*keys, "__hi"])
-           .withColumn("__q", F.col("__vlo") + (F.col("__h") - F.col("__lo")) * (F.col("__vhi") - F.col("__vlo"))))
-    return res.groupBy(*keys).pivot("__i", list(range(len(probs)))).agg(F.first("__q")).select(
-        *keys, *[F.col(str(i)).alias(n) for i, n in enumerate(names)])
+    sketch = written(base.groupBy(*by).agg(*_bracket(F.col("__v"), probs)))
+    own = base.join(sketch, by)
+    lows, highs = _ends(probs)
+    whole, v = F.col("__n") <= ACCURACY, F.col("__v")
+    entries = []
+    for i, (low, high) in enumerate(zip(lows, highs, strict=True)):
+        below = F.lit(False) if low == 0.0 else ~whole & (v < F.col("__ends")[i])
+        above = F.lit(False) if high == 1.0 else ~whole & (v > F.col("__ends")[len(probs) + i])
+        entries.append(F.when(~above, F.struct(F.lit(i).alias("__i"), F.when(~below, v).alias("__x"))))
+    rows = own.select(*by, "__n", F.explode(F.array_compact(F.array(*entries))).alias("__e"))
+    counts = rows.groupBy(*by, F.col("__e.__i").alias("__i"), F.col("__e.__x").alias("__x")).agg(
+        F.count(F.lit(1)).alias("__c"), F.max("__n").alias("__n"))
+    found = _interpolated(counts, by, probs)
+    wide = found.groupBy(*by).agg(*[F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(n) for i, n in enumerate(names)])
+    return wide.select(*keys, *names)
 
 
 def exact_median(df: DataFrame, value: str | Column, keys: list[str] | tuple = (), name: str = "median") -> DataFrame:
@@ -86,19 +100,19 @@ def exact_median(df: DataFrame, value: str | Column, keys: list[str] | tuple = (
 
 def quantile_values(df: DataFrame, value: str | Column, probs: list[float]) -> list[float | None]:
     """Global quantiles as Python floats (one small result row)."""
-    row = exact_quantiles(df, value, probs).first()
-    if row is None:
-        return [None] * len(probs)
-    return [row[f"q{i}"] for i in range(len(probs))]
+    found = column_quantiles(df.select(_value(value).alias("__x")), ["__x"], probs)["__x"]
+    return found if found is not None else [None] * len(probs)
 
 
 def group_medians(df: DataFrame, keys: list[str], values: dict[str, str | Column], probs: float = 0.5) -> DataFrame:
-    """Exact quantile of several value columns per group with one sort: the columns are
+    """Exact quantile of several value columns per group at once: the columns are
     stacked into ``(keys, metric, value)`` rows and ``metric`` becomes part of the group key.
     Returns ``keys + list(values)`` columns (NULL groups dropped)."""
+    if len(values) == 1:
+        (name, v), = values.items()
+        return exact_quantiles(df, v, [probs], keys, [name])
     stacked = df.select(*keys, F.inline(F.array(*[
-        F.struct(F.lit(name).alias("__metric"), (F.col(v) if isinstance(v, str) else v).cast("double").alias("__val"))
-        for name, v in values.items()])))
+        F.struct(F.lit(name).alias("__metric"), _value(v).alias("__val")) for name, v in values.items()])))
     q = exact_quantiles(stacked, "__val", [probs], [*keys, "__metric"], ["__q"])
     return q.groupBy(*keys).pivot("__metric", list(values)).agg(F.first("__q"))
 
@@ -110,34 +124,37 @@ def with_medians(agg: DataFrame, df: DataFrame, keys: list[str], values: dict[st
     return agg.join(group_medians(df, keys, values), keys, "left")
 
 
-def column_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                     distinct_estimates: dict[str, int] | None = None) -> dict[str, list[float | None]]:
-    """Exact quantiles of several columns (no groups), as a dict.
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns (no groups), as a dict; None for a column without values.
 
-    With bounded distinct counts (estimates may be passed in from an aggregate
-    the caller runs anyway) all columns are answered by one wide ``percentile``
-    aggregate; otherwise by one sort of the stacked ``(feature, value)`` rows.
+    The same three steps with the brackets as literals: a wide aggregate of sketches, a wide
+    aggregate of counts below the brackets, and one pass that emits the values inside.
     """
     if not cols:
         return {}
-    spark = df.sparkSession
-    limit = int(spark.conf.get(MAP_LIMIT_CONF, str(DEFAULT_MAP_LIMIT)))
-    if limit > 0:
-        if distinct_estimates is None:
-            row = df.agg(*[F.approx_count_distinct(F.col(c), 0.05).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-            distinct_estimates = {c: row[f"d{i}"] for i, c in enumerate(cols)}
-        if all((distinct_estimates.get(c) or 0) * 3 <= limit for c in cols):
-            row = df.agg(*[F.percentile(F.col(c).cast("double"), [float(p) for p in probs]).alias(f"q{i}")
-                           for i, c in enumerate(cols)]).first()
-            return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else None) for i, c in enumerate(cols)}
-    stacked = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("__f"), F.col(c).cast("double").alias("__x"))
-                                           for c in cols])))
-    names = [f"q{i}" for i in range(len(probs))]
-    spark.conf.set(MAP_LIMIT_CONF, "0")  # the estimate already chose the sort path
-    try:
-        rows = exact_quantiles(stacked, "__x", probs, ["__f"], names).collect()
-    finally:
-        spark.conf.set(MAP_LIMIT_CONF, str(limit))
-    out = {c: None for c in cols}
-    out.update({r["__f"]: [r[n] for n in names] for r in rows})
+    values = [_valid(F.col(c).cast("double")) for c in cols]
+    row = df.agg(*[c.alias(f"c{i}_{j}") for i, v in enumerate(values) for j, c in enumerate(_bracket(v, probs))]).first()
+    lows, highs = _ends(probs)
+    targets: list[tuple[int, int, int, Column, Column]] = []  # column, probability, size, below, inside
+    for c, v in enumerate(values):
+        n, ends = row[f"c{c}_0"], row[f"c{c}_1"]
+        for i in range(len(probs) if n else 0):
+            whole = n <= ACCURACY
+            below = F.lit(False) if whole or lows[i] == 0.0 else F.coalesce(v < ends[i], F.lit(False))
+            above = F.lit(False) if whole or highs[i] == 1.0 else F.coalesce(v > ends[len(probs) + i], F.lit(False))
+            targets.append((c, i, n, below, v.isNotNull() & ~below & ~above))
+    if not targets:
+        return dict.fromkeys(cols)
+    under = df.agg(*[F.count_if(t[3]).alias(f"b{k}") for k, t in enumerate(targets)]).first()
+    entries = [F.when(t[4], F.struct(F.lit(t[0]).alias("__f"), F.lit(t[1]).alias("__i"), values[t[0]].alias("__x"))) for t in targets]
+    inside = df.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("__f", "__i", "__x").agg(F.count(F.lit(1)).alias("__c"))
+    # One literal row per target: how many values lie below its bracket, how many there are.
+    known = F.array(*[F.struct(F.lit(t[0]).alias("__f"), F.lit(t[1]).alias("__i"), F.lit(under[f"b{k}"]).cast("long").alias("__b"),
+                               F.lit(t[2]).cast("long").alias("__n")) for k, t in enumerate(targets)])
+    known = df.sparkSession.range(1).select(F.inline(known))
+    counts = inside.join(F.broadcast(known), ["__f", "__i"]).select("__f", "__i", "__x", "__c", "__n").unionByName(
+        known.filter("__b > 0").select("__f", "__i", F.lit(None).cast("double").alias("__x"), F.col("__b").alias("__c"), "__n"))
+    out: dict[str, list[float | None]] = {c: [None] * len(probs) if row[f"c{k}_0"] else None for k, c in enumerate(cols)}
+    for r in _interpolated(counts, ["__f"], probs).collect():  # columns x probabilities rows
+        out[cols[r["__f"]]][r["__i"]] = r["__q"]
     return out

@@ -3,6 +3,7 @@ fitted on cleaned train rows and applied to holdout / scoring rows."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loadlab.operators import encode as EN
@@ -114,9 +115,9 @@ def u3_unseen_values(spark, sf):
     from loadlab.functions.cleaning import strip_text
     train = tables.train(spark, sf).select(strip_text("delivery").alias("value"))
     score = tables.scoring(spark, sf).select(strip_text("delivery").alias("value"))
-    unseen = score.select("value").distinct().subtract(train.distinct())
-    return (score.join(unseen, "value", "left_semi").groupBy("value").agg(F.count(F.lit(1)).alias("n_rows"))
-            .withColumn("feature", F.lit("delivery")))
+    # Counted per value first (combined on the map side), so the anti join meets one row per city.
+    counts = score.filter("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.join(train.distinct(), "value", "left_anti").withColumn("feature", F.lit("delivery"))
 
 
 @register("a42_cleaning_stats", oracle("""
@@ -127,13 +128,16 @@ FROM (SELECT *, CASE WHEN date < DATE '2001-01-01' THEN 'development' ELSE 'scor
 def a42_cleaning_stats(spark, sf):
     df = tables.with_window(tables.loads(spark, sf)).withColumn(
         "dataset", F.when(F.col("window") == "scoring", "scoring").otherwise("development"))
-    dev_vocab = df.filter(F.col("dataset") == "development").select(F.col("delivery").alias("__d")).distinct()
-    flagged = df.join(dev_vocab.withColumn("__seen", F.lit(True)), df["delivery"] == dev_vocab["__d"], "left")
-    return flagged.groupBy("dataset").agg(
-        F.count_if(F.col("weight") < 0).alias("negative_weight"),
+    # One map-side combined aggregate to (dataset, city) rows; cities are compared there.
+    per = df.groupBy("dataset", "delivery").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("weight") < 0).alias("negative_weight"),
         F.count_if(F.col("weight").isNull()).alias("missing_weight"),
-        F.count_if(F.col("market_index").isNull()).alias("missing_market_index"),
-        F.count_if(F.col("__seen").isNull()).alias("unseen_delivery_rows"))
+        F.count_if(F.col("market_index").isNull()).alias("missing_market_index"))
+    seen = F.max(F.col("dataset") == "development").over(Window.partitionBy("delivery")) & F.col("delivery").isNotNull()
+    return per.withColumn("seen", seen).groupBy("dataset").agg(
+        F.sum("negative_weight").alias("negative_weight"), F.sum("missing_weight").alias("missing_weight"),
+        F.sum("missing_market_index").alias("missing_market_index"),
+        F.sum(F.when(F.col("seen"), 0).otherwise(F.col("rows"))).alias("unseen_delivery_rows"))
 
 
 @register("g3_null_counts_processed")

@@ -103,7 +103,7 @@ def m19_importance_table(spark, sf):
 def t9_consensus_features(spark, sf):
     model = _ridge_log(spark, sf)
     native = EX.native_importance(model)
-    perm = EX.permutation_importance_linear(model, tables.holdout(spark, sf), DEFAULT, repeats=2)
+    perm = EX.permutation_importance_linear(model, tables.holdout(spark, sf), DEFAULT, repeats=5)
     return rounded(EX.consensus(EX.importance_table(native, perm)))
 
 
@@ -172,5 +172,5 @@ def m18_permutation_importance_gbt(spark, sf):
     """M18 for a tree model: GBT (log target) with the generic union-of-copies scoring."""
     spec = MO.ModelSpec("GBT (log target)", "gbt", "log", params={"maxIter": 20, "maxDepth": 4, "seed": 42})
     model = MO.fit(spec, tables.train(spark, sf))
-    perm = EX.permutation_importance(model, tables.holdout(spark, sf), DEFAULT, repeats=2)
+    perm = EX.permutation_importance(model, tables.holdout(spark, sf), DEFAULT, repeats=5)
     return rounded(EX.importance_table(EX.native_importance(model), perm))

@@ -160,9 +160,10 @@ def a29_named_correlations(spark, sf):
 
 
 @register("a35_equipment_premium", oracle("""
-SELECT e.*, round(100.0 * (e.median_rate_per_mile / b.m - 1), 6) AS premium_pct
-FROM (SELECT equipment, count(*) AS loads, round(quantile_cont(posted_rate, 0.5), 6) AS median_rate,
-        round(quantile_cont(rate_per_mile, 0.5), 6) AS median_rate_per_mile, round(avg(distance), 6) AS mean_distance
+SELECT equipment, loads, round(median_rate, 6) AS median_rate, round(e.m, 6) AS median_rate_per_mile,
+  round(mean_distance, 6) AS mean_distance, round(100.0 * (e.m / b.m - 1), 6) AS premium_pct
+FROM (SELECT equipment, count(*) AS loads, quantile_cont(posted_rate, 0.5) AS median_rate,
+        quantile_cont(rate_per_mile, 0.5) AS m, avg(distance) AS mean_distance
       FROM dev GROUP BY equipment) e,
      (SELECT quantile_cont(rate_per_mile, 0.5) AS m FROM dev WHERE equipment = 'Dry Van') b""", DEV_CTE))
 def a35_equipment_premium(spark, sf):

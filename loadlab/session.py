@@ -41,9 +41,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if os.environ.get("LOADLAB_QUANTILE_MAP_LIMIT"):
-        # Test hook: 0 forces the sort-based exact quantiles everywhere.
-        spark.conf.set("loadlab.quantiles.mapLimit", os.environ["LOADLAB_QUANTILE_MAP_LIMIT"])
     ensure_conf(spark)
     return spark
 

@@ -76,7 +76,9 @@ def test_save_and_load_pipeline(spark, sf001, tmp_path):
     spec = MO.ModelSpec("ridge", "ridge", params={"alpha": 1.0})
     model = MO.fit(spec, tables.train(spark, sf001))
     path = str(tmp_path / "model")
+    model.factor, model.floor = 1.5, 700.0
     model.save(path)
-    again = MO.load(spec, path)
+    again = MO.load(path)
+    assert (again.spec, again.factor, again.floor) == (spec, 1.5, 700.0)
     h = tables.holdout(spark, sf001)
     assert_same_rows(model.predict(h).select("load_id", "predicted"), again.predict(h).select("load_id", "predicted"))

@@ -1,19 +1,24 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from loadlab.operators import quantiles
 from loadlab.operators.quantiles import exact_quantiles, quantile_values
 
 
-@pytest.fixture(params=["sort", "map"])
-def path(request, spark):
-    from loadlab.operators.quantiles import MAP_LIMIT_CONF
-    spark.conf.set(MAP_LIMIT_CONF, "0" if request.param == "sort" else "1000000")
+@pytest.fixture(params=["true", "false"])
+def reuse(request, spark):
+    """With and without shared exchanges; brackets of a few values, so that the sketch matters."""
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", request.param)
     yield request.param
-    spark.conf.unset(MAP_LIMIT_CONF)
+    spark.conf.set("spark.sql.exchange.reuse", before)
 
 
-@pytest.mark.parametrize("parts", [1, 3, 16])
-def test_exact_quantiles_match_numpy_with_hot_group_and_ties(spark, parts, path):
+@pytest.mark.parametrize("accuracy", [50, 100_000])
+def test_exact_quantiles_match_numpy_with_hot_group_and_ties(spark, accuracy, reuse, monkeypatch):
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    conf = dict(spark.sparkContext.getConf().getAll())
     rng = np.random.default_rng(7)
     rows = []
     for i in range(3000):
@@ -25,15 +30,20 @@ def test_exact_quantiles_match_numpy_with_hot_group_and_ties(spark, parts, path)
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.99, 1.0]
     got = {r["g"]: [r[f"q{i}"] for i in range(len(probs))]
-           for r in exact_quantiles(df, "v", probs, ["g"], n_partitions=parts).collect()}
+           for r in exact_quantiles(df, "v", probs, ["g"]).collect()}
     assert None not in got
     for g in {r[0] for r in rows if r[0] is not None}:
         vals = np.array([r[1] for r in rows if r[0] == g and r[1] is not None])
         assert got[g] == pytest.approx(list(np.quantile(vals, probs)), rel=1e-12, abs=1e-12)
     allv = np.array([r[1] for r in rows if r[1] is not None])
-    assert quantile_values(df, "v", [0.5]) == pytest.approx([np.quantile(allv, 0.5)])
+    assert quantile_values(df, "v", probs) == pytest.approx(list(np.quantile(allv, probs)))
+    both = df.withColumn("w", df["v"] * 2).withColumn("none", df["v"] * F.lit(None).cast("double"))
+    got = quantiles.column_quantiles(both, ["v", "w", "none"], [0.25, 0.9])
+    assert got["none"] is None and got["v"] == pytest.approx(list(np.quantile(allv, [0.25, 0.9])))
+    assert got["w"] == pytest.approx(list(np.quantile(2 * allv, [0.25, 0.9])))
+    assert dict(spark.sparkContext.getConf().getAll()) == conf
 
 
-def test_single_value_group(spark, path):
+def test_single_value_group(spark, reuse):
     df = spark.createDataFrame([("a", 3.0)], "g string, v double")
     assert exact_quantiles(df, "v", [0.25, 0.5], ["g"]).first()["q1"] == 3.0
