@@ -61,18 +61,17 @@ def submission_report(submission: DataFrame, template: DataFrame, key: str = "lo
 
 def assert_submission(report: DataFrame) -> list[str]:
     r = report.first().asDict()
-    if r["rows"] != r["expected_rows"]:
-        raise ValueError(f"Submission must have {r['expected_rows']:,} rows, got {r['rows']:,}")
-    if r["missing_ids_in_submission"] or r["duplicate_ids"]:
-        raise ValueError("Submission contains duplicate or missing load_id values")
-    if r["missing_ids"] or r["extra_ids"]:
-        raise ValueError(f"prediction IDs do not match (missing={r['missing_ids']}, extra={r['extra_ids']})")
-    if r["out_of_order"]:
-        raise ValueError("Submission load_id ordering does not match the provided template")
-    if r["non_finite_rates"]:
-        raise ValueError("Submission contains non-finite predicted_rate values")
-    if r["non_positive_rates"]:
-        raise ValueError("Submission contains non-positive predicted_rate values")
+    checks = {
+        "row count differs from the template": r["rows"] != r["expected_rows"],
+        "load_id null or repeated": r["missing_ids_in_submission"] + r["duplicate_ids"],
+        "load_id set differs from the template": r["missing_ids"] + r["extra_ids"],
+        "rows out of the template's order": r["out_of_order"],
+        "rates not finite": r["non_finite_rates"],
+        "rates not positive": r["non_positive_rates"],
+    }
+    for what, found in checks.items():  # the first fault decides
+        if found:
+            raise ValueError(f"submission: {what} ({int(found)})")
     return ["schema", "rows", "ids unique", "ids match", "order", "finite", "positive"]
 
 
@@ -89,7 +88,7 @@ def calendar_differences(frame: DataFrame, start=SCENARIO_START, end=SCENARIO_EN
 def scenario_report(frame: DataFrame) -> DataFrame:
     """Scenario contract counts (constants with isclose tolerance, dates, positivity)."""
     if frame.columns != SCENARIO_OUTPUT_COLUMNS:
-        raise ValueError("Scenario predictions must keep the original seven columns and column order")
+        raise ValueError(f"scenario columns must be {SCENARIO_OUTPUT_COLUMNS}")
 
     def not_close(c, v):
         x = coerce_number(c)

@@ -24,7 +24,7 @@ def _metric_columns(y: Column, p: Column) -> list[Column]:
         # R2 is undefined (NULL) when the truth is constant.
         F.when(sst > 0, F.lit(1.0) - sse / F.when(sst > 0, sst)).alias("r2"),
         F.when(F.count_if(y == 0) > 0,
-               F.raise_error(F.lit("MAPE is undefined when any true value is zero.")).cast("double"))
+               F.raise_error(F.lit("a true value of zero leaves no percentage error")).cast("double"))
         .otherwise(F.lit(100.0) * F.avg(F.abs(r / F.when(y != 0, y)))).alias("mape"),
         n.alias("n"),
     ]

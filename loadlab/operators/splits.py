@@ -44,13 +44,13 @@ def assert_split_valid(split_df: DataFrame, cfg: JobConfig = DEFAULT) -> dict:
         F.min(F.when(F.col("split") == "holdout", d)).alias("holdout_min"),
         F.max(F.when(F.col("split") == "holdout", d)).alias("holdout_max")).first().asDict()
     if row["unparsed"]:
-        raise ValueError(f"{row['unparsed']} unparseable value(s) in column {cfg.date_column!r}")
+        raise ValueError(f"{cfg.date_column!r} has {row['unparsed']} value(s) that are no dates")
     if row["n_train"] == 0:
-        raise ValueError("Temporal split produced an empty training set")
+        raise ValueError("no rows before the split date")
     if row["n_holdout"] == 0:
-        raise ValueError("Temporal split produced an empty holdout set")
+        raise ValueError("no rows from the split date on")
     if row["train_max"] >= row["holdout_min"]:
-        raise ValueError(f"Temporal split overlaps: train ends {row['train_max']} but holdout starts {row['holdout_min']}")
+        raise ValueError(f"train reaches {row['train_max']}, past the holdout's start {row['holdout_min']}")
     return row
 
 

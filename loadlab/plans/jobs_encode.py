@@ -147,33 +147,42 @@ def g3_null_counts_processed(spark, sf):
     return EN.null_counts(out, model.feature_names())
 
 
-# --- fixed values: feature family by name (first matching rule wins) ---
-FAMILY_RULES = (
-    ("one-hot", ("pickup_", "delivery_", "equipment_"), "onehot"),
-    ("unknown flag", ("_is_unknown",), "suffix"),
-    ("missing flag", ("_is_missing",), "suffix"),
-    ("calendar", ("doy_", "dow_", "is_weekend", "days_since"), "prefix"),
-    ("geometry", ("haversine", "bearing", "lon_delta", "lat_delta", "pickup_lat", "pickup_lon",
-                  "delivery_lat", "delivery_lon"), "prefix"),
-    ("interaction", ("log_distance", "weight_per_mile"), "prefix"),
-)
+# --- fixed values: published family labels and the built features each one covers ---
+ONE_HOT, UNKNOWN, MISSING, RAW = "Categorical (one-hot)", "Unknown-category indicators", "Missing indicators", "Numerical (raw)"
+BUILT_FAMILIES = {
+    "Temporal": ("doy_sin", "doy_cos", "dow_sin", "dow_cos", "is_weekend"),
+    "Geographic": ("haversine_miles", "bearing_sin", "bearing_cos", "lon_delta", "lat_delta",
+                   "pickup_lat", "pickup_lon", "delivery_lat", "delivery_lon"),
+    "Interaction": ("log_distance", "weight_per_mile"),
+}
 # --- end fixed values ---
 
 
+def feature_families(model) -> dict[str, str]:
+    """Family of every encoder output, by the part of the encoder that makes it."""
+    families = dict.fromkeys(model.feature_names(), RAW)
+    families.update({n: f for f, built in BUILT_FAMILIES.items() for n in built if n in families})
+    families.update(dict.fromkeys(model.fitted["binary"], MISSING))
+    for c, values in model.fitted["vocab"].items():
+        families.update({EN.onehot_name(c, v): ONE_HOT for v in values})
+        if f"{c}_is_unknown" in families:
+            families[f"{c}_is_unknown"] = UNKNOWN
+    return families
+
+
 P15_SQL = oracle_clean("""
 SELECT family, count(*) AS n_features, string_agg(feature, '|' ORDER BY feature) AS features FROM (
   SELECT feature, CASE
     WHEN (starts_with(feature, 'pickup_') OR starts_with(feature, 'delivery_') OR starts_with(feature, 'equipment_'))
-         AND NOT ends_with(feature, '_lat') AND NOT ends_with(feature, '_lon') AND NOT ends_with(feature, '_is_unknown') THEN 'one-hot'
-    WHEN ends_with(feature, '_is_unknown') THEN 'unknown flag'
-    WHEN ends_with(feature, '_is_missing') THEN 'missing flag'
-    WHEN starts_with(feature, 'doy_') OR starts_with(feature, 'dow_') OR starts_with(feature, 'is_weekend')
-         OR starts_with(feature, 'days_since') THEN 'calendar'
+         AND NOT ends_with(feature, '_lat') AND NOT ends_with(feature, '_lon') AND NOT ends_with(feature, '_is_unknown') THEN 'Categorical (one-hot)'
+    WHEN ends_with(feature, '_is_unknown') THEN 'Unknown-category indicators'
+    WHEN ends_with(feature, '_is_missing') THEN 'Missing indicators'
+    WHEN starts_with(feature, 'doy_') OR starts_with(feature, 'dow_') OR starts_with(feature, 'is_weekend') THEN 'Temporal'
     WHEN starts_with(feature, 'haversine') OR starts_with(feature, 'bearing') OR starts_with(feature, 'lon_delta')
          OR starts_with(feature, 'lat_delta') OR starts_with(feature, 'pickup_lat') OR starts_with(feature, 'pickup_lon')
-         OR starts_with(feature, 'delivery_lat') OR starts_with(feature, 'delivery_lon') THEN 'geometry'
-    WHEN starts_with(feature, 'log_distance') OR starts_with(feature, 'weight_per_mile') THEN 'interaction'
-    ELSE 'market / other' END AS family
+         OR starts_with(feature, 'delivery_lat') OR starts_with(feature, 'delivery_lon') THEN 'Geographic'
+    WHEN starts_with(feature, 'log_distance') OR starts_with(feature, 'weight_per_mile') THEN 'Interaction'
+    ELSE 'Numerical (raw)' END AS family
   FROM names) GROUP BY family""", "names AS (SELECT unnest([" + ", ".join(f"'{n}'" for n in WEIGHT + OTHER + BINARY)
     + "]) AS feature UNION ALL " + " UNION ALL ".join(
         f"SELECT DISTINCT '{c}_' || {c} FROM train WHERE {c} IS NOT NULL" for c in CATS)
@@ -182,26 +191,9 @@ SELECT family, count(*) AS n_features, string_agg(feature, '|' ORDER BY feature)
 
 @register("p15_feature_families", P15_SQL)
 def p15_feature_families(spark, sf):
-    """Family label per processed feature (when/otherwise on the name), then the list per family."""
-    model = _fit(spark, sf)
-    names = spark.createDataFrame([(n,) for n in model.feature_names()], "feature string")
-    f = F.col("feature")
-    label = F.lit("market / other")
-    for fam, keys, how in reversed(FAMILY_RULES):
-        if how == "suffix":
-            cond = F.lit(False)
-            for k in keys:
-                cond = cond | f.endswith(k)
-        elif how == "onehot":
-            cond = F.lit(False)
-            for k in keys:
-                cond = cond | (f.startswith(k) & ~f.endswith("_lat") & ~f.endswith("_lon") & ~f.endswith("_is_unknown"))
-        else:
-            cond = F.lit(False)
-            for k in keys:
-                cond = cond | f.startswith(k)
-        label = F.when(cond, F.lit(fam)).otherwise(label)
-    return names.withColumn("family", label).groupBy("family").agg(
+    rows = list(feature_families(_fit(spark, sf)).items())
+    named = spark.createDataFrame(rows, "feature string, family string")
+    return named.groupBy("family").agg(
         F.count(F.lit(1)).alias("n_features"),
         F.array_join(F.sort_array(F.collect_list("feature")), "|").alias("features"))
 
