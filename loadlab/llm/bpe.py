@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 LONG_WORD = 2_000  # characters; such a word is merged alone and not cached
 # ASCII, Latin-1 and Latin Extended-A, dashes and quotes, currency signs: no case rule depends on neighbours.
 PLAIN = re.compile("[\x00-\x1b\x20-\x7e\xa1-\xac\xae-įı-ňŊ-ž‐-‧‰-⁞₠-₿]*")
@@ -226,7 +226,7 @@ def vocabulary(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def _slices(batch: pa.RecordBatch, column: int, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, column: int, chars: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Parts of a batch holding at most about ``chars`` bytes of text (one row at least)."""
     sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
@@ -237,6 +237,7 @@ def _slices(batch: pa.RecordBatch, column: int, chars: int = 4_000_000) -> Itera
         held += int(n)
     if start < len(sizes):
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # workers live on and serve later stages
 
 
 def encoded(df: DataFrame, path: str, text: str = "text") -> DataFrame:

@@ -51,7 +51,7 @@ COORDS, POSTED = 128, 32
 MIN_LIVE, MATCH = 12, 76
 CHUNK = 512
 BITMAP = 1 << 22
-WORD_CACHE = 500_000
+WORD_CACHE = 200_000
 
 _rng = np.random.default_rng(20240229)
 _MULTIPLIERS = _rng.integers(1, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -42,7 +42,7 @@ from loadlab.llm.common import cut
 MAX_TRAIN = 40_000
 THRESHOLD, FLOOR = 0.3, 0.01
 PRIOR = 2.0  # pseudo-documents at the base rate
-CACHE = 300_000
+CACHE = 100_000
 PREFIXES = (6, 5, 4)
 MIN_WEIGHT = 0.7
 
