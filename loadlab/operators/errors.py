@@ -7,10 +7,10 @@ The eight segment tables are one job: each row is stacked into one
 aggregates them all (segments have few values, so the partial aggregate
 collapses each task's rows to a few hundred before the shuffle).
 
-Ordered statistics avoid global windows: the worst 1% is a top-k limit
-(each task keeps k rows), and the rolling median and Q-Q positions use the
-range-partitioned numbering of ``splits.with_position`` with windows
-partitioned by position blocks plus halo rows.
+Ordered statistics avoid global windows: the worst 1%, the rolling median and the
+Q-Q points use the range-partitioned numbering of ``splits.with_position`` (positions,
+or windows partitioned by position blocks plus halo rows), and ranks over large tables
+come from running counts of the distinct values (``average_rank``).
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from loadlab.config import (
     WORST_SHARE,
 )
 from loadlab.functions.features import distance_band, month_label, weekday_name, weight_band
+from loadlab.operators.lookup import written
 from loadlab.operators.quantiles import quantile_values, with_medians
 from loadlab.operators.stats import quantile_cut, quantile_edges
 
@@ -171,7 +172,7 @@ def representative_rows(errors: DataFrame) -> DataFrame:
 def average_rank_desc(df: DataFrame, value: str, out: str, partition: list[str] | None = None) -> DataFrame:
     """Descending average rank (ties share the mean of their positions), truncated to int.
 
-    Ranked tables here are small (one row per feature or model).
+    For tables with one row per feature or model; ``average_rank`` ranks tables that grow with the data.
     """
     w = Window.partitionBy(*(partition or [])).orderBy(F.col(value).desc())
     wt = Window.partitionBy(*(partition or []), value)
@@ -179,6 +180,26 @@ def average_rank_desc(df: DataFrame, value: str, out: str, partition: list[str]
             .withColumn(out, F.floor(F.col("__r") + (F.col("__t") - 1) / 2.0).cast("int")).drop("__r", "__t"))
 
 
+def average_rank(df: DataFrame, value: str, out: str) -> DataFrame:
+    """W3 at any size: the same ranks as ``average_rank_desc`` without a window over all rows.
+
+    Distinct values are counted, range-partitioned downwards and written with their partition's
+    number; a value's rank is the count of its predecessors in the partition plus the partition's offset
+    (one row per partition). The ranks are joined back on the value, NULL last as a value of its own.
+    """
+    part = "__part"
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__t"))
+    runs = written(counts.repartitionByRange(F.col(value).desc()).withColumn(part, F.spark_partition_id()), "rank-runs")
+    sizes = runs.groupBy(part).agg(F.sum("__t").alias("__n"))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(part, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    inside = Window.partitionBy(part).orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = runs.withColumn("__in", F.coalesce(F.sum("__t").over(inside), F.lit(0))).join(offsets, part).select(
+        F.col(value).alias("__v"),
+        F.floor(F.col("__off") + F.col("__in") + 1 + (F.col("__t") - 1) / 2.0).cast("int").alias(out))
+    return df.join(written(ranks, "ranks"), F.col(value).eqNullSafe(F.col("__v"))).drop("__v")
+
+
 def rolling_median(errors: DataFrame, driver: str, value: str = "residual", id_col: str = "load_id",
                    block: int = 100_000) -> DataFrame:
     """Centred rolling median of ``value`` over rows sorted by ``driver``; window

@@ -30,6 +30,13 @@ def _metric_columns(y: Column, p: Column) -> list[Column]:
     ]
 
 
+def error_measures(y: str, p: str, suffix: str) -> list[Column]:
+    """A30's measures but the count, and the bias mean(y - p), as aggregates named ``<measure>_<suffix>``."""
+    names = ["mae", "rmse", "r2", "mape"]
+    found = _metric_columns(F.col(y), F.col(p))[:len(names)]
+    return [c.alias(f"{n}_{suffix}") for n, c in zip(names, found)] + [F.avg(F.col(y) - F.col(p)).alias(f"bias_{suffix}")]
+
+
 def regression_metrics(df: DataFrame, y: str = "posted_rate", p: str = "predicted",
                        floor: float | None = PREDICTION_FLOOR) -> DataFrame:
     """MAE, RMSE, R2, MAPE %, n; predictions floored first (P10)."""

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from loadlab.config import DEFAULT, JobConfig, to_json
 from loadlab.functions.cleaning import exp_target, floor_predictions, log_target
 from loadlab.operators.encode import FeatureEncoder
-from loadlab.operators.metrics import regression_metrics, smearing_factor
+from loadlab.operators.metrics import error_measures, regression_metrics, smearing_factor
 
 LABEL = "__label"
 
@@ -187,13 +187,18 @@ def search(spec: ModelSpec, dev_positioned: DataFrame, n: int, n_folds: int = 3,
     return res.groupBy("model", "candidate", "params").agg(F.avg("mae").alias("cv_mae"), F.count(F.lit(1)).alias("n_folds"))
 
 
+def back_transform_choice(train: DataFrame, holdout: DataFrame, y: str, p: str, floor: float) -> DataFrame:
+    """M16 on scored rows: Duan factor of ``train`` (A46), then MAE, RMSE, R2, MAPE and bias of the plain and the
+    smeared holdout predictions from one aggregate; adopted only if MAE does not rise. One row."""
+    factor = smearing_factor(train, y, p).first()[0]
+    truth = F.col(y).cast("double")
+    kinds = {"plain": F.col(p), "smeared": floor_predictions(F.col(p) * F.lit(factor), floor)}
+    one = holdout.select(truth.alias("__y"), *[c.alias(f"__{k}") for k, c in kinds.items()]).agg(*[
+        m for k in kinds for m in error_measures("__y", f"__{k}", k)])
+    return one.select(F.lit(factor).alias("smearing_factor"), *one.columns,
+                      (F.col("mae_smeared") <= F.col("mae_plain")).alias("adopted"))
+
+
 def smearing_decision(model: FittedModel, train: DataFrame, holdout: DataFrame, cfg: JobConfig = DEFAULT) -> DataFrame:
-    """Duan factor on train (A46); adopt it only if holdout MAE does not rise. One row."""
-    base_train = model.predict(train, "p")
-    factor = smearing_factor(base_train, cfg.target, "p").first()[0]
-    h = model.predict(holdout, "p")
-    y = F.col(cfg.target)
-    both = h.agg(F.avg(F.abs(y - F.col("p"))).alias("mae_plain"),
-                 F.avg(F.abs(y - floor_predictions(F.col("p") * F.lit(factor), model.floor))).alias("mae_smeared"))
-    return both.select(F.lit(factor).alias("smearing_factor"), "mae_plain", "mae_smeared",
-                       (F.col("mae_smeared") <= F.col("mae_plain")).alias("adopted"))
+    """M16 for a fitted model: ``back_transform_choice`` on its predictions."""
+    return back_transform_choice(model.predict(train, "p"), model.predict(holdout, "p"), cfg.target, "p", model.floor)

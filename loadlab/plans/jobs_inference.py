@@ -103,31 +103,86 @@ def a37_scenario_stats(spark, sf):
     return rounded(INF.scenario_stats(_priced_scenario(spark, sf)))
 
 
-@register("g10_scenario_contract", oracle("""
-SELECT count(*) AS rows, 0 AS invalid_dates, count(date) - count(DISTINCT date) AS duplicate_dates,
+def _g10_sql(frame: str) -> str:
+    """The scenario contract's counts over ``frame``, every one computed."""
+    return f"""
+SELECT count(*) AS rows, count(*) FILTER (WHERE date IS NULL) AS invalid_dates,
+  count(date) - count(DISTINCT date) AS duplicate_dates,
   count(*) FILTER (WHERE pickup <> 'NATION_3') AS bad_pickup, count(*) FILTER (WHERE delivery <> 'NATION_7') AS bad_delivery,
   count(*) FILTER (WHERE abs(distance - 360.0) > 1e-8 + 1e-5 * 360.0) AS bad_distance,
   count(*) FILTER (WHERE equipment <> 'Dry Van') AS bad_equipment,
   count(*) FILTER (WHERE abs(weight - 32000.0) > 1e-8 + 1e-5 * 32000.0) AS bad_weight,
-  count(*) FILTER (WHERE predicted_rate <= 0) AS bad_rate,
-  31 - count(DISTINCT date) AS missing_dates, 0 AS extra_dates FROM priced""", INF_CTES))
+  count(*) FILTER (WHERE predicted_rate IS NULL OR isnan(predicted_rate) OR isinf(predicted_rate) OR predicted_rate <= 0) AS bad_rate,
+  (SELECT count(*) FROM (SELECT date FROM scen EXCEPT SELECT date FROM {frame})) AS missing_dates,
+  (SELECT count(*) FROM (SELECT date FROM {frame} EXCEPT SELECT date FROM scen)) AS extra_dates FROM {frame}"""
+
+
+def _g9_sql(frame: str) -> str:
+    """The submission contract's counts over ``frame``, every one computed."""
+    return f"""
+SELECT count(*) AS rows, count(*) FILTER (WHERE load_id IS NULL) AS missing_ids_in_submission,
+  count(load_id) - count(DISTINCT load_id) AS duplicate_ids,
+  count(*) FILTER (WHERE predicted_rate IS NULL OR isnan(predicted_rate) OR isinf(predicted_rate)) AS non_finite_rates,
+  count(*) FILTER (WHERE NOT isnan(predicted_rate) AND NOT isinf(predicted_rate) AND predicted_rate <= 0) AS non_positive_rates,
+  (SELECT count(*) FROM (SELECT load_id FROM template EXCEPT SELECT load_id FROM {frame})) AS missing_ids,
+  (SELECT count(*) FROM (SELECT load_id FROM {frame} EXCEPT SELECT load_id FROM template)) AS extra_ids,
+  (SELECT count(*) FROM {frame} a JOIN template b ON a.load_id = b.load_id WHERE a.position <> b.position) AS out_of_order,
+  (SELECT count(*) FROM template) AS expected_rows FROM {frame}"""
+
+
+TEMPLATE = """template AS (SELECT load_id, row_number() OVER (ORDER BY date, load_id) - 1 AS position
+                    FROM loads WHERE date >= DATE '2001-01-01')"""
+
+# Faults planted by position (submission) or day of the month (scenario), in both engines alike.
+FAULTY_SUBMISSION = """faulty AS (
+  SELECT CASE position % 100 WHEN 19 THEN load_id || '-other' WHEN 23 THEN NULL ELSE load_id END AS load_id,
+    CASE position % 100 WHEN 13 THEN 0.0 WHEN 14 THEN -predicted_rate WHEN 17 THEN cast('NaN' AS double)
+      WHEN 18 THEN cast('Infinity' AS double) WHEN 20 THEN NULL ELSE predicted_rate END AS predicted_rate,
+    position + CASE position % 100 WHEN 29 THEN 1 WHEN 30 THEN -1 ELSE 0 END AS position
+  FROM {sub} WHERE position % 100 <> 7
+  UNION ALL SELECT load_id, predicted_rate, position FROM {sub} WHERE position % 100 = 11)"""
+FAULTY_SCENARIO = """faulty AS (
+  SELECT CASE WHEN day(date) = 3 THEN 'NATION_4' ELSE pickup END AS pickup,
+    CASE WHEN day(date) IN (4, 5) THEN 'NATION_8' ELSE delivery END AS delivery,
+    distance + CASE WHEN day(date) = 6 THEN 1.0 WHEN day(date) = 7 THEN 0.001 ELSE 0.0 END AS distance,
+    CASE WHEN day(date) > 28 THEN 'Reefer' ELSE equipment END AS equipment,
+    weight * CASE WHEN day(date) < 3 THEN 1.1 ELSE 1.0 END AS weight,
+    CASE day(date) WHEN 10 THEN DATE '2001-05-11' WHEN 12 THEN DATE '2001-07-01' WHEN 13 THEN NULL ELSE date END AS date,
+    CASE day(date) WHEN 15 THEN 0.0 WHEN 16 THEN cast('NaN' AS double) ELSE predicted_rate END AS predicted_rate
+  FROM {priced})"""
+
+
+@register("g10_scenario_contract", oracle(_g10_sql("priced"), INF_CTES))
 def g10_scenario_contract(spark, sf):
     return CT.scenario_report(_priced_scenario(spark, sf))
 
 
-@register("g9_submission_contract", oracle("""
-SELECT count(*) AS rows, 0 AS missing_ids_in_submission, count(load_id) - count(DISTINCT load_id) AS duplicate_ids,
-  count(*) FILTER (WHERE isnan(predicted_rate) OR isinf(predicted_rate)) AS non_finite_rates,
-  count(*) FILTER (WHERE predicted_rate <= 0) AS non_positive_rates, 0 AS missing_ids, 0 AS extra_ids, 0 AS out_of_order,
-  (SELECT count(*) FROM scoring) AS expected_rows FROM sub""", INF_CTES))
+@register("g10_faulty_scenario", oracle(_g10_sql("faulty"), INF_CTES + ",\n" + FAULTY_SCENARIO.format(priced="priced")))
+def g10_faulty_scenario(spark, sf):
+    """The contract's counts over a scenario with planted faults of every kind."""
+    text = f"WITH {FAULTY_SCENARIO} SELECT * FROM faulty"
+    return CT.scenario_report(spark.sql(text, priced=_priced_scenario(spark, sf)))
+
+
+def _template(spark, sf):
+    return with_position(tables.scoring(spark, sf).select("load_id", "date")).drop("date")
+
+
+@register("g9_submission_contract", oracle(_g9_sql("sub"), INF_CTES + ",\n" + TEMPLATE))
 def g9_submission_contract(spark, sf):
-    sub = _submission(spark, sf)
-    template = with_position(tables.scoring(spark, sf).select("load_id", "date")).drop("date")
-    report = CT.submission_report(sub.select("load_id", "predicted_rate", "position"), template)
+    report = CT.submission_report(_submission(spark, sf).select("load_id", "predicted_rate", "position"), _template(spark, sf))
     CT.assert_submission(report)
     return report
 
 
+@register("g9_faulty_submission", oracle(_g9_sql("faulty"), INF_CTES + ",\n" + TEMPLATE + ",\n"
+                                         + FAULTY_SUBMISSION.format(sub="sub")))
+def g9_faulty_submission(spark, sf):
+    """The contract's counts over a submission with planted faults of every kind."""
+    text = f"WITH {FAULTY_SUBMISSION} SELECT * FROM faulty"
+    return CT.submission_report(spark.sql(text, sub=_submission(spark, sf)), _template(spark, sf))
+
+
 @register("s1_s7_submission_roundtrip", oracle(
     "SELECT load_id, round(predicted_rate, 6) AS predicted_rate FROM sub", INF_CTES))
 def s1_s7_submission_roundtrip(spark, sf):

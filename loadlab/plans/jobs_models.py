@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loadlab.config import DEFAULT
+from loadlab.functions.cleaning import floor_predictions
 from loadlab.operators import explain as EX
 from loadlab.operators import models as MO
 from loadlab.operators.baselines import fit_rate_per_mile
@@ -80,13 +81,41 @@ rates AS (SELECT equipment, quantile_cont(CASE WHEN distance > 0 THEN posted_rat
           FROM train WHERE equipment IS NOT NULL GROUP BY equipment),
 g AS (SELECT quantile_cont(CASE WHEN distance > 0 THEN posted_rate / distance END, 0.5) AS r FROM train)"""))
 def a46_smearing_factor_rpm(spark, sf):
-    from loadlab.functions.cleaning import floor_predictions
     train = tables.train(spark, sf)
     model = fit_rate_per_mile(train, "equipment")
     p = model.transform(train, "p0").withColumn("p", floor_predictions("p0", 1.0))
     return rounded(smearing_factor(p, "posted_rate", "p"))
 
 
+M16_MEASURES = ", ".join(f"""
+  avg(abs(y - {k})) AS mae_{k}, sqrt(avg((y - {k}) * (y - {k}))) AS rmse_{k},
+  1 - sum((y - {k}) * (y - {k})) / (var_pop(y) * count(*)) AS r2_{k},
+  100 * avg(abs((y - {k}) / y)) AS mape_{k}, avg(y - {k}) AS bias_{k}""" for k in ("plain", "smeared"))
+M16_ROUNDED = ", ".join(f"round({m}_{k}, 6) AS {m}_{k}" for k in ("plain", "smeared") for m in ("mae", "rmse", "r2", "mape", "bias"))
+
+
+@register("m16_smearing_decision_rpm", oracle(f"""
+SELECT round(f, 6) AS smearing_factor, {M16_ROUNDED}, mae_smeared <= mae_plain AS adopted
+FROM (SELECT any_value(f) AS f, {M16_MEASURES}
+      FROM (SELECT y, f, p AS plain, CASE WHEN p * f < 1.0 THEN 1.0 ELSE p * f END AS smeared
+            FROM priced CROSS JOIN factor WHERE NOT training))""",
+    """t AS (SELECT *, date < DATE '2000-07-01' AS training FROM loads WHERE date < DATE '2001-01-01'),
+rates AS (SELECT equipment, quantile_cont(CASE WHEN distance > 0 THEN posted_rate / distance END, 0.5) AS r
+          FROM t WHERE training AND equipment IS NOT NULL GROUP BY equipment),
+g AS (SELECT quantile_cont(CASE WHEN distance > 0 THEN posted_rate / distance END, 0.5) AS r FROM t WHERE training),
+priced AS (SELECT training, y, CASE WHEN p0 IS NULL OR isnan(p0) OR isinf(p0) OR p0 < 1.0 THEN 1.0 ELSE p0 END AS p
+           FROM (SELECT t.training, t.posted_rate AS y, coalesce(t.distance, 0) * coalesce(rates.r, g.r) AS p0
+                 FROM t LEFT JOIN rates ON t.equipment = rates.equipment CROSS JOIN g)),
+factor AS (SELECT avg(exp(ln(y) - ln(greatest(p, 1e-9)))) AS f FROM priced WHERE training)"""))
+def m16_smearing_decision_rpm(spark, sf):
+    """M16 on the by-equipment rate-per-mile predictions, which SQL can make too."""
+    train = tables.train(spark, sf)
+    model = fit_rate_per_mile(train, "equipment")
+    scored = [model.transform(d, "p0").withColumn("p", floor_predictions("p0", 1.0))
+              for d in (train, tables.holdout(spark, sf))]
+    return rounded(MO.back_transform_choice(*scored, "posted_rate", "p", 1.0))
+
+
 def _ridge_log(spark, sf):
     return MO.fit(SPECS["Ridge (alpha=1.0, log target)"], tables.train(spark, sf))
 
@@ -119,6 +148,12 @@ def a47_mean_abs_attribution(spark, sf):
     return rounded(EX.mean_abs_attribution_linear(model, tables.holdout(spark, sf)))
 
 
+@register("m20_linear_attribution")
+def m20_linear_attribution(spark, sf):
+    """Every holdout row's attribution to every feature, long form."""
+    return rounded(EX.linear_attribution(_ridge_log(spark, sf), tables.holdout(spark, sf), DEFAULT))
+
+
 @register("t7_top_continuous_features")
 def t7_top_continuous_features(spark, sf):
     model = _ridge_log(spark, sf)

@@ -228,6 +228,6 @@ SELECT pickup, delivery, loads, cast(floor(rank() OVER (ORDER BY loads DESC)
   + (count(*) OVER (PARTITION BY loads) - 1) / 2.0) AS INTEGER) AS load_rank
 FROM (SELECT pickup, delivery, count(*) AS loads FROM dev GROUP BY pickup, delivery)""", DEV_CTE))
 def w3_lane_average_rank(spark, sf):
-    from loadlab.operators.errors import average_rank_desc
+    from loadlab.operators.errors import average_rank
     lanes = _dev(spark, sf).groupBy("pickup", "delivery").agg(F.count(F.lit(1)).alias("loads"))
-    return average_rank_desc(lanes, "loads", "load_rank")
+    return average_rank(lanes, "loads", "load_rank")
