@@ -57,6 +57,23 @@ def m4_onehot_vocab(spark, sf):
             .withColumn("column_name", F.concat_ws("_", "feature", "value")))
 
 
+@register("m5_rare_categories", oracle_clean("\nUNION ALL\n".join(f"""
+SELECT '{c}' AS feature, (SELECT count(*) FROM rare WHERE feature = '{c}') AS rare_values,
+  count(*) FILTER (WHERE {c} IN (SELECT value FROM rare WHERE feature = '{c}')) AS rare_rows, count(*) AS rows FROM holdout""" for c in CATS),
+    "rare AS (" + "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, {c} AS value FROM train WHERE {c} IS NOT NULL "
+                                       f"GROUP BY {c} HAVING count(*) < (SELECT count(*) // 25 FROM train)" for c in CATS) + ")"))
+def m5_rare_categories(spark, sf):
+    """M5: values in under 1/25 of the training rows share one output column; holdout rows that fall in it."""
+    train, holdout = tables.train(spark, sf), tables.holdout(spark, sf)
+    model = EN.FeatureEncoder(minFrequency=train.count() // 25).fit(train)
+    rare, encoded = model.fitted["infrequent"], model.transform(holdout)
+    bucket = {c: F.sum(EN.onehot_name(c, "infrequent_sklearn")) if rare[c] else F.lit(0) for c in CATS}
+    one = encoded.agg(F.count(F.lit(1)).alias("rows"), *[b.cast("long").alias(c) for c, b in bucket.items()])
+    return one.select("rows", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.lit(len(rare[c])).cast("long").alias("rare_values"), F.col(c).alias("rare_rows"))
+        for c in CATS])))
+
+
 def _processed_numeric_sql(src: str) -> str:
     cols = ["b.load_id",
             "round((coalesce(b.weight, med.weight) - scl.q_weight[2]) / CASE WHEN scl.q_weight[3] - scl.q_weight[1] = 0 "

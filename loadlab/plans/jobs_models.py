@@ -136,6 +136,15 @@ def t9_consensus_features(spark, sf):
     return rounded(EX.consensus(EX.importance_table(native, perm)))
 
 
+@register("t9_top_views")
+def t9_top_views(spark, sf):
+    """The first 15 features of each view of the merged ranking."""
+    model = _ridge_log(spark, sf)
+    native = EX.native_importance(model)
+    perm = EX.permutation_importance_linear(model, tables.holdout(spark, sf), DEFAULT, repeats=5)
+    return rounded(EX.top_views(EX.importance_table(native, perm)))
+
+
 @register("m17_native_importance_gbt")
 def m17_native_importance_gbt(spark, sf):
     model = MO.fit(SPECS["GBT (log target)"], tables.train(spark, sf))
@@ -169,15 +178,15 @@ def m15_model_cv_folds(spark, sf):
     spec = SPECS["Ridge (alpha=1.0, log target)"]
     dev = with_position(tables.development(spark, sf))
     n = dev.count()
-    parts = []
+    parts = [MO.fit_predict(spec, tables.train(spark, sf), tables.holdout(spark, sf)).withColumn("part", F.lit("holdout"))]
     for fold, start, size in fold_bounds(n, DEFAULT.n_cv_splits):
         tr = dev.filter(F.col("position") < start)
         te = dev.filter((F.col("position") >= start) & (F.col("position") < start + size))
-        parts.append(MO.fit_predict(spec, tr, te).withColumn("fold", F.lit(fold)))
+        parts.append(MO.fit_predict(spec, tr, te).withColumn("part", F.lit(f"fold {fold}")))
     allp = parts[0]
     for p in parts[1:]:
-        allp = allp.unionByName(p)
-    return rounded(metrics_by(allp, ["fold"]).withColumn("model", F.lit(spec.name)))
+        allp = allp.unionByName(p, allowMissingColumns=True)
+    return rounded(metrics_by(allp, ["part"]).withColumn("model", F.lit(spec.name)))
 
 
 @register("t8_seeded_sample")

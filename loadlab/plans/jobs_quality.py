@@ -146,6 +146,31 @@ def a50_issue_summary(spark, sf):
     return Q.issue_summary(Q.validate(tables.loads_dirty(spark, sf), "dirty"))
 
 
+A50_RISKS_SQL = oracle("""
+SELECT risk, count(issue_type) AS n_issues, count(issue_type) > 0 AS present
+FROM (VALUES ('invalid_numbers'), ('duplicates'), ('missing_values'), ('schema_mismatch')) r(risk)
+LEFT JOIN (
+  SELECT issue_type, unnest(CASE WHEN issue_type IN ('invalid_numeric', 'non_finite', 'coordinate_non_numeric') THEN ['invalid_numbers']
+      WHEN issue_type = 'duplicate_rows' THEN ['duplicates'] WHEN issue_type = 'duplicate_ids' THEN ['duplicates', 'missing_values']
+      WHEN issue_type = 'missing' THEN ['missing_values'] ELSE [] END) AS raised FROM issues
+  UNION ALL SELECT kind, 'schema_mismatch' FROM differences) i ON i.raised = r.risk GROUP BY risk""",
+    DIRTY_CTE + ",\nissues AS (" + _validate_sql("loads_dirty", "dirty", DIRTY_TYPES) + "\nUNION ALL\n"
+    + _validate_sql("loads", "loads", LOADS_TYPES) + """),
+clean_columns AS (SELECT unnest(""" + repr(list(LOADS_TYPES)) + """) AS name, unnest(""" + repr(list(LOADS_TYPES.values())) + """) AS type),
+dirty_columns AS (SELECT unnest(""" + repr(list(DIRTY_TYPES)) + """) AS name, unnest(""" + repr(list(DIRTY_TYPES.values())) + """) AS type),
+differences AS (
+  SELECT DISTINCT CASE WHEN d.name IS NULL THEN 'left only' WHEN c.name IS NULL THEN 'right only' ELSE c.name END AS kind
+  FROM clean_columns c FULL JOIN dirty_columns d ON c.name = d.name
+  WHERE c.name IS NULL OR d.name IS NULL OR c.type <> d.type)""")
+
+
+@register("a50_risk_flags", A50_RISKS_SQL)
+def a50_risk_flags(spark, sf):
+    """The four data risks over the clean and the dirty table and the differences of their schemas."""
+    dirty, clean = tables.loads_dirty(spark, sf), tables.loads(spark, sf)
+    return Q.risk_flags(Q.validate_all({"dirty": dirty, "loads": clean}), Q.compare_schemas(clean, dirty))
+
+
 # ---- A10 / A49 ------------------------------------------------------------------
 
 A10_SQL = oracle("""

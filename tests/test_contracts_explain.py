@@ -84,3 +84,19 @@ def test_linear_attribution_long_and_wide_agree(spark, sf001):
     assert wide.keys() == long.keys()
     for k in wide:
         assert wide[k] == pytest.approx(long[k], rel=1e-9, abs=1e-12)
+
+
+def test_average_rank_equals_the_window_form(spark):
+    from loadlab.operators.errors import average_rank, average_rank_desc
+    df = spark.range(500).select("id", F.when(F.col("id") % 50 != 7, F.col("id") % 23).alias("v"))
+    rows = [sorted(map(tuple, f(df, "v", "rank").select("id", "v", "rank").collect())) for f in (average_rank, average_rank_desc)]
+    assert rows[0] == rows[1] and len(rows[0]) == 500
+    assert average_rank(df.limit(0), "v", "rank").count() == 0
+
+
+def test_top_views_are_the_first_of_each_ranking(spark):
+    table = spark.createDataFrame([(f"f{i}", float(i), float(-i), 20 - i, i) for i in range(1, 20)],
+                                  "feature string, native_importance double, permutation_importance double, native_rank int, permutation_rank int")
+    views = {v: [r["feature"] for r in EX.top_views(table, 3).filter(F.col("view") == v).orderBy("rank").collect()]
+             for v in ("native", "permutation")}
+    assert views == {"native": ["f19", "f18", "f17"], "permutation": ["f1", "f2", "f3"]}
