@@ -10,9 +10,12 @@ from __future__ import annotations
 
 import json
 import random
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -39,16 +42,27 @@ class ModelSpec:
     n_iter: int = 0
 
 
+# --- fixed values: published search grids of the two tree families (Spark's name and spelling of each
+# setting; a tree without depth limit is Spark's limit of 30) and candidates tried of each ---
+FOREST_GRID = {"numTrees": [200, 300, 400], "maxDepth": [30, 16, 24], "minInstancesPerNode": [1, 2, 4],
+               "featureSubsetStrategy": ["sqrt", "0.3", "0.5"]}
+FOREST_CANDIDATES = 6
+BOOSTED_GRID = {"maxIter": [400, 700, 1000], "stepSize": [0.03, 0.05, 0.1], "maxDepth": [6, 8, 10],
+                "subsamplingRate": [0.8, 1.0], "featureSubsetStrategy": ["0.6", "0.8", "all"], "minInstancesPerNode": [1, 5]}
+BOOSTED_CANDIDATES = 8
+# --- end fixed values ---
+
+
 def default_specs(seed: int = 42) -> list[ModelSpec]:
     """Baseline linear models (M7, M8) and the two tree families."""
     return [
         ModelSpec("LinearRegression", "linear"),
         ModelSpec("Ridge (alpha=1.0)", "ridge", params={"alpha": 1.0}),
         ModelSpec("Ridge (alpha=1.0, log target)", "ridge", "log", params={"alpha": 1.0}),
-        ModelSpec("RandomForest (log target)", "rf", "log", params={"numTrees": 40, "maxDepth": 8, "seed": seed},
-                  search_space={"numTrees": [20, 40, 80], "maxDepth": [6, 8, 10], "minInstancesPerNode": [1, 5]}, n_iter=4),
-        ModelSpec("GBT (log target)", "gbt", "log", params={"maxIter": 40, "maxDepth": 5, "stepSize": 0.1, "seed": seed},
-                  search_space={"maxIter": [30, 60], "maxDepth": [4, 5, 6], "stepSize": [0.05, 0.1, 0.2]}, n_iter=4),
+        ModelSpec("RandomForest (log target)", "rf", "log", params={"numTrees": 200, "maxDepth": 16, "minInstancesPerNode": 4, "seed": seed},
+                  search_space=FOREST_GRID, n_iter=FOREST_CANDIDATES),
+        ModelSpec("GBT (log target)", "gbt", "log", params={"maxIter": 400, "maxDepth": 6, "stepSize": 0.1, "seed": seed},
+                  search_space=BOOSTED_GRID, n_iter=BOOSTED_CANDIDATES),
     ]
 
 
@@ -94,15 +108,13 @@ class FittedModel:
 
     def predict(self, df: DataFrame, out: str = "predicted") -> DataFrame:
         """The input rows with ``out``: raw model output back in dollars (exp for a log
-        target), times the smearing factor, floored (P10, F16, F18).
-
-        The input columns ride through the encoder inside one struct column, so no join
-        is needed to re-attach them (processed features reuse raw column names).
-        """
-        enc, *head = self.pipeline.stages
-        carried = df.withColumn("__row", F.struct(*[F.col(c) for c in df.columns]))
-        scored = enc.copy({enc.keepColumns: ["__row"]}).transform(carried)
-        for stage in head:
+        target), times the smearing factor, floored (P10, F16, F18)."""
+        return self.score(carried_features(self.pipeline.stages[0], df), out)
+
+    def score(self, encoded: DataFrame, out: str = "predicted") -> DataFrame:
+        """``predict`` for rows that ``carried_features`` has encoded already."""
+        scored = encoded
+        for stage in self.pipeline.stages[1:]:
             scored = stage.transform(scored)
         raw = F.col("__raw")
         dollars = exp_target(raw) if self.spec.target_transform == "log" else raw
@@ -117,18 +129,38 @@ class FittedModel:
         spark.createDataFrame([(state,)], "state string").coalesce(1).write.mode("overwrite").json(f"{path}/state")
 
 
-def fit(spec: ModelSpec, train: DataFrame, cfg: JobConfig = DEFAULT, params: dict | None = None) -> FittedModel:
-    """Fit encoder + assembler + regressor on ``train`` only."""
-    params = {**spec.params, **(params or {})}
+def carried_features(encoder, df: DataFrame) -> DataFrame:
+    """Features of ``df`` with the input row beside them in one struct column, so no join is
+    needed to re-attach it (processed features reuse raw column names)."""
+    carried = df.withColumn("__row", F.struct(*[F.col(c) for c in df.columns]))
+    return encoder.copy({encoder.keepColumns: ["__row"]}).transform(carried)
+
+
+@dataclass
+class Prepared:
+    """Encoded training rows that any number of candidates can be fitted on."""
+
+    encoder: object
+    assembler: VectorAssembler
+    rows: DataFrame
+    n_rows: int
+    label_std: float | None
+
+    def fit(self, spec: ModelSpec, params: dict | None = None) -> FittedModel:
+        reg = _regressor(spec, {**spec.params, **(params or {})}, self.n_rows, self.label_std)
+        return FittedModel(spec, PipelineModel(stages=[self.encoder, self.assembler, reg.fit(self.rows)]))
+
+
+@contextmanager
+def prepared(spec: ModelSpec, train: DataFrame, cfg: JobConfig = DEFAULT) -> Iterator[Prepared]:
+    """Encoder and assembler fitted on ``train``; its encoded rows stay cached (memory,
+    spilling to disk) inside the ``with`` block only."""
     # The encoder caches its built features while fitting; the solver passes below
     # read the cached encoded rows. The raw training rows are read twice, never cached.
     encoder = FeatureEncoder(keepColumns=[cfg.id_column, cfg.target, LABEL], config=to_json(cfg))
     enc_model = encoder.fit(train)
     names = enc_model.feature_names()
-    labelled = _labelled(train, spec, cfg)
-    # The encoded training rows are read by the statistics pass and by every
-    # solver pass: keep them (memory, spilling to disk) for the fit only.
-    encoded = enc_model.transform(labelled).select(*names, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    encoded = enc_model.transform(_labelled(train, spec, cfg)).select(*names, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         st = encoded.agg(F.count(LABEL).alias("__n"), F.stddev_pop(LABEL).alias("__s"),
                          *[F.min(c).alias(f"lo{i}") for i, c in enumerate(names)],
@@ -137,11 +169,15 @@ def fit(spec: ModelSpec, train: DataFrame, cfg: JobConfig = DEFAULT, params: dic
         # information and make the normal equations singular; they get no coefficient.
         keep = [c for i, c in enumerate(names) if st[f"lo{i}"] != st[f"hi{i}"]]
         assembler = VectorAssembler(inputCols=keep, outputCol="features", handleInvalid="error")
-        reg = _regressor(spec, params, st["__n"], st["__s"])
-        reg_model = reg.fit(assembler.transform(encoded))
+        yield Prepared(enc_model, assembler, assembler.transform(encoded).select("features", LABEL), st["__n"], st["__s"])
     finally:
         encoded.unpersist()
-    return FittedModel(spec, PipelineModel(stages=[enc_model, assembler, reg_model]))
+
+
+def fit(spec: ModelSpec, train: DataFrame, cfg: JobConfig = DEFAULT, params: dict | None = None) -> FittedModel:
+    """Fit encoder + assembler + regressor on ``train`` only."""
+    with prepared(spec, train, cfg) as p:
+        return p.fit(spec, params)
 
 
 def load(path: str) -> FittedModel:
@@ -166,25 +202,51 @@ def sample_candidates(space: dict, n_iter: int, seed: int) -> list[dict]:
     return rng.sample(grid, min(n_iter, len(grid)))
 
 
+@dataclass
+class SearchResult:
+    """One row per candidate (mean MAE over the folds, the best marked), the best
+    candidate's settings, and the model refitted with them on all rows searched."""
+
+    table: DataFrame
+    params: dict
+    model: FittedModel
+
+
 def search(spec: ModelSpec, dev_positioned: DataFrame, n: int, n_folds: int = 3, cfg: JobConfig = DEFAULT,
-           seed: int = 42) -> DataFrame:
-    """Random search over expanding folds; MAE per candidate (mean over folds).
+           seed: int = 42, parallelism: int = 4) -> SearchResult:
+    """Random search over expanding folds by MAE, then a refit of the best candidate.
 
     ``CrossValidator`` is not used: with a fold column it trains on all other
-    folds, i.e. on the future. ``dev_positioned`` carries ``position`` (W1).
+    folds, i.e. on the future. ``dev_positioned`` carries ``position`` (W1). A fold is encoded
+    once; its candidates are independent fits, ``parallelism`` at a time. Ties go to the candidate
+    drawn first.
     """
     from loadlab.operators.splits import fold_bounds
 
     spark = dev_positioned.sparkSession
+    candidates = sample_candidates(spec.search_space, spec.n_iter, seed)
     rows = []
-    for ci, cand in enumerate(sample_candidates(spec.search_space, spec.n_iter, seed)):
-        for fold, start, size in fold_bounds(n, n_folds):
-            tr = dev_positioned.filter(F.col("position") < start)
-            te = dev_positioned.filter((F.col("position") >= start) & (F.col("position") < start + size))
-            m = regression_metrics(fit_predict(spec, tr, te, cfg, cand), cfg.target, "predicted").first()
-            rows.append((spec.name, ci, str(sorted(cand.items())), fold, float(m["mae"])))
-    res = spark.createDataFrame(rows, "model string, candidate int, params string, fold int, mae double")
-    return res.groupBy("model", "candidate", "params").agg(F.avg("mae").alias("cv_mae"), F.count(F.lit(1)).alias("n_folds"))
+    for fold, start, size in fold_bounds(n, n_folds):
+        tr = dev_positioned.filter(F.col("position") < start)
+        te = dev_positioned.filter((F.col("position") >= start) & (F.col("position") < start + size))
+        with prepared(spec, tr, cfg) as p:
+            test = carried_features(p.encoder, te).persist(StorageLevel.MEMORY_AND_DISK)
+
+            def mae(cand: dict, p: Prepared = p, test: DataFrame = test) -> float:
+                return float(regression_metrics(p.fit(spec, cand).score(test), cfg.target, "predicted").first()["mae"])
+
+            try:
+                with ThreadPool(min(parallelism, len(candidates))) as pool:
+                    found = pool.map(inheritable_thread_target(spark)(mae), candidates)
+            finally:
+                test.unpersist()
+        rows += [(ci, fold, m) for ci, m in enumerate(found)]
+    means = [sum(m for ci, _, m in rows if ci == i) / n_folds for i in range(len(candidates))]
+    best = min(range(len(candidates)), key=means.__getitem__)
+    table = spark.createDataFrame(
+        [(spec.name, i, str(sorted(c.items())), means[i], n_folds, i == best) for i, c in enumerate(candidates)],
+        "model string, candidate int, params string, cv_mae double, n_folds long, best boolean")
+    return SearchResult(table, candidates[best], fit(spec, dev_positioned, cfg, candidates[best]))
 
 
 def back_transform_choice(train: DataFrame, holdout: DataFrame, y: str, p: str, floor: float) -> DataFrame:

@@ -14,7 +14,7 @@ from loadlab.functions import features as FE
 from loadlab.plans import flagship
 from loadlab.plans.common import FEATURES_SQL, clean, oracle, oracle_clean, rounded
 from loadlab.plans.registry import register
-from loadlab.sources import tables
+from loadlab.sources import files, tables
 
 # ---- flagship + baselines on holdout ----------------------------------------------
 
@@ -40,6 +40,26 @@ def s2_loads_windows(spark, sf):
         F.round(F.sum("posted_rate"), 4).alias("sum_rate")))
 
 
+@register("s2_csv_pair", oracle("""
+SELECT CASE WHEN date < DATE '2001-01-01' THEN 'train' ELSE 'scoring' END AS dataset, count(*) AS n_rows,
+  count(DISTINCT load_id) AS n_ids, count(weight) AS n_weights, cast(sum(length(pickup)) AS bigint) AS pickup_chars,
+  round(sum(distance), 4) AS sum_distance, max(date) AS max_date,
+  round(sum(CASE WHEN date < DATE '2001-01-01' THEN posted_rate END), 4) AS sum_rate
+FROM loads GROUP BY 1"""))
+def s2_csv_pair(spark, sf):
+    """The labelled and the scoring table as CSV files, scanned back strictly."""
+    paths = [files.write_csv(d, files.scratch_path(spark, name)) for name, d in (
+        ("train", tables.development(spark, sf).select(*files.LOADS_SCHEMA.names)),
+        ("scoring", tables.scoring(spark, sf).select(*[c for c in files.LOADS_SCHEMA.names if c != "posted_rate"])))]
+    train, scoring = files.load_datasets(spark, *paths)
+    both = train.withColumn("dataset", F.lit("train")).unionByName(
+        scoring.withColumn("dataset", F.lit("scoring")), allowMissingColumns=True)
+    return both.groupBy("dataset").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("load_id").alias("n_ids"), F.count("weight").alias("n_weights"),
+        F.sum(F.length("pickup")).alias("pickup_chars"), F.round(F.sum("distance"), 4).alias("sum_distance"),
+        F.max("date").alias("max_date"), F.round(F.sum("posted_rate"), 4).alias("sum_rate"))
+
+
 # ---- cleaning (P4-P6) and projections (P1) -------------------------------------------
 
 @register("p4_p6_clean_rows", oracle_clean("""

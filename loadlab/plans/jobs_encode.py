@@ -215,16 +215,55 @@ def p15_feature_families(spark, sf):
         F.array_join(F.sort_array(F.collect_list("feature")), "|").alias("features"))
 
 
+def _matrix_sql(name: str, src: str, key: str) -> str:
+    return f"""
+SELECT '{name}' AS matrix, count(*) AS n_rows, {1 + len(WEIGHT + OTHER + BINARY) + len(CATS)} + """ + " + ".join(
+        f"(SELECT count(DISTINCT {c}) FROM train)" for c in CATS) + f""" AS n_columns, {key} AS key_value,
+  round(sum(abs((coalesce(b.weight, med.weight) - scl.q_weight[2]) / CASE WHEN scl.q_weight[3] - scl.q_weight[1] = 0 THEN 1.0
+    ELSE scl.q_weight[3] - scl.q_weight[1] END)), 4) AS weights,
+  round(sum(abs((coalesce(b.distance, med.distance) - scl.m_distance) / CASE WHEN scl.s_distance = 0 OR scl.s_distance IS NULL
+    THEN 1.0 ELSE scl.s_distance END)), 4) AS distances
+FROM {src} b, med, scl"""
+
+
+@register("s6_processed_matrices", oracle_clean("\nUNION ALL\n".join([
+    _matrix_sql("train", "btrain", "(SELECT round(sum(posted_rate), 4) FROM train)"),
+    _matrix_sql("holdout", "bhold", "cast(count(DISTINCT load_id) AS double)"),
+    _matrix_sql("scenario", "(SELECT cast(d AS date) AS date, 32000.0 AS weight, 360.0 AS distance "
+                "FROM range(DATE '2001-05-01', DATE '2001-06-01', INTERVAL 1 DAY) t(d))", "cast(count(DISTINCT date) AS double)")]), ENC_CTES))
+def s6_processed_matrices(spark, sf):
+    """The three processed matrices written as parquet, each with its key carried through the encoder
+    (J10: target, id, date), and read back."""
+    from loadlab.operators import inference as INF
+    from loadlab.sources import files
+    model = _fit(spark, sf)
+    scoring = tables.scoring(spark, sf)
+    scenario = INF.enrich(INF.scenario(spark).drop("predicted_rate"),
+                          INF.city_coordinates(tables.development(spark, sf), scoring), INF.daily_market(scoring))
+    total = F.round(F.sum("posted_rate"), 4)
+    frames = {"train": (tables.train(spark, sf), "posted_rate", total),
+              "holdout": (tables.holdout(spark, sf), "load_id", F.count_distinct("load_id").cast("double")),
+              "scenario": (scenario, "date", F.count_distinct("date").cast("double"))}
+    out = None
+    for name, (frame, key, value) in frames.items():
+        matrix = model.copy({model.keepColumns: [key]}).transform(frame)
+        back = spark.read.parquet(files.write_parquet(matrix, files.scratch_path(spark, name)))
+        one = back.agg(F.count(F.lit(1)).alias("n_rows"), value.alias("key_value"),
+                       F.round(F.sum(F.abs("weight")), 4).alias("weights"), F.round(F.sum(F.abs("distance")), 4).alias("distances"))
+        one = one.select(F.lit(name).alias("matrix"), "*", F.lit(len(back.columns)).cast("long").alias("n_columns"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("s6_processed_matrix_write", oracle("""
 SELECT strftime(date, '%Y-%m') AS month, count(*) AS rows FROM loads
 WHERE date >= DATE '2000-07-01' AND date < DATE '2001-01-01' GROUP BY 1"""))
 def s6_processed_matrix_write(spark, sf):
-    """Write the processed holdout matrix (with id and target) as parquet partitioned by month; read back."""
+    """The processed holdout matrix (with id and target) as parquet partitioned by month; read back."""
     from loadlab.functions.features import month_label
     from loadlab.sources import files
     model = _fit(spark, sf)
-    h = tables.holdout(spark, sf)
-    out = model.transform(h.withColumn("month", month_label("date")))
-    m = h.select("load_id", month_label("date").alias("month"))
-    path = files.write_parquet(out.join(m, "load_id"), files.scratch_path(spark, "processed"), ["month"])
+    keep = ["load_id", "posted_rate", "month"]
+    out = model.copy({model.keepColumns: keep}).transform(tables.holdout(spark, sf).withColumn("month", month_label("date")))
+    path = files.write_parquet(out, files.scratch_path(spark, "processed"), ["month"])
     return spark.read.parquet(path).groupBy("month").agg(F.count(F.lit(1)).alias("rows"))

@@ -217,6 +217,52 @@ def s9_s10_metadata_roundtrip(spark, sf):
     return rounded(back.select("model", "mae", "rmse", "r2", "mape", F.col("n").cast("long").alias("n")))
 
 
+RPM_RECORDS_CTES = """t AS (SELECT *, date < DATE '2000-07-01' AS training FROM loads WHERE date < DATE '2001-01-01'),
+rate AS (SELECT training, equipment, CASE WHEN distance > 0 THEN posted_rate / distance END AS r FROM t),
+rates AS (SELECT equipment, quantile_cont(r, 0.5) AS r FROM rate WHERE training AND equipment IS NOT NULL GROUP BY equipment),
+g AS (SELECT quantile_cont(r, 0.5) AS r FROM rate WHERE training),
+scored AS (SELECT training, y, CASE WHEN p0 IS NULL OR isnan(p0) OR isinf(p0) OR p0 < 1.0 THEN 1.0 ELSE p0 END AS p
+  FROM (SELECT t.training, t.posted_rate AS y, coalesce(t.distance, 0) * coalesce(rates.r, g.r) AS p0
+        FROM t LEFT JOIN rates ON t.equipment = rates.equipment CROSS JOIN g))"""
+RECORD_MEASURES = ("mae", "rmse", "mape")
+_MEASURES_SQL = {"mae": "avg(abs(y - p))", "rmse": "sqrt(avg((y - p) * (y - p)))", "mape": "100 * avg(abs((y - p) / y))"}
+
+
+@register("s9_metadata_records", oracle("\nUNION ALL\n".join([
+    "SELECT 'preprocessing' AS record, 'train_rows' AS field, cast(count(*) FILTER (WHERE training) AS double) AS value FROM t",
+    "SELECT 'preprocessing', 'holdout_rows', cast(count(*) FILTER (WHERE NOT training) AS double) FROM t",
+    "SELECT 'preprocessing', 'negative_weights', cast(count(*) FILTER (WHERE weight < 0) AS double) FROM t",
+    *[f"SELECT '{r}', '{m}', round({_MEASURES_SQL[m]}, 6) FROM scored WHERE NOT training"
+      for r in ("baselines", "best_model") for m in RECORD_MEASURES],
+    "SELECT 'final_model', 'training_rows', cast(count(*) AS double) FROM t",
+    "SELECT 'final_model', 'smearing_factor', round(avg(exp(ln(y) - ln(greatest(p, 1e-9)))), 6) FROM scored WHERE training"]),
+    RPM_RECORDS_CTES))
+def s9_metadata_records(spark, sf):
+    """The records of the four phases (preprocessing, baselines, best model, final model) for the by-equipment
+    rate per mile, written as JSON and read back as (record, field, value)."""
+    from loadlab.operators.metrics import regression_metrics, smearing_factor
+    train, holdout = tables.train(spark, sf), tables.holdout(spark, sf)
+    model = fit_rate_per_mile(train, "equipment")
+    scored = [model.transform(d, "p0").withColumn("p", floor_predictions("p0", 1.0)) for d in (train, holdout)]
+    measures = regression_metrics(scored[1], "posted_rate", "p").select(*RECORD_MEASURES).first().asDict()
+    rows = tables.development(spark, sf).agg(
+        F.count_if(F.col("date") < F.lit("2000-07-01").cast("date")).alias("train_rows"), F.count(F.lit(1)).alias("all_rows"),
+        F.count_if(F.col("weight") < 0).alias("negative_weights")).first()
+    name = "Rate-per-mile (by equipment)"
+    records = {
+        "preprocessing": {"train_rows": rows["train_rows"], "holdout_rows": rows["all_rows"] - rows["train_rows"],
+                          "negative_weights": rows["negative_weights"]},
+        "baselines": {"best_baseline": name, "selection_metric": "holdout MAE", **measures},
+        "best_model": {"best_model": name, "target_transform": "identity", **measures},
+        "final_model": {"algorithm": name, "training_rows": rows["all_rows"],
+                        "smearing_factor": smearing_factor(scored[0], "posted_rate", "p").first()[0]},
+    }
+    back = {r: files.read_metadata(spark, files.write_metadata(spark, v, files.scratch_path(spark, r))) for r, v in records.items()}
+    return rounded(spark.createDataFrame(
+        [(r, f, float(x)) for r, record in back.items() for f, x in record.items() if not isinstance(x, str)],
+        "record string, field string, value double"))
+
+
 @register("s5_scenario_csv_roundtrip", oracle("""
 SELECT pickup, delivery, distance, equipment, weight, date, round(predicted_rate, 6) AS predicted_rate FROM priced""", INF_CTES))
 def s5_scenario_csv_roundtrip(spark, sf):

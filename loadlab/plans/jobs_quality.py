@@ -173,9 +173,18 @@ def a50_risk_flags(spark, sf):
 
 # ---- A10 / A49 ------------------------------------------------------------------
 
+DIRTY_NUMERIC = [c for c, t in DIRTY_TYPES.items() if t == "double"]
 A10_SQL = oracle("""
-SELECT f.feature, coalesce(u.n_unique, 0) AS n_unique, coalesce(array_to_string(u.vals, '|'), '') AS unique_values
-FROM (SELECT unnest(['load_id', 'pickup', 'pickup_lat', 'distance', 'date']) AS feature) f
+SELECT f.feature, f.missing_count, coalesce(u.n_unique, 0) AS n_unique, f.n_whitespace, f.n_empty, f.min_value, f.max_value,
+  coalesce(array_to_string(u.vals, '|'), '') || CASE WHEN u.n_unique > 50
+    THEN '|... (truncated, total_unique=' || u.n_unique || ')' ELSE '' END AS unique_values,
+  f.min_value IS NOT NULL AS ranged
+FROM (""" + _union([
+    f"SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL) AS missing_count, "
+    f"count(*) FILTER (WHERE regexp_matches(cast({c} AS varchar), '^\\s|\\s$')) AS n_whitespace, "
+    f"count(*) FILTER (WHERE cast({c} AS varchar) = '') AS n_empty, "
+    + (f"round(min({c}), 6) AS min_value, round(max({c}), 6) AS max_value" if c in DIRTY_NUMERIC
+       else "cast(NULL AS double) AS min_value, cast(NULL AS double) AS max_value") + " FROM loads_dirty" for c in DIRTY_COLS]) + """) f
 LEFT JOIN (SELECT feature, count(*) AS n_unique,
                   list_sort(list(value) FILTER (WHERE rk <= 50)) AS vals
            FROM (SELECT feature, value, row_number() OVER (PARTITION BY feature ORDER BY value) AS rk FROM vc)
@@ -186,7 +195,10 @@ LEFT JOIN (SELECT feature, count(*) AS n_unique,
 @register("a10_feature_audit", A10_SQL)
 def a10_feature_audit(spark, sf):
     audit = Q.feature_audit(tables.loads_dirty(spark, sf))
-    return audit.select("feature", "n_unique", F.array_join("unique_values", "|").alias("unique_values"))
+    return rounded(audit.select(
+        "feature", "missing_count", "n_unique", "n_whitespace", "n_empty", "min_value", "max_value",
+        F.array_join("unique_values", "|").alias("unique_values"),
+        F.exists("observations", lambda o: o.startswith("Numeric range: [")).alias("ranged")))
 
 
 # Expected dtype and role of each ``loads`` column (A11 rules applied to names and types).
@@ -207,7 +219,7 @@ A49_PARTS = [
 
 @register("a49_feature_dictionary", oracle(_union(A49_PARTS)))
 def a49_feature_dictionary(spark, sf):
-    return rounded(Q.feature_dictionary(Q.feature_audit(tables.loads(spark, sf))))
+    return rounded(Q.feature_dictionary(tables.loads(spark, sf)))
 
 
 EVENT_TYPES = {"event_id": "bigint", "ts": "timestamp", "user_id": "bigint", "event_type": "varchar",

@@ -82,3 +82,19 @@ def test_save_and_load_pipeline(spark, sf001, tmp_path):
     assert (again.spec, again.factor, again.floor) == (spec, 1.5, 700.0)
     h = tables.holdout(spark, sf001)
     assert_same_rows(model.predict(h).select("load_id", "predicted"), again.predict(h).select("load_id", "predicted"))
+
+
+def test_search_refits_the_best_candidate(spark, sf001):
+    from loadlab.operators.metrics import regression_metrics
+    from loadlab.operators.splits import with_position
+
+    # A penalty this large predicts the mean: it must lose in every fold.
+    spec = MO.ModelSpec("ridge", "ridge", "log", search_space={"alpha": [1.0, 1e9]}, n_iter=2)
+    dev = with_position(tables.train(spark, sf001))
+    found = MO.search(spec, dev, dev.count(), n_folds=2)
+    rows = {r["params"]: r for r in found.table.collect()}
+    good, bad = rows["[('alpha', 1.0)]"], rows["[('alpha', 1000000000.0)]"]
+    assert good["best"] and not bad["best"] and good["cv_mae"] < bad["cv_mae"] and found.params == {"alpha": 1.0}
+    holdout = tables.holdout(spark, sf001)
+    refit, plain = (regression_metrics(m.predict(holdout)).first() for m in (found.model, MO.fit(spec, dev, params={"alpha": 1.0})))
+    assert refit["n"] == plain["n"] == 434 and abs(refit["mae"] - plain["mae"]) < 1e-6
