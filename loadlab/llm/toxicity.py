@@ -1,7 +1,8 @@
 """Toxicity through a noisy channel: restore disguised words, then score the restored text.
 
 Writers hide words by look-alike characters (``1d10t``), by spacing (``i d i o t``,
-``i.d.i.o.t``) and by repetition (``idiooot``).  A token that may be disguised becomes a
+``i.d.i.o.t``) and by repetition (``idioot``).  A token that may be disguised (any look-alike, edges
+included, or two equal characters in a row) is read as it stands and also becomes a
 character lattice: every observed character offers the letters it can stand for, or
 nothing, each at a channel cost.  Viterbi decoding under a character trigram model takes the
 cheapest path.  The trigram model is counted over all texts.
@@ -63,10 +64,12 @@ ANY = "*"
 BEAM = 32
 MAX_TOKEN = 40  # letters; longer tokens are not words and stay as they are
 
-_EDGES = ".,;:!?\"'()[]{}<>|&%#*$~^_-/\\=+`…“”„«»‘’"
-_LONG_EDGE = re.compile(r"[$@!*+(]{3,}$")
+_EDGES = ".,;:?!\"'()[]{}<>|&%#*$~^_-/\\=+`…“”„«»‘’"
+_MARKS = "".join(c for c in _EDGES if c not in LOOKALIKE and c not in ANY)  # edges that stand for no letter
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){3,}(?!\S)")
 _RUN = re.compile(r"(.)\1\1")
+_TWICE = re.compile(r"(.)\1")
+_TWICE_MARK = re.compile(r"([@$!|+(€£¡])\1")
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -117,8 +120,9 @@ def char_costs(counts: DataFrame) -> np.ndarray:
 
 # -- restoring -----------------------------------------------------------------------------
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """Per observed character what it may stand for: (letter or nothing, cost)."""
+def lattice(token: str, pairs: bool = False) -> list[list[tuple[str, float]]]:
+    """Per observed character what it may stand for: (letter or nothing, cost).  With ``pairs`` two
+    equal marks are two letters (``@$$``), else rather one (``id!!ot``)."""
     out: list[list[tuple[str, float]]] = []
     run = 0
     for i, c in enumerate(token):
@@ -133,15 +137,15 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             options.append(("", HIDDEN))
         else:
             options += [(x, SUBSTITUTED) for x in LOOKALIKE.get(c, "")]
-            options.append(("", UNKNOWN if c.isdigit() or c in LOOKALIKE and run < 2 and 0 < i < len(token) - 1 else DROPPED_MARK))
+            options.append(("", UNKNOWN if c.isdigit() or c in LOOKALIKE and (run < 2 and 0 < i < len(token) - 1 or pairs and run < 3) else DROPPED_MARK))
         out.append(options)
     return out
 
 
-def decode(token: str, costs: np.ndarray) -> str:
+def decode(token: str, costs: np.ndarray, pairs: bool = False) -> str:
     """The cheapest reading of a token (Viterbi over the last two letters, ``BEAM`` states)."""
     states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for options in lattice(token):
+    for options in lattice(token, pairs):
         nxt: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (cost, word) in states.items():
             for letter, price in options:
@@ -157,24 +161,36 @@ def decode(token: str, costs: np.ndarray) -> str:
 
 
 def suspicious(core: str) -> bool:
-    return len(core) <= MAX_TOKEN and any(map(str.isalpha, core)) and (not core.isalpha() or _RUN.search(core) is not None)
+    """May be disguised: two equal characters in a row, or something besides letters that can be read."""
+    return len(core) <= MAX_TOKEN and (any(c.isalpha() or c in LOOKALIKE for c in core) if not core.isalpha() else _TWICE.search(core) is not None)
+
+
+def _bounds(marks: str) -> list[int]:
+    """Where runs of one character begin, and the end."""
+    return [*(i for i, c in enumerate(marks) if not i or marks[i - 1] != c), len(marks)] if marks else [0]
+
+
+def _cores(token: str) -> list[str]:
+    """The token with none, some or all of its runs of edge marks, the longest first: a mark at an
+    edge is a letter (``+rash``, ``dumb@$$``) or decoration (``the$$$``)."""
+    core = token.strip(_MARKS)
+    if not core or core[0].isalnum() and core[-1].isalnum():
+        return [core]
+    inner = [i for i, c in enumerate(core) if c.isalnum()]
+    first, end = (inner[0], inner[-1] + 1) if inner else (len(core), 0)
+    found = dict.fromkeys(core[a:end + b].strip(_MARKS) for a in _bounds(core[:first]) for b in reversed(_bounds(core[end:])) if a < end + b)
+    return list(found)
 
 
 def read_token(token: str, costs: np.ndarray) -> list[str]:
     """The words of a lower-cased token: as it stands, and restored if it may be disguised."""
     plain = token.strip(_EDGES)
-    if plain.isalpha() and not _RUN.search(plain):
-        tail = token[token.rfind(plain) + len(plain):]
-        head = token[:token.find(plain)]
-        if not (0 < len(tail) <= 2 and tail[0] in "$" or head in ("$", "$$", "@", "(", "!", "|") and head):
-            return [plain]
-        return [plain, decode((head if head in ("$", "$$", "@", "(", "!", "|") else "") + plain + (tail if tail[:1] == "$" else ""), costs)]
-    words = _WORDS.findall(plain)
-    core = _LONG_EDGE.sub("", token).strip(".,;:?\"'[]{}<>&%#~^_-/\\=`…“”„«»‘’")
-    if suspicious(core):
-        words.append(decode(core, costs))
-        if core != plain and suspicious(plain):
-            words.append(decode(plain, costs))
+    words = [plain] if plain.isalpha() else _WORDS.findall(plain)
+    for core in _cores(token):
+        if suspicious(core):
+            words.append(decode(core, costs))
+            if _TWICE_MARK.search(core):
+                words.append(decode(core, costs, pairs=True))
     return words
 
 
@@ -188,9 +204,10 @@ def restored_text(text: str, costs: np.ndarray) -> str:
     text = _SPACED.sub(lambda m: decode("".join(m.group().lower().split()), costs) if any(map(str.isalpha, m.group())) and len(m.group()) < 2 * MAX_TOKEN else m.group(), text)
 
     def one(m: re.Match) -> str:
+        # One reading only: words and numbers stay as they stand.
         token = m.group().lower()
         plain = token.strip(_EDGES)
-        if plain.isalpha() and not _RUN.search(plain):
+        if plain.isalpha() and not _RUN.search(plain) or not any(map(str.isalpha, token)):
             return m.group()
         return (read_token(token, costs) or [m.group()])[-1] if suspicious(token) else m.group()
 

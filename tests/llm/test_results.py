@@ -66,6 +66,22 @@ def test_disguises_are_restored(spark):
     assert toxicity.read_token("the&&&", costs) == ["the"]
 
 
+@pytest.fixture(scope="module")
+def tox_costs(spark):
+    words = ["idiot", "stupid", "moron", "pathetic", "trash", "mutant", "dumbass", "ass"]
+    plain = " ".join(random.Random(1).choices([*words, "you", "are", "a", "the", "and", "of", "with", "that", "from", "thing", "rash", "seen"], k=5000))
+    return toxicity.char_costs(toxicity.trigram_counts(spark.createDataFrame([(plain,)], "text string")))
+
+
+@pytest.mark.parametrize("token,plain,want", [
+    ("idioot", "idioot", "idiot"), ("stuupid", "stuupid", "stupid"), ("+rash", "rash", "trash"), ("mutan+", "mutan", "mutant"),
+    ("(+rash)", "rash", "trash"), ("!!+rash!!!", "rash", "trash"), ("@$$", None, "ass"), ("455", None, "ass"), ("@$$!!!", None, "ass"), ("dumb@$$", "dumb", "dumbass"),
+    ("dumb@$$!!!", "dumb", "dumbass"), ("$tup1d!!!", None, "stupid"), ("id!!ot", None, "idiot")])
+def test_every_disguise_is_read_beside_the_plain_word(tox_costs, token, plain, want):
+    words = toxicity.read_token(token, tox_costs)
+    assert want in words and (plain is None or plain in words), words
+
+
 def test_lengths(spark, docs, rows):
     encode = token_counts.encoding(token_counts.default_ranks()).encode_ordinary
     lengths = [len(encode(t or "")) for _, t, _ in rows]
