@@ -5,7 +5,7 @@ Writers hide words by look-alike characters (``1d10t``), by spacing (``i d i o t
 included, or two equal characters in a row) is read as it stands and also becomes a
 character lattice: every observed character offers the letters it can stand for, or
 nothing, each at a channel cost.  Viterbi decoding under a character trigram model takes the
-cheapest path.  The trigram model is counted over all texts.
+cheapest path; no state is pruned.  The trigram model is counted over all texts.
 
 Scores come from the restored words and, for words too rare to be proven by themselves, their
 beginnings (4 to 6 letters, so that inflected forms count together).  Fitting reads a bounded sample of labelled rows: at most ``max_train`` rows
@@ -54,15 +54,17 @@ OTHER = A - 1
 _CODE = np.full(0x180, 0, np.int64)
 for _i, _c in enumerate(LETTERS):
     _CODE[ord(_c)] = _i + 1
-CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
+CODE = {c: i + 1 for i, c in enumerate(LETTERS)} | {" ": 0}
 
 # What a character can stand for besides itself, and channel costs in bits.
 LOOKALIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
              "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
 SUBSTITUTED, DROPPED_MARK, DROPPED_LETTER, HIDDEN, UNKNOWN = 1.0, 2.0, 1.5, 4.0, 16.0
 ANY = "*"
-BEAM = 32
+BRANCHES = 8  # from so many characters with a choice on, decoding works on arrays (a cost choice)
 MAX_TOKEN = 40  # letters; longer tokens are not words and stay as they are
+CHUNK = 1024  # steps whose ways back are held at once
+EDGE_RUNS = 8  # a word with decoration is looked for in so many runs of edge marks
 
 _EDGES = ".,;:?!\"'()[]{}<>|&%#*$~^_-/\\=+`…“”„«»‘’"
 _MARKS = "".join(c for c in _EDGES if c not in LOOKALIKE and c not in ANY)  # edges that stand for no letter
@@ -128,7 +130,9 @@ def lattice(token: str, pairs: bool = False) -> list[list[tuple[str, float]]]:
     for i, c in enumerate(token):
         run = run + 1 if i and token[i - 1] == c else 1
         options: list[tuple[str, float]] = []
-        if c.isalpha():
+        if run == 1 and c in CODE:
+            options.append((c, 0.0))
+        elif c.isalpha():
             options.append((c, 0.0 if run < 3 else 3.0))
             if run > 1:
                 options.append(("", DROPPED_LETTER if run > 2 or token[i + 1:i + 2] == c else 5.0))
@@ -142,22 +146,104 @@ def lattice(token: str, pairs: bool = False) -> list[list[tuple[str, float]]]:
     return out
 
 
+Steps = list[list[tuple[str, float]]]
+
+
 def decode(token: str, costs: np.ndarray, pairs: bool = False) -> str:
-    """The cheapest reading of a token (Viterbi over the last two letters, ``BEAM`` states)."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for options in lattice(token, pairs):
-        nxt: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, word) in states.items():
+    """The cheapest reading of a token: exact Viterbi over the last two letters, linear in its length."""
+    return cheapest(lattice(token, pairs), costs)
+
+
+def cheapest(steps: Steps, costs: np.ndarray) -> str:
+    # What can only be dropped costs every reading the same.
+    steps = [o for o in steps if len(o) > 1 or o[0][0]]
+    wide = any(len(o) > 9 for o in steps) or sum(len(o) > 1 for o in steps) > BRANCHES
+    return (_on_arrays if wide else _on_states)(steps, costs)
+
+
+def _on_states(steps: Steps, costs: np.ndarray) -> str:
+    cost_of, square = costs.item, A * A
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
+    for options in steps:
+        nxt: dict[int, tuple[float, tuple | None]] = {}
+        if len(options) == 1 and len(states) == 1:
+            (letter, price), = options
+            (key, (cost, path)), = states.items()
+            at = key * A + CODE.get(letter, OTHER)
+            states = {at % square: (cost + price + cost_of(at), (path, letter))}
+            continue
+        for key, (cost, path) in states.items():
             for letter, price in options:
                 if letter:
-                    code = CODE.get(letter, OTHER)
-                    key, total, new = (b, code), cost + price + float(costs[a, b, code]), word + letter
+                    at = key * A + CODE.get(letter, OTHER)
+                    to, total, new = at % square, cost + price + cost_of(at), (path, letter)
                 else:
-                    key, total, new = (a, b), cost + price, word
-                if key not in nxt or total < nxt[key][0]:
-                    nxt[key] = (total, new)
-        states = nxt if len(nxt) <= BEAM else dict(sorted(nxt.items(), key=lambda x: x[1][0])[:BEAM])
-    return min(((cost + float(costs[a, b, 0]), word) for (a, b), (cost, word) in states.items()))[1]
+                    to, total, new = key, cost + price, path
+                if to not in nxt or total < nxt[to][0]:
+                    nxt[to] = (total, new)
+        states = nxt
+    path = min(((cost + cost_of(key * A), n, path) for n, (key, (cost, path)) in enumerate(states.items())))[2]
+    out = []
+    while path:
+        path, letter = path
+        out.append(letter)
+    return "".join(reversed(out))
+
+
+def _on_arrays(steps: Steps, costs: np.ndarray) -> str:
+    """The same on a table of all (last two letters) states over the letters that occur."""
+    codes = sorted({0, *(CODE.get(x, OTHER) for o in steps for x, _ in o if x)})
+    place = {c: i for i, c in enumerate(codes)}
+    table = costs[np.ix_(codes, codes, codes)].astype(np.float64)
+    size = len(codes)
+
+    def run(best: np.ndarray, part: Steps, back: list | None) -> np.ndarray:
+        for options in part:
+            nxt, way = np.full((size, size), np.inf), np.full((size, size), -1, np.int8)  # -1: dropped
+            names = {}
+            for letter, price in options:
+                if not letter:
+                    np.minimum(nxt, best + price, out=nxt)
+            letters = [(place[CODE.get(x, OTHER)], x, price) for x, price in options if x]
+            if len(letters) == 1:
+                (i, x, price), = letters
+                total = best + table[:, :, i]
+                value = total.min(0) + price
+                better = value < nxt[:, i]
+                nxt[better, i] = value[better]
+                way[better, i] = total.argmin(0)[better]
+                names = {i: x}
+            elif letters:
+                at = [i for i, _, _ in letters]
+                total = best[:, :, None] + table[:, :, at]
+                first = total.argmin(0)
+                value = np.take_along_axis(total, first[None], 0)[0] + np.array([p for _, _, p in letters])
+                better = value < nxt[:, at]
+                nxt[:, at] = np.where(better, value, nxt[:, at])
+                way[:, at] = np.where(better, first, -1)
+                names = {i: x for i, x, _ in letters}
+            if back is not None:
+                back.append((way, names))
+            best = nxt
+        return best
+
+    best = np.full((size, size), np.inf)
+    best[0, 0] = 0.0
+    parts = [steps[i:i + CHUNK] for i in range(0, len(steps), CHUNK)]
+    before, back = [], []
+    for n, part in enumerate(parts):
+        before.append(best)
+        best = run(best, part, back if n == len(parts) - 1 else None)
+    a, b = divmod(int((best + table[:, :, 0]).argmin()), size)
+    out = []
+    for n in range(len(parts) - 1, -1, -1):
+        if n < len(parts) - 1:
+            run(before[n], parts[n], back := [])
+        for way, names in reversed(back):
+            if way[a, b] >= 0:
+                out.append(names[b])
+                a, b = int(way[a, b]), a
+    return "".join(reversed(out))
 
 
 def suspicious(core: str) -> bool:
@@ -172,20 +258,31 @@ def _bounds(marks: str) -> list[int]:
 
 def _cores(token: str) -> list[str]:
     """The token with none, some or all of its runs of edge marks, the longest first: a mark at an
-    edge is a letter (``+rash``, ``dumb@$$``) or decoration (``the$$$``)."""
+    edge is a letter (``+rash``, ``dumb@$$``) or decoration (``the$$$``).  Edges of more than
+    ``EDGE_RUNS`` runs are taken as a whole, or cut in the ``EDGE_RUNS`` runs nearest to the word."""
     core = token.strip(_MARKS)
     if not core or core[0].isalnum() and core[-1].isalnum():
         return [core]
     inner = [i for i, c in enumerate(core) if c.isalnum()]
     first, end = (inner[0], inner[-1] + 1) if inner else (len(core), 0)
-    found = dict.fromkeys(core[a:end + b].strip(_MARKS) for a in _bounds(core[:first]) for b in reversed(_bounds(core[end:])) if a < end + b)
+    starts, ends = _bounds(core[:first]), _bounds(core[end:])
+    if inner:
+        starts, ends = [0, *starts[1:][-EDGE_RUNS:]], [*ends[:-1][:EDGE_RUNS], ends[-1]]
+    else:
+        starts, ends = starts[:EDGE_RUNS], ends[-EDGE_RUNS:]
+    found = dict.fromkeys(core[a:end + b].strip(_MARKS) for a in starts for b in reversed(ends) if a < end + b)
     return list(found)
 
 
 def read_token(token: str, costs: np.ndarray) -> list[str]:
     """The words of a lower-cased token: as it stands, and restored if it may be disguised."""
     plain = token.strip(_EDGES)
-    words = [plain] if plain.isalpha() else _WORDS.findall(plain)
+    if plain.isalpha():
+        words = [plain]
+        if not _TWICE.search(plain) and plain == token.strip(_MARKS):
+            return words
+    else:
+        words = _WORDS.findall(plain)
     for core in _cores(token):
         if suspicious(core):
             words.append(decode(core, costs))

@@ -1,6 +1,7 @@
 """Results against DuckDB SQL or, where SQL has no form, against plain versions and held-out labels."""
 
 import collections
+import itertools
 import os
 import random
 
@@ -82,6 +83,27 @@ def test_every_disguise_is_read_beside_the_plain_word(tox_costs, token, plain, w
     assert want in words and (plain is None or plain in words), words
 
 
+def test_decoding_is_exact():
+    rng = np.random.default_rng(5)
+    costs = rng.uniform(0, 9, (toxicity.A,) * 3)
+
+    def price(word):
+        c = [0, 0, *(toxicity.CODE[x] for x in word), 0]
+        return sum(costs[tuple(c[i:i + 3])] for i in range(len(c) - 2))
+
+    # The beam of 32 states read the third and fourth at a higher price.
+    for token in ("**", "a**", "f**qt", "r**kt", "b1*6", "1!|0$1!|0"):
+        steps = toxicity.lattice(token)
+        best = min(sum(p for _, p in path) + price("".join(x for x, _ in path)) for path in itertools.product(*steps))
+        for how in (toxicity._on_states, toxicity._on_arrays):
+            word = how([o for o in steps if len(o) > 1 or o[0][0]], costs)
+            assert min(sum(p for _, p in path) for path in itertools.product(*steps) if "".join(x for x, _ in path) == word) + price(word) == pytest.approx(best)
+        assert toxicity.decode(token, costs) == word
+    long = "1d" * 2000
+    steps = [o for o in toxicity.lattice(long) if len(o) > 1 or o[0][0]]
+    assert toxicity._on_states(steps, costs) == toxicity._on_arrays(steps, costs)
+
+
 def test_lengths(spark, docs, rows):
     encode = token_counts.encoding(token_counts.default_ranks()).encode_ordinary
     lengths = [len(encode(t or "")) for _, t, _ in rows]
