@@ -62,7 +62,6 @@ LOOKALIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "
 SUBSTITUTED, DROPPED_MARK, DROPPED_LETTER, HIDDEN, UNKNOWN = 1.0, 2.0, 1.5, 4.0, 16.0
 ANY = "*"
 BRANCHES = 8  # from so many characters with a choice on, decoding works on arrays (a cost choice)
-MAX_TOKEN = 40  # letters; longer tokens are not words and stay as they are
 CHUNK = 1024  # steps whose ways back are held at once
 EDGE_RUNS = 8  # a word with decoration is looked for in so many runs of edge marks
 
@@ -70,6 +69,7 @@ _EDGES = ".,;:?!\"'()[]{}<>|&%#*$~^_-/\\=+`…“”„«»‘’"
 _MARKS = "".join(c for c in _EDGES if c not in LOOKALIKE and c not in ANY)  # edges that stand for no letter
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){3,}(?!\S)")
 _RUN = re.compile(r"(.)\1\1")
+_LONG_RUN = re.compile(r"([^*])\1{3,}|(\*{32})\*+")  # a star may hide a letter
 _TWICE = re.compile(r"(.)\1")
 _TWICE_MARK = re.compile(r"([@$!|+(€£¡])\1")
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -248,7 +248,7 @@ def _on_arrays(steps: Steps, costs: np.ndarray) -> str:
 
 def suspicious(core: str) -> bool:
     """May be disguised: two equal characters in a row, or something besides letters that can be read."""
-    return len(core) <= MAX_TOKEN and (any(c.isalpha() or c in LOOKALIKE for c in core) if not core.isalpha() else _TWICE.search(core) is not None)
+    return any(c.isalpha() or c in LOOKALIKE for c in core) if not core.isalpha() else _TWICE.search(core) is not None
 
 
 def _bounds(marks: str) -> list[int]:
@@ -283,7 +283,7 @@ def read_token(token: str, costs: np.ndarray) -> list[str]:
             return words
     else:
         words = _WORDS.findall(plain)
-    for core in _cores(token):
+    for core in _cores(_LONG_RUN.sub(lambda m: m[2] or m[1] * 3, token)):
         if suspicious(core):
             words.append(decode(core, costs))
             if _TWICE_MARK.search(core):
@@ -298,7 +298,7 @@ def spaced_words(text: str, costs: np.ndarray) -> list[str]:
 
 def restored_text(text: str, costs: np.ndarray) -> str:
     """The text with disguised tokens replaced by their readings."""
-    text = _SPACED.sub(lambda m: decode("".join(m.group().lower().split()), costs) if any(map(str.isalpha, m.group())) and len(m.group()) < 2 * MAX_TOKEN else m.group(), text)
+    text = _SPACED.sub(lambda m: decode("".join(m.group().lower().split()), costs) if any(map(str.isalpha, m.group())) else m.group(), text)
 
     def one(m: re.Match) -> str:
         # One reading only: words and numbers stay as they stand.

@@ -83,6 +83,12 @@ def test_every_disguise_is_read_beside_the_plain_word(tox_costs, token, plain, w
     assert want in words and (plain is None or plain in words), words
 
 
+@pytest.mark.parametrize("token", ["idi" + "o" * 40 + "t", "i" + "-_" * 20 + "d10t", "1d10t" + "!" * 90])
+def test_long_tokens_are_decoded(tox_costs, token):
+    words = toxicity.read_token(token, tox_costs)
+    assert {"idiot", "stupid"} & set(words), words
+
+
 def test_decoding_is_exact():
     rng = np.random.default_rng(5)
     costs = rng.uniform(0, 9, (toxicity.A,) * 3)
