@@ -59,7 +59,7 @@ CODE = {c: i + 1 for i, c in enumerate(LETTERS)} | {" ": 0}
 # What a character can stand for besides itself, and channel costs in bits.
 LOOKALIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
              "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
-SUBSTITUTED, DROPPED_MARK, DROPPED_LETTER, HIDDEN, UNKNOWN = 1.0, 2.0, 1.5, 4.0, 16.0
+SUBSTITUTED, DROPPED_MARK, DROPPED_LETTER, HIDDEN, UNKNOWN, PARTED = 1.0, 2.0, 1.5, 4.0, 16.0, 1.0
 ANY = "*"
 BRANCHES = 8  # from so many characters with a choice on, decoding works on arrays (a cost choice)
 CHUNK = 1024  # steps whose ways back are held at once
@@ -67,11 +67,11 @@ EDGE_RUNS = 8  # a word with decoration is looked for in so many runs of edge ma
 
 _EDGES = ".,;:?!\"'()[]{}<>|&%#*$~^_-/\\=+`…“”„«»‘’"
 _MARKS = "".join(c for c in _EDGES if c not in LOOKALIKE and c not in ANY)  # edges that stand for no letter
-_SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){3,}(?!\S)")
 _RUN = re.compile(r"(.)\1\1")
 _LONG_RUN = re.compile(r"([^*])\1{3,}|(\*{32})\*+")  # a star may hide a letter
 _TWICE = re.compile(r"(.)\1")
 _TWICE_MARK = re.compile(r"([@$!|+(€£¡])\1")
+_CLOSED = re.compile(r"[.,;:?!…]\W*$")
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -291,14 +291,64 @@ def read_token(token: str, costs: np.ndarray) -> list[str]:
     return words
 
 
+def _unit(token: str) -> str:
+    """The only character of a token besides edge marks, or nothing."""
+    if len(token) == 1:
+        return token
+    core = token.strip(_EDGES) or token.strip(_MARKS)
+    return core if len(core) == 1 else ""
+
+
+def _spaced_runs(tokens: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """First token and characters of every run of three single characters or more."""
+    run: list[str] = []
+    for i, token in enumerate([*tokens, ""]):
+        unit = _unit(token) if token else ""
+        if unit:
+            run.append(unit)
+        elif run:
+            if len(run) > 2 and any(c.isalpha() or c in LOOKALIKE for c in run):
+                yield i - len(run), run
+            run = []
+
+
+def _parted(units: list[str], costs: np.ndarray) -> str:
+    """The cheapest reading with word boundaries between any two characters."""
+    steps: Steps = []
+    for i, options in enumerate(lattice("".join(units))):
+        if i:
+            steps.append([("", 0.0), (" ", PARTED)])
+        steps.append(options)
+    return " ".join(cheapest(steps, costs).split())
+
+
 def spaced_words(text: str, costs: np.ndarray) -> list[str]:
-    """Readings of runs of single characters."""
-    return [decode(joined, costs) for m in _SPACED.finditer(text) if suspicious(joined := "".join(m.group().split())) or joined.isalpha()]
+    """Readings of runs of single characters: with word boundaries anywhere; as one word, also without
+    the first or last character (``a i d i o t``); and the parts that punctuation closes as one word each."""
+    words: list[str] = []
+    tokens = text.split()
+    for first, units in _spaced_runs(tokens):
+        words += _parted(units, costs).split()
+        joined = "".join(units)
+        ends = [0, *(i + 1 for i in range(len(units)) if _CLOSED.search(tokens[first + i][1:])), len(units)]
+        parts = [joined[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        for part in dict.fromkeys([joined, joined[1:], joined[:-1], joined[1:-1], *parts]):
+            if len(part) > 2:
+                words.append(decode(part, costs))
+    return words
 
 
 def restored_text(text: str, costs: np.ndarray) -> str:
     """The text with disguised tokens replaced by their readings."""
-    text = _SPACED.sub(lambda m: decode("".join(m.group().lower().split()), costs) if any(map(str.isalpha, m.group())) else m.group(), text)
+    found = list(re.finditer(r"\S+", text))
+    out, done = [], 0
+    for first, units in _spaced_runs([m.group().lower() for m in found]):
+        if any(map(str.isalpha, units)):
+            head, tail = found[first], found[first + len(units) - 1]
+            start, end = head.start() + head.group().lower().find(units[0]), tail.start() + tail.group().lower().rfind(units[-1]) + 1
+            out += [text[done:start], _parted(units, costs)]
+            done = end
+    text = "".join([*out, text[done:]])
 
     def one(m: re.Match) -> str:
         # One reading only: words and numbers stay as they stand.

@@ -83,6 +83,16 @@ def test_every_disguise_is_read_beside_the_plain_word(tox_costs, token, plain, w
     assert want in words and (plain is None or plain in words), words
 
 
+@pytest.mark.parametrize("text,want", [
+    ("you are a i d i o t", {"idiot"}), ("an i d i o t.", {"idiot"}), ("an i d i o t!", {"idiot"}), ('an "i d i o t!!!" here', {"idiot"}),
+    ("s t u p i d i d i o t", {"stupid", "idiot"}), ("a s t u p i d i d i o t!", {"stupid", "idiot"}), ("an a s s here", {"ass"}), ("an @ $ $ here", {"ass"}),
+    ("an i  d  i  o  t", {"idiot"}), ("i\u00a0d\u00a0i\u2003o\u00a0t", {"idiot"}), ("i d i o t. s t u p i d.", {"idiot", "stupid"}),
+    ("i " * 30 + "d i o t", {"idiot"}), ("i. d. i. o. t.", {"idiot"})])
+def test_spaced_words_are_read(tox_costs, text, want):
+    words = toxicity.spaced_words(text, tox_costs)
+    assert want <= set(words), words
+
+
 @pytest.mark.parametrize("token", ["idi" + "o" * 40 + "t", "i" + "-_" * 20 + "d10t", "1d10t" + "!" * 90])
 def test_long_tokens_are_decoded(tox_costs, token):
     words = toxicity.read_token(token, tox_costs)
