@@ -9,8 +9,8 @@ cheapest path; no state is pruned.  The trigram model is counted over all texts.
 
 Scores come from the restored words and, for words too rare to be proven by themselves, their
 beginnings (4 to 6 letters, so that inflected forms count together).  Fitting reads a bounded sample of labelled rows: at most ``max_train`` rows
-(the smallest id hashes), of which near copies (equal in any of three min-hashes of 3-word
-windows) count once, as a copied document is one piece of evidence.  A feature speaks for
+(the smallest id hashes), of which near copies (``COPIES`` of ``COORDS`` min-hashes of 3-word
+windows agree, connected groups) count once for each label, as a copied document is one piece of evidence.  A feature speaks for
 toxicity when documents with it are toxic more often than chance allows, given how many features
 were tried (a likelihood ratio over twice the logarithm of their number) and at least
 ``MIN_WEIGHT`` of them are; its weight is its smoothed share of toxic documents.  A document's score is its highest
@@ -368,22 +368,39 @@ def features(word: str) -> list[str]:
 
 # -- fitting -------------------------------------------------------------------------------
 
+# Two documents are near copies when COPIES of COORDS coordinates agree; then at most
+# COORDS - COPIES bands of BAND differ, and as there are more bands, one at least agrees.
+COORDS, COPIES, BAND = 64, 33, 2
+_MULTIPLIERS = np.random.default_rng(20240301).integers(1, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
 @dataclass
 class Model:
     costs: np.ndarray
     weights: dict[str, float]
+    sampled: int = 0  # labelled documents read
+    used: int = 0  # of these, without near copies
 
 
 def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def _min_hashes(words: list[str]) -> list[int]:
+def _signature(words: list[str]) -> bytes:
+    """``COORDS`` min-hash coordinates (32 bits each) of the 3-word windows."""
     h = np.array([hash_word(w) for w in words], np.uint64)
     if len(h) > 2:
         h = h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + h[2:]
-    mixed = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-    return [int((mixed * np.uint64(m)).min() >> np.uint64(1)) for m in (0x9E3779B97F4A7C15, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
+    h = np.unique(_mixed(h))
+    least = np.full(COORDS, np.iinfo(np.uint64).max, np.uint64)
+    for a in range(0, len(h), 2048):
+        np.minimum(least, np.multiply.outer(h[a:a + 2048], _MULTIPLIERS).min(axis=0), out=least)
+    return (_mixed(least) >> np.uint64(32)).astype("<u4").tobytes()
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xA0761D6478BD642F)
+    return h ^ (h >> np.uint64(32))
 
 
 def hash_word(word: str) -> int:
@@ -393,7 +410,7 @@ def hash_word(word: str) -> int:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, costs: np.ndarray, max_train: int) -> DataFrame:
-    """``doc_id, toxic, words, m`` of the sampled labelled documents."""
+    """``doc_id, toxic, words, m`` (signature) of the sampled labelled documents, each once."""
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # Bounded by max_train rows of two numbers, so the join below may broadcast it.
     sample = cut(known.filter(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train), "toxic-sample")
@@ -416,20 +433,59 @@ def training_rows(docs: DataFrame, labels: DataFrame, costs: np.ndarray, max_tra
                     seen.update(cache[token])
                 seen.update(spaced_words(low, costs))
                 words.append(sorted(seen))
-                hashes.append(_min_hashes(tokens) if tokens else [0, 0, 0])
+                hashes.append(_signature(tokens))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(toxic, pa.int64()), pa.array(words, pa.list_(pa.string())),
-                                              pa.array(hashes, pa.list_(pa.int64()))], ["doc_id", "toxic", "words", "m"])
+                                              pa.array(hashes, pa.binary())], ["doc_id", "toxic", "words", "m"])
 
     return rows.select("doc_id", "text", F.col("toxic").cast("long").alias("toxic")).mapInArrow(
-        run, "doc_id long, toxic long, words array<string>, m array<long>")
+        run, "doc_id long, toxic long, words array<string>, m binary").dropDuplicates(["doc_id"])
+
+
+def near_copies(signatures: np.ndarray) -> np.ndarray:
+    """A group number per row: rows are connected where ``COPIES`` coordinates agree."""
+    parent = np.arange(len(signatures))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = int(parent[i])
+        return i
+
+    for a in range(0, COORDS - BAND + 1, BAND):
+        key = np.zeros(len(signatures), np.uint64)
+        for j in range(a, a + BAND):
+            key = _mixed(key + signatures[:, j])
+        order = np.argsort(key, kind="stable")
+        for bucket in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
+            # Every row of the bucket looks at those that no row has reached yet, unless they are in one group.
+            left = bucket if len(bucket) > 1 and len({root(i) for i in bucket.tolist()}) > 1 else bucket[:0]
+            while len(left) > 1:
+                reach, left = [int(left[0])], left[1:]
+                while reach and len(left):
+                    i = reach.pop()
+                    near = (signatures[left] == signatures[i]).sum(1) >= COPIES
+                    for j in left[near].tolist():
+                        parent[root(j)] = root(i)
+                    reach += left[near].tolist()
+                    left = left[~near]
+    return np.array([root(i) for i in range(len(parent))], np.int64)
 
 
 def one_of_each(rows: DataFrame) -> DataFrame:
-    """Rows that hold the smallest id in each of their three min-hash buckets."""
-    m = rows.select("doc_id", F.posexplode("m").alias("i", "v"))
-    first = m.groupBy("i", "v").agg(F.min("doc_id").alias("first"))
-    stay = m.join(first, ["i", "v"]).groupBy("doc_id").agg(F.min(F.col("first") == F.col("doc_id")).alias("stay")).filter("stay")
-    return rows.join(stay.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """Of every connected group of near copies the smallest id of each label.  The driver takes a number, a
+    label and a signature of the sampled rows, at most ``max_train``."""
+    ids, toxic, m = [], [], bytearray()
+    for r in rows.select("doc_id", (F.col("toxic") > 0).alias("toxic"), "m").toLocalIterator():
+        ids.append(r["doc_id"])
+        toxic.append(r["toxic"])
+        m += r["m"]
+    order = np.argsort(np.array(ids, np.int64))
+    group = near_copies(np.frombuffer(bytes(m), "<u4").reshape(-1, COORDS))
+    seen: dict[tuple[int, bool], int] = {}
+    for i in order.tolist():
+        seen.setdefault((int(group[i]), toxic[i]), ids[i])
+    keep = rows.sparkSession.createDataFrame([(i,) for i in seen.values()], "doc_id long")
+    return rows.join(F.broadcast(keep), "doc_id", "left_semi")
 
 
 def _evidence(counts: DataFrame, base: float) -> DataFrame:
@@ -444,10 +500,11 @@ def _evidence(counts: DataFrame, base: float) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     costs = char_costs(trigram_counts(docs))
-    rows = cut(one_of_each(cut(training_rows(docs, labels, costs, max_train), "toxic-words")), "toxic-train")
+    sampled = cut(training_rows(docs, labels, costs, max_train), "toxic-words")
+    rows = cut(one_of_each(sampled), "toxic-train")
     total, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("toxic") > 0).cast("long")), F.lit(0))).first()
     if not toxic:
-        return Model(costs, {})
+        return Model(costs, {}, sampled.count(), total)
     base, sides = toxic / total, (F.count(F.lit(1)).alias("n"), F.sum((F.col("toxic") > 0).cast("long")).alias("t"))
     each = rows.select("doc_id", "toxic", F.explode("words").alias("word")).filter(F.length("word") > 2)
     words = cut(each.groupBy("word").agg(*sides), "toxic-features")
@@ -473,7 +530,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     weights = {r["word"]: float(r["weight"] if r["proven"] else min(r["weight"], THRESHOLD - 0.01))
                for r in found.select("word", "weight", "proven").toLocalIterator()}
     weights |= {"^" + r["start"]: float(r["weight"]) for r in checked.select("start", "weight").toLocalIterator()}
-    return Model(costs, weights)
+    return Model(costs, weights, sampled.count(), total)
 
 
 # -- scoring -------------------------------------------------------------------------------

@@ -120,6 +120,44 @@ def test_decoding_is_exact():
     assert toxicity._on_states(steps, costs) == toxicity._on_arrays(steps, costs)
 
 
+def test_only_near_copies_count_once(spark):
+    rng = random.Random(2)
+    passage = [f"p{i}" for i in range(40)]
+    own = [" ".join([*passage, *(f"w{rng.randrange(10 ** 6)}" for _ in range(60))]) for _ in range(200)]
+    long = [f"c{i}" for i in range(200)]
+    chain = [" ".join([*long[8 * j:], *(f"d{j}x{i}" for i in range(8 * j))]) for j in range(5)]  # neighbours are near copies, the ends are not
+    texts = [*own, *chain, *chain[:1] * 3]
+    ids = {i: int(i % 2 or 200 <= i < 205) for i in range(len(texts))}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(ids.items()), "doc_id long, toxic int")
+    costs = np.ones((toxicity.A,) * 3, np.float32)
+    rows = cut(toxicity.training_rows(docs, labels, costs, 1000), "test-copies")
+    there = {r.doc_id for r in rows.select("doc_id").collect()}
+    kept = {r.doc_id for r in toxicity.one_of_each(rows).collect()}
+    assert {i for i in there if i < 200} <= kept  # a shared passage removes nobody
+    copies = {i for i in there if i >= 200}
+    groups = toxicity.near_copies(np.array([np.frombuffer(toxicity._signature(texts[i].split()), "<u4") for i in sorted(copies)]))
+    want = {min(i for i, g in zip(sorted(copies), groups, strict=True) if g == x and ids[i] == y) for x, y in
+            {(g, ids[i]) for i, g in zip(sorted(copies), groups, strict=True)}}
+    assert kept - set(range(200)) == want and len(want) < len(copies)
+
+
+def test_near_copies_are_all_connected():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 32, (30, toxicity.COORDS), dtype=np.uint32)
+    rows = []
+    for b in base:
+        for n in (0, 5, 31, 32):
+            r = b.copy()
+            r[rng.choice(toxicity.COORDS, n, replace=False)] += 1
+            rows.append(r)
+    rows = np.array(rows)
+    group = toxicity.near_copies(rows)
+    near = (rows[:, None] == rows[None]).sum(2) >= toxicity.COPIES
+    reach = np.linalg.matrix_power(near.astype(float), 8) > 0
+    assert ((group[:, None] == group[None]) == reach).all()
+
+
 def test_lengths(spark, docs, rows):
     encode = token_counts.encoding(token_counts.default_ranks()).encode_ordinary
     lengths = [len(encode(t or "")) for _, t, _ in rows]
