@@ -6,14 +6,15 @@ impact (its bit length), largest first, and cut into one segment per size.  Quer
 run against a block in rounds: a round adds one segment's contributions to the scores of all
 queries still open.  What later segments can add to a score is at most the query's length times the
 length of the vector's unread part (Cauchy-Schwarz); both are in the index.  A query closes
-when the vectors whose upper bound reaches the k-th best lower bound, which are the only possible members,
-are few; the proof is that every other vector's best case is below k
-others' worst case.  Otherwise it reads on, at the latest to the end.  Possible members are rescored exactly.
+when the vectors whose upper bound reaches the k-th best lower bound of an id, which are the only possible
+members, are few; the proof is that every other vector's best case is below the worst case of k other ids'
+best vectors.  Otherwise it reads on, at the latest to the end.  Possible members are rescored exactly.
 
 Scale: index blocks and query packs form a grid; a cell holds one block and one pack, both of
 bounded size, so every task has bounded memory whatever the table.  Blocks are written once.  A cell
 returns k rows a query; a rank over those keeps the best k.  Blocks are dealt by the
-hash of ``vec_id`` after removing repeated rows, so many equal vectors do not meet in one block.
+hash of id and vector after removing repeated rows, so neither equal vectors nor the vectors of one id
+meet in one block; the last rank takes the best score of each id over all blocks.
 
 Defined results: rows whose vector is null, or holds a null, NaN or infinite component, or
 whose ``vec_id`` is null take no part; shorter vectors count as padded with zeros; a row equal to
@@ -64,6 +65,7 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 def _index(table: pa.Table) -> pa.Table:
     """One block: ids, and postings ordered by impact size with the segments' bounds."""
+    table = table.sort_by("vec_id")  # the vectors of an id stand together
     ids, m = table.column("vec_id").to_numpy(), _matrix(table.column("q"))
     row, dim = np.nonzero(m)
     impact = m[row, dim]
@@ -80,7 +82,7 @@ INDEX_SCHEMA = "block long, width int, ids binary, rows binary, dims binary, imp
 
 def build_index(vectors: DataFrame, n: int) -> DataFrame:
     blocks = max(1, math.ceil(n / BLOCK))
-    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id", "q"), F.lit(blocks)))
     return dealt.groupBy("block").applyInArrow(_index, INDEX_SCHEMA)
 
 
@@ -91,6 +93,7 @@ def search_block(index: dict, qids: np.ndarray, w: np.ndarray, k: int) -> tuple[
     impacts, bounds = np.frombuffer(index["impacts"], "<f8"), np.frombuffer(index["bounds"], "<i8")
     width = max(index["width"], w.shape[1])
     w = np.pad(w, ((0, 0), (0, width - w.shape[1])))
+    firsts = np.flatnonzero(np.append(True, np.diff(ids) != 0))  # ids are sorted
     n, norms = len(ids), np.sqrt((w * w).sum(1))
     left = np.bincount(rows, impacts * impacts, n)  # squared length of what is unread
     size = np.sqrt(left)
@@ -108,8 +111,9 @@ def search_block(index: dict, qids: np.ndarray, w: np.ndarray, k: int) -> tuple[
         rest = np.zeros(n) if last else np.sqrt(left)
         slack = norms[open_, None] * (rest + (size * 1e-9 if norms.max(initial=0) * size.max(initial=0) * width >= EXACT or not last else 0))[None, :]
         got = score[open_]
-        if n > k:
-            floor_ = np.partition(got - slack, n - k, axis=1)[:, n - k]
+        if len(firsts) > k:
+            least = np.maximum.reduceat(got - slack, firsts, axis=1)  # of the best vector of each id
+            floor_ = np.partition(least, len(firsts) - k, axis=1)[:, len(firsts) - k]
             possible = got + slack >= floor_[:, None]
         else:
             possible = np.ones(got.shape, bool)

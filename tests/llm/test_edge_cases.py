@@ -109,6 +109,19 @@ def test_conversations(spark):
         assert got == own
 
 
+def test_vectors_of_one_id_count_once(spark):
+    rows = [(0, [1.0, 0.0])] + [(1, [9.0, i / 64]) for i in range(300)] + [(i, [1.0 + i / 64, 0.0]) for i in range(2, 100)]
+    vectors = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    out = topk.search(vectors, vectors.filter("vec_id = 0"), k=5).collect()
+    assert [r.vec_id for r in sorted(out, key=lambda r: r["rank"])] == [1, 99, 98, 97, 96]
+
+
+def test_vectors_of_one_id_are_dealt_over_blocks(spark):
+    vectors = topk.quantised(spark.createDataFrame([(7, [float(i)]) for i in range(400)], "vec_id long, embedding array<double>"))
+    index = topk.build_index(vectors, 4 * topk.BLOCK).collect()
+    assert len(index) == 4 and max(len(r.ids) // 8 for r in index) < 200
+
+
 def test_vectors(spark):
     schema = "vec_id long, embedding array<float>, block int, q string"
     inf, nan = float("inf"), float("nan")
