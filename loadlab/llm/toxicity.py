@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -70,6 +70,8 @@ _MARKS = "".join(c for c in _EDGES if c not in LOOKALIKE and c not in ANY)  # ed
 _RUN = re.compile(r"(.)\1\1")
 _LONG_RUN = re.compile(r"([^*])\1{3,}|(\*{32})\*+")  # a star may hide a letter
 _TWICE = re.compile(r"(.)\1")
+_TWICES = re.compile(r"(.)\1+", re.S)
+_STANDS = re.compile("[" + re.escape("".join(LOOKALIKE) + ANY) + "]")
 _TWICE_MARK = re.compile(r"([@$!|+(€£¡])\1")
 _CLOSED = re.compile(r"[.,;:?!…]\W*$")
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -157,6 +159,8 @@ def decode(token: str, costs: np.ndarray, pairs: bool = False) -> str:
 def cheapest(steps: Steps, costs: np.ndarray) -> str:
     # What can only be dropped costs every reading the same.
     steps = [o for o in steps if len(o) > 1 or o[0][0]]
+    if all(len(o) == 1 for o in steps):
+        return "".join(o[0][0] for o in steps)
     wide = any(len(o) > 9 for o in steps) or sum(len(o) > 1 for o in steps) > BRANCHES
     return (_on_arrays if wide else _on_states)(steps, costs)
 
@@ -274,17 +278,35 @@ def _cores(token: str) -> list[str]:
     return list(found)
 
 
-def read_token(token: str, costs: np.ndarray) -> list[str]:
-    """The words of a lower-cased token: as it stands, and restored if it may be disguised."""
+def _squeezed(word: str) -> str:
+    return _TWICES.sub(r"\1", word) if _TWICE.search(word) else word
+
+
+def may_count(weights: dict[str, float]) -> Callable[[str], bool]:
+    """Whether a reading of a core without look-alikes can have a feature in ``weights``.  All readings of
+    such a core have its letters, but for repetition, so this leaves out no score."""
+    words = {_squeezed(w) for w in weights if w[0] != "^"}
+    starts = {_squeezed(w[1:]) for w in weights if w[0] == "^"}
+    sizes = sorted({len(x) for x in starts})
+
+    def test(core: str) -> bool:
+        short = _squeezed(core if core.isalpha() else "".join(filter(str.isalpha, core)))
+        return short in words or any(short[:n] in starts for n in sizes)
+    return test
+
+
+def read_token(token: str, costs: np.ndarray, counts: Callable[[str], bool] | None = None) -> list[str]:
+    """The words of a lower-cased token: as it stands, and restored if it may be disguised.  With ``counts``
+    (see ``may_count``) readings that can have no weight may be left out."""
     plain = token.strip(_EDGES)
     if plain.isalpha():
         words = [plain]
-        if not _TWICE.search(plain) and plain == token.strip(_MARKS):
+        if plain == token.strip(_MARKS) and (not _TWICE.search(plain) or counts and not counts(plain)):
             return words
     else:
         words = _WORDS.findall(plain)
     for core in _cores(_LONG_RUN.sub(lambda m: m[2] or m[1] * 3, token)):
-        if suspicious(core):
+        if suspicious(core) and (not counts or _STANDS.search(core) or counts(core)):
             words.append(decode(core, costs))
             if _TWICE_MARK.search(core):
                 words.append(decode(core, costs, pairs=True))
@@ -536,7 +558,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
 # -- scoring -------------------------------------------------------------------------------
 
 def _score_texts(texts: pa.Array, model: Model, cache: dict[str, float]) -> list[float]:
-    weights, costs = model.weights.get, model.costs
+    weights, costs, counts = model.weights.get, model.costs, may_count(model.weights)
 
     def of(words: list[str]) -> float:
         return max((weights(f, 0.0) for w in words for f in features(w)), default=0.0)
@@ -550,7 +572,7 @@ def _score_texts(texts: pa.Array, model: Model, cache: dict[str, float]) -> list
         for token in set(low.split()):
             s = cache.get(token)
             if s is None:
-                s = cache[token] = of(read_token(token, costs))
+                s = cache[token] = of(read_token(token, costs, counts))
             if s > best:
                 best = s
         if spaced := spaced_words(low, costs):

@@ -120,6 +120,22 @@ def test_decoding_is_exact():
     assert toxicity._on_states(steps, costs) == toxicity._on_arrays(steps, costs)
 
 
+def test_readings_left_out_have_no_weight(tox_costs):
+    weights = {"idiot": 0.9, "stupid": 0.8, "ass": 0.7, "^dumba": 0.9, "^mooro": 0.8}
+    rng, counts = random.Random(8), toxicity.may_count(weights)
+
+    def score(words):
+        return max((weights.get(f, 0.0) for w in words for f in toxicity.features(w)), default=0.0)
+
+    found = 0
+    for _ in range(4000):
+        token = "".join(c * rng.choice((1, 1, 2, 4)) + rng.choice(("", "", "", "-", ".", "!")) for c in rng.choice(("idiot", "stupid", "as", "dumbas", "moron", "1d10t", "thing")))
+        full = score(toxicity.read_token(token, tox_costs))
+        assert score(toxicity.read_token(token, tox_costs, counts)) == full, token
+        found += full > 0
+    assert found > 500
+
+
 def test_only_near_copies_count_once(spark):
     rng = random.Random(2)
     passage = [f"p{i}" for i in range(40)]
