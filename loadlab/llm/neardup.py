@@ -5,12 +5,13 @@ representative; only representatives go on.  A signature has ``COORDS`` min-hash
 coordinates, the first ``POSTED`` of which are posted: (coordinate, value) -> documents.
 
 * Prefix merging.  Documents at the threshold agree in at least ``MIN_LIVE`` of the posted
-  coordinates (but for a chance of some 1e-6), so a document with fewer postings that anyone
+  coordinates (but for a chance of 1.5e-6), so a document with fewer postings that anyone
   shares is done, and of ``L`` shared postings the ``L - MIN_LIVE + 1`` rarest must contain a common one.
   Only these lists are merged.
 * Skip merging.  The longer lists and the coordinates that are not posted are never
   merged; a pair found in a list is looked up in both signatures, its collisions
-  are counted there, and it stays if at least ``MATCH`` of ``COORDS`` agree.  A pair is taken up only
+  are counted there, and it stays if at least ``MATCH`` of ``COORDS`` agree (a pair at the threshold
+  does not with a chance of 1.2e-6, with the prefix 2.7e-6).  A pair is taken up only
   in the first list that both prefixes share.
 * Every pair that stays is confirmed on the full shingle sets
   (100 * intersection >= 75 * union).
@@ -48,7 +49,7 @@ from loadlab.llm.common import cut, unused
 
 WORDS, PERCENT = 5, 75
 COORDS, POSTED = 128, 32
-MIN_LIVE, MATCH = 12, 76
+MIN_LIVE, MATCH = 12, 72
 CHUNK = 512
 BITMAP = 1 << 22
 WORD_CACHE = 200_000

@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import math
 import os
 import random
 
@@ -174,6 +175,14 @@ def test_near_copies_are_all_connected():
     assert ((group[:, None] == group[None]) == reach).all()
 
 
+def test_pairs_at_the_threshold_are_rarely_lost():
+    def below(least, n, p=neardup.PERCENT / 100):
+        return sum(math.comb(n, i) * p ** i * (1 - p) ** (n - i) for i in range(least))
+
+    lost = below(neardup.MIN_LIVE, neardup.POSTED), below(neardup.MATCH, neardup.COORDS)
+    assert sum(lost) < 2.8e-6
+
+
 def test_lengths(spark, docs, rows):
     encode = token_counts.encoding(token_counts.default_ranks()).encode_ordinary
     lengths = [len(encode(t or "")) for _, t, _ in rows]
