@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadlab.llm import bpe, chat, line_dedup, merkle, mixing, neardup, quality, sharding, simhash, token_counts, topk, toxicity
+from loadlab.llm import bpe, chat, line_dedup, merkle, mixing, neardup, quality, sharding, simhash, spelling, token_counts, topk, toxicity
 from loadlab.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,4 +35,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op10_bpe": (_over("documents", bpe.digests), None),
     "op11_merkle": (_over("documents", merkle.verified), merkle.MANIFEST_SQL),
     "op12_simhash": (_over("documents", simhash.edited_likeness), None),
+    "op13_spelling": (_over("documents", spelling.variants), spelling.VARIANTS_SQL),
 }
