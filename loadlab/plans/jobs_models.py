@@ -13,9 +13,10 @@ from loadlab.config import DEFAULT
 from loadlab.functions.cleaning import floor_predictions
 from loadlab.operators import explain as EX
 from loadlab.operators import models as MO
+from loadlab.operators import trees as TR
 from loadlab.operators.baselines import fit_rate_per_mile
 from loadlab.operators.metrics import metrics_by, regression_metrics, smearing_factor
-from loadlab.plans.common import oracle, rounded
+from loadlab.plans.common import oracle, rounded, split_frames
 from loadlab.plans.registry import register
 from loadlab.sources import tables
 
@@ -230,10 +231,75 @@ def u2_s8_model_comparison(spark, sf):
     return EV.comparison_table(both)
 
 
+def _gbt_log(spark, sf):
+    return MO.fit(SPECS["GBT (log target)"], tables.train(spark, sf), params=JOB_SIZES["GBT (log target)"])
+
+
 @register("m18_permutation_importance_gbt")
 def m18_permutation_importance_gbt(spark, sf):
-    """M18 for a tree model: GBT (log target) with the generic union-of-copies scoring."""
-    spec = MO.ModelSpec("GBT (log target)", "gbt", "log", params={"maxIter": 20, "maxDepth": 4, "seed": 42})
-    model = MO.fit(spec, tables.train(spark, sf))
-    perm = EX.permutation_importance(model, tables.holdout(spark, sf), DEFAULT, repeats=5)
+    """M18 for a tree model: GBT (log target), only the trees that split on a feature walked again."""
+    model = _gbt_log(spark, sf)
+    perm = TR.permutation_importance_trees(model, tables.holdout(spark, sf), DEFAULT, repeats=5)
     return rounded(EX.importance_table(EX.native_importance(model), perm))
+
+
+@register("m20_tree_attribution")
+def m20_tree_attribution(spark, sf):
+    """M20 for the boosted trees: every holdout row's attribution to every feature, long form."""
+    model = _gbt_log(spark, sf)
+    rows = TR.tree_attribution(model, tables.holdout(spark, sf), DEFAULT)
+    return rounded(TR.named_attributions(rows, model.feature_names, "load_id", model.constant_features))
+
+
+@register("m20_tree_attribution_sums")
+def m20_tree_attribution_sums(spark, sf):
+    """Base value, output of the boosted trees and sum of the attributions of every holdout row."""
+    rows = TR.tree_attribution(_gbt_log(spark, sf), tables.holdout(spark, sf), DEFAULT)
+    total = F.aggregate("attributions", F.lit(0.0), lambda s, a: s + a)
+    return rounded(rows.select("load_id", "base_value", "raw_output", total.alias("attribution_sum")))
+
+
+@register("a47_tree_mean_abs_attribution")
+def a47_tree_mean_abs_attribution(spark, sf):
+    """A47 of the boosted trees: mean absolute attribution per feature, ranked."""
+    model = _gbt_log(spark, sf)
+    rows = TR.tree_attribution(model, tables.holdout(spark, sf), DEFAULT)
+    return rounded(EX.mean_abs_attribution(TR.named_attributions(rows, model.feature_names, "load_id", model.constant_features)))
+
+
+# A tree with given splits, fitted and explained in both engines: distance, then distance again or weight, and market_index.
+PLANTED_NAMES = ["distance", "weight", "market_index"]
+PLANTED_SPLITS = ("distance", 900.0, ("distance", 400.0, None, ("weight", 25000.0, None, None)),
+                  ("market_index", 1.0, None, ("weight", 25000.0, None, None)))
+_OPEN = "'infinity'::DOUBLE"
+PLANTED_CTES = f"""c AS (SELECT load_id, date, posted_rate, distance, market_index,
+    CASE WHEN abs(weight) < 5000.0 THEN 5000.0 WHEN abs(weight) > 47500.0 THEN 47500.0 ELSE abs(weight) END AS weight FROM loads),
+d AS (SELECT * FROM c WHERE distance IS NOT NULL AND weight IS NOT NULL AND market_index IS NOT NULL),
+leaf AS (SELECT *, CASE WHEN distance <= 400 THEN 1 WHEN distance <= 900 AND weight <= 25000 THEN 2 WHEN distance <= 900 THEN 3
+    WHEN market_index <= 1 THEN 4 WHEN weight <= 25000 THEN 5 ELSE 6 END AS leaf FROM d WHERE date < DATE '2000-07-01'),
+n AS (SELECT count(*) AS a, count_if(leaf <= 3) AS l, count_if(leaf IN (2, 3)) AS lr, count_if(leaf >= 4) AS r, count_if(leaf >= 5) AS rr,
+    count_if(leaf = 1) AS n1, count_if(leaf = 2) AS n2, count_if(leaf = 3) AS n3, count_if(leaf = 4) AS n4, count_if(leaf = 5) AS n5, count_if(leaf = 6) AS n6 FROM leaf),
+v AS (SELECT leaf, avg(posted_rate) AS v FROM leaf GROUP BY leaf),
+path AS (SELECT u.* FROM n, LATERAL (VALUES
+  (1, 'distance', -{_OPEN}, 400.0, l / a * n1 / l), (2, 'distance', 400.0, 900.0, l / a * lr / l), (2, 'weight', -{_OPEN}, 25000.0, n2 / lr),
+  (3, 'distance', 400.0, 900.0, l / a * lr / l), (3, 'weight', 25000.0, {_OPEN}, n3 / lr),
+  (4, 'distance', 900.0, {_OPEN}, r / a), (4, 'market_index', -{_OPEN}, 1.0, n4 / r),
+  (5, 'distance', 900.0, {_OPEN}, r / a), (5, 'market_index', 1.0, {_OPEN}, rr / r), (5, 'weight', -{_OPEN}, 25000.0, n5 / rr),
+  (6, 'distance', 900.0, {_OPEN}, r / a), (6, 'market_index', 1.0, {_OPEN}, rr / r), (6, 'weight', 25000.0, {_OPEN}, n6 / rr)) u(leaf, feature, lo, hi, z)),
+x AS (SELECT load_id, unnest(['distance', 'weight', 'market_index']) AS feature, unnest([distance, weight, market_index]) AS val
+    FROM d WHERE date >= DATE '2000-07-01' AND date < DATE '2001-01-01'),
+o AS (SELECT x.load_id, p.leaf, p.feature, p.z, CASE WHEN x.val > p.lo AND x.val <= p.hi THEN 1.0 ELSE 0.0 END AS o FROM x JOIN path p USING (feature)),
+-- Sums over the subsets of the other features on the path (at most two of them), by size.
+e AS (SELECT i.load_id, i.leaf, i.feature, i.o, i.z, count(j.feature) AS others, coalesce(product(j.z), 1) AS e0, coalesce(product(j.o), 1) AS e2,
+    coalesce(max_by(j.o, j.feature) * min_by(j.z, j.feature) + max_by(j.z, j.feature) * min_by(j.o, j.feature), 0) AS e1
+  FROM o i LEFT JOIN o j ON j.load_id = i.load_id AND j.leaf = i.leaf AND j.feature <> i.feature GROUP BY ALL)"""
+
+
+@register("m20_planted_tree", oracle("""
+SELECT load_id, feature, round(sum(v * (o - z) * CASE others WHEN 0 THEN 1 WHEN 1 THEN (e0 + e2) / 2 ELSE e0 / 3 + e1 / 6 + e2 / 3 END), 6) AS attribution
+FROM e JOIN v USING (leaf) GROUP BY load_id, feature""", PLANTED_CTES))
+def m20_planted_tree(spark, sf):
+    """M20 on a tree that SQL can fit and explain too."""
+    train, holdout = (d.select("load_id", "posted_rate", *PLANTED_NAMES).na.drop(subset=PLANTED_NAMES) for d in split_frames(spark, sf))
+    tree = TR.tree_of_splits(train, PLANTED_SPLITS, PLANTED_NAMES, "posted_rate")
+    return rounded(TR.named_attributions(TR.attributed(holdout, [tree], PLANTED_NAMES, "load_id"), PLANTED_NAMES, "load_id"))
