@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from loadlab.functions.cleaning import clean_loads
 from loadlab.operators import encode as EN
+from loadlab.operators import vocabulary as VO
 from loadlab.plans.common import FEATURES_RAW_SQL, oracle, oracle_clean, rounded
 from loadlab.plans.registry import register
 from loadlab.sources import tables
@@ -49,12 +51,8 @@ def m1_m3_encoder_stats(spark, sf):
     "\nUNION ALL\n".join(f"SELECT DISTINCT '{c}' AS feature, {c} AS value, '{c}_' || {c} AS column_name FROM train WHERE {c} IS NOT NULL"
                           for c in CATS)))
 def m4_onehot_vocab(spark, sf):
-    train = tables.train(spark, sf)
-    from loadlab.functions.cleaning import clean_loads
-    t = clean_loads(train)
-    long = t.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in CATS])))
-    return (long.filter(F.col("value").isNotNull()).distinct()
-            .withColumn("column_name", F.concat_ws("_", "feature", "value")))
+    found = VO.fit_vocabulary(clean_loads(tables.train(spark, sf)), CATS).table
+    return found.select("feature", "value", F.concat_ws("_", "feature", "value").alias("column_name"))
 
 
 @register("m5_rare_categories", oracle_clean("\nUNION ALL\n".join(f"""
@@ -63,17 +61,34 @@ SELECT '{c}' AS feature, (SELECT count(*) FROM rare WHERE feature = '{c}') AS ra
     "rare AS (" + "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, {c} AS value FROM train WHERE {c} IS NOT NULL "
                                        f"GROUP BY {c} HAVING count(*) < (SELECT count(*) // 25 FROM train)" for c in CATS) + ")"))
 def m5_rare_categories(spark, sf):
-    """M5: values in under 1/25 of the training rows share one output column; holdout rows that fall in it."""
-    train, holdout = tables.train(spark, sf), tables.holdout(spark, sf)
-    model = EN.FeatureEncoder(minFrequency=train.count() // 25).fit(train)
-    rare, encoded = model.fitted["infrequent"], model.transform(holdout)
-    bucket = {c: F.sum(EN.onehot_name(c, "infrequent_sklearn")) if rare[c] else F.lit(0) for c in CATS}
-    one = encoded.agg(F.count(F.lit(1)).alias("rows"), *[b.cast("long").alias(c) for c, b in bucket.items()])
+    """M5: values in under 1/25 of the training rows share one slot; holdout rows that fall in it."""
+    train = clean_loads(tables.train(spark, sf))
+    found = VO.fit_vocabulary(train, CATS, train.count() // 25)
+    slots = VO.with_slots(clean_loads(tables.holdout(spark, sf)), found, CATS)
+    shared = lambda c: F.count_if((F.col(f"{c}_slot") == found.frequent[c]) & F.lit(found.rare[c] > 0))
+    one = slots.agg(F.count(F.lit(1)).alias("rows"), *[shared(c).alias(c) for c in CATS])
     return one.select("rows", F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.lit(len(rare[c])).cast("long").alias("rare_values"), F.col(c).alias("rare_rows"))
+        F.struct(F.lit(c).alias("feature"), F.lit(found.rare[c]).cast("long").alias("rare_values"), F.col(c).alias("rare_rows"))
         for c in CATS])))
 
 
+@register("m4_sparse_slots", oracle_clean("SELECT s.load_id, " + ", ".join(
+    f"coalesce({c}_v.slot, (SELECT count(*) FROM {c}_v)) AS {c}_slot" for c in CATS) + " FROM scoring s " + " ".join(
+    f"LEFT JOIN {c}_v ON {c}_v.value = s.{c}" for c in CATS), ",\n".join(
+    f"{c}_v AS (SELECT {c} AS value, row_number() OVER (ORDER BY {c}) - 1 AS slot FROM train WHERE {c} IS NOT NULL GROUP BY {c})" for c in CATS)))
+def m4_sparse_slots(spark, sf):
+    """M4: every scoring row's slot in each categorical's block of the sparse vector (the last slot: unknown)."""
+    slots, _ = _scoring_slots(spark, sf)
+    return slots.select("load_id", *[F.col(f"{c}_slot").cast("long") for c in CATS])
+
+
+@register("m4_sparse_vectors")
+def m4_sparse_vectors(spark, sf):
+    """M4/M6: sparse feature vectors of the holdout, as text."""
+    model = VO.SparseEncoder().fit(tables.train(spark, sf))
+    return model.transform(tables.holdout(spark, sf)).select("load_id", F.col("features").cast("string").alias("features"))
+
+
 def _processed_numeric_sql(src: str) -> str:
     cols = ["b.load_id",
             "round((coalesce(b.weight, med.weight) - scl.q_weight[2]) / CASE WHEN scl.q_weight[3] - scl.q_weight[1] = 0 "
@@ -98,11 +113,13 @@ SELECT h.load_id,
   cast((SELECT count(*) FROM (SELECT DISTINCT equipment FROM train) v WHERE v.equipment = h.equipment) AS DOUBLE) AS equipment_hot
 FROM scoring h"""))
 def m4_onehot_row_sums(spark, sf):
-    model = _fit(spark, sf)
-    out = model.transform(tables.scoring(spark, sf))
-    vocab = model.fitted["vocab"]
-    sums = {c: sum((F.col(EN.onehot_name(c, v)) for v in vocab[c]), F.lit(0.0)) for c in CATS}
-    return out.select("load_id", *[sums[c].alias(f"{c}_hot") for c in CATS])
+    slots, found = _scoring_slots(spark, sf)
+    return slots.select("load_id", *[(1.0 - VO.is_unknown(found, c)).alias(f"{c}_hot") for c in CATS])
+
+
+def _scoring_slots(spark, sf):
+    found = VO.fit_vocabulary(clean_loads(tables.train(spark, sf)), CATS)
+    return VO.with_slots(clean_loads(tables.scoring(spark, sf)), found, CATS), found
 
 
 @register("j5_unknown_flags_scoring", oracle_clean("""
@@ -112,15 +129,13 @@ SELECT s.load_id,
   CASE WHEN s.equipment IN (SELECT equipment FROM train WHERE equipment IS NOT NULL) THEN 0.0 ELSE 1.0 END AS equipment_is_unknown
 FROM scoring s"""))
 def j5_unknown_flags_scoring(spark, sf):
-    model = _fit(spark, sf)
-    out = model.transform(tables.scoring(spark, sf))
-    return out.select("load_id", *[f"{c}_is_unknown" for c in CATS])
+    slots, found = _scoring_slots(spark, sf)
+    return slots.select("load_id", *[VO.is_unknown(found, c).alias(f"{c}_is_unknown") for c in CATS])
 
 
 @register("j6_unseen_rows", oracle_clean("""
 SELECT load_id, delivery FROM scoring WHERE delivery NOT IN (SELECT delivery FROM train WHERE delivery IS NOT NULL)"""))
 def j6_unseen_rows(spark, sf):
-    from loadlab.functions.cleaning import clean_loads
     return clean_loads(EN.unseen_rows(tables.train(spark, sf), tables.scoring(spark, sf), "delivery")).select("load_id", "delivery")
 
 

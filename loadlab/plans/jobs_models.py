@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from loadlab.config import DEFAULT
 from loadlab.functions.cleaning import floor_predictions
 from loadlab.operators import explain as EX
+from loadlab.operators import gram as GR
 from loadlab.operators import models as MO
 from loadlab.operators import trees as TR
 from loadlab.operators.baselines import fit_rate_per_mile
@@ -193,20 +194,12 @@ def t7_top_continuous_features(spark, sf):
 
 @register("m15_model_cv_folds")
 def m15_model_cv_folds(spark, sf):
-    """M15 for an ML spec: holdout + expanding folds, fitting a fresh pipeline per fold."""
-    from loadlab.operators.splits import fold_bounds, with_position
+    """M15 for an ML spec: holdout + expanding folds, all windows fitted from one pass of sums."""
     spec = SPECS["Ridge (alpha=1.0, log target)"]
-    dev = with_position(tables.development(spark, sf))
-    n = dev.count()
-    parts = [MO.fit_predict(spec, tables.train(spark, sf), tables.holdout(spark, sf)).withColumn("part", F.lit("holdout"))]
-    for fold, start, size in fold_bounds(n, DEFAULT.n_cv_splits):
-        tr = dev.filter(F.col("position") < start)
-        te = dev.filter((F.col("position") >= start) & (F.col("position") < start + size))
-        parts.append(MO.fit_predict(spec, tr, te).withColumn("part", F.lit(f"fold {fold}")))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p, allowMissingColumns=True)
-    return rounded(metrics_by(allp, ["part"]).withColumn("model", F.lit(spec.name)))
+    rows, parts = GR.expanding_parts(tables.development(spark, sf))
+    base, fits = GR.fit_windows(rows, parts, spec.params["alpha"], log=True)
+    scored = GR.predict_windows(rows, base, fits)
+    return rounded(metrics_by(scored, ["part"]).withColumn("model", F.lit(spec.name)))
 
 
 @register("t8_seeded_sample")
