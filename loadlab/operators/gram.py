@@ -27,7 +27,8 @@ from loadlab.config import DEFAULT, JobConfig
 from loadlab.functions.cleaning import clean_loads, exp_target, floor_predictions, log_target
 from loadlab.functions.features import build_features
 from loadlab.operators.encode import classify_built, onehot_name
-from loadlab.operators.quantiles import column_quantiles
+from loadlab.operators.lookup import written
+from loadlab.operators.prefix_quantiles import PrefixQuantiles
 from loadlab.operators.splits import fold_bounds, with_position
 
 SEGMENT, TARGET = "__segment", "__y"
@@ -76,7 +77,7 @@ def prepared_rows(rows: DataFrame, keep: tuple[str, ...], cfg: JobConfig = DEFAU
 
 
 def expanding_parts(dev: DataFrame, cfg: JobConfig = DEFAULT) -> tuple[DataFrame, list[Part]]:
-    """Development rows with their segment, and the windows: the holdout (rows from its start date on) and each
+    """Development rows, written with their segment, and the windows: the holdout (rows from its start date on) and each
     expanding fold (M15)."""
     keep = (cfg.id_column, cfg.target, cfg.date_column)
     pos = with_position(prepared_rows(dev, keep, cfg), cfg)
@@ -86,13 +87,15 @@ def expanding_parts(dev: DataFrame, cfg: JobConfig = DEFAULT) -> tuple[DataFrame
     cuts = sorted({c for _, *bounds in windows for c in bounds} - {0})
     at = {0: 0} | {c: i + 1 for i, c in enumerate(cuts)}
     segment = sum((F.col("position") >= c).cast("int") for c in cuts)
-    return pos.withColumn(SEGMENT, segment), [Part(name, *(at[b] for b in bounds)) for name, *bounds in windows]
+    rows = written(pos.withColumn(SEGMENT, segment), "windows")
+    return rows, [Part(name, *(at[b] for b in bounds)) for name, *bounds in windows]
 
 
 def holdout_part(dev: DataFrame, cfg: JobConfig = DEFAULT) -> tuple[DataFrame, list[Part]]:
-    """Development rows with segment 0 (train) or 1 (holdout), and that one window."""
+    """Development rows, written with segment 0 (train) or 1 (holdout), and that one window."""
     rows = prepared_rows(dev, (cfg.id_column, cfg.target, cfg.date_column), cfg)
-    return rows.withColumn(SEGMENT, (F.col(cfg.date_column) >= F.lit(cfg.holdout_start)).cast("int")), [Part("holdout", 1, 1, 2)]
+    segment = (F.col(cfg.date_column) >= F.lit(cfg.holdout_start)).cast("int")
+    return written(rows.withColumn(SEGMENT, segment), "windows"), [Part("holdout", 1, 1, 2)]
 
 
 def _categories(rows: DataFrame, parts: list[Part], cfg: JobConfig) -> tuple[dict[str, list[str]], dict[tuple[str, str], list[int]]]:
@@ -105,42 +108,51 @@ def _categories(rows: DataFrame, parts: list[Part], cfg: JobConfig) -> tuple[dic
     return {c: sorted(v for k, v in counts if k == c) for c in cfg.categorical}, counts
 
 
-def _gram(rows: DataFrame, base: Base, cfg: JobConfig) -> dict[int, np.ndarray]:
-    """The Gram matrix of the base vector in each segment."""
-    y = F.col(cfg.target).cast("double")
+def _base_columns(rows: DataFrame, base: Base, carried: list[Column]) -> DataFrame:
+    """``carried`` and the columns that ``_base_matrix`` reads: shifted numerics, flags, positions of the category values."""
     code = [F.coalesce(F.array_position(F.lit(vs), F.col(c)), F.lit(0)).cast("int").alias(f"__v{i}") if vs else F.lit(0).alias(f"__v{i}")
             for i, (c, vs) in enumerate(base.values.items())]
     missing = [F.col(c).isNull().cast("double").alias(f"__n{i}") for i, c in enumerate(base.values)]
-    wanted = rows.select(SEGMENT, *[(F.col(c).cast("double") - base.shift[c]).alias(c) for c in base.numeric], *[F.col(c).cast("double").alias(c) for c in base.binary],
-                         *code, *missing, (log_target(y) if base.log else y).alias(TARGET))
+    return rows.select(*carried, *[(F.col(c).cast("double") - base.shift[c]).alias(c) for c in base.numeric],
+                       *[F.col(c).cast("double").alias(c) for c in base.binary], *code, *missing)
+
+
+def _base_matrix(b: pa.RecordBatch, base: Base, label: np.ndarray | float) -> np.ndarray:
+    """Base vectors of a batch, one in a row."""
+    col = lambda name: b.column(name).to_numpy(zero_copy_only=False).astype(float)
+    out = np.zeros((b.num_rows, len(base.names)))
+    out[:, 0], out[:, -1] = 1.0, label
+    k, d = 1, len(base.numeric)
+    for j, name in enumerate(base.numeric):
+        x = col(name)
+        gone = np.isnan(x)
+        out[:, k + j], out[:, k + d + j] = np.where(gone, 0.0, x), gone
+    k += 2 * d
+    for name in base.binary:
+        out[:, k] = col(name)
+        k += 1
+    for i, vs in enumerate(base.values.values()):
+        at = np.asarray(b.column(f"__v{i}"))
+        hit = np.nonzero(at)[0]
+        out[hit, k + at[hit] - 1] = 1.0
+        k += len(vs)
+    for i in range(len(base.values)):
+        out[:, k] = col(f"__n{i}")
+        k += 1
+    return out
+
+
+def _gram(rows: DataFrame, base: Base, cfg: JobConfig) -> dict[int, np.ndarray]:
+    """The Gram matrix of the base vector in each segment."""
+    y = F.col(cfg.target).cast("double")
+    wanted = _base_columns(rows, base, [F.col(SEGMENT), (log_target(y) if base.log else y).alias(TARGET)])
     p = len(base.names)
     upper = np.triu_indices(p)
-    sizes = [len(v) for v in base.values.values()]
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for b in batches:
-            col = lambda name, b=b: b.column(name).to_numpy(zero_copy_only=False).astype(float)
-            out = np.zeros((b.num_rows, p))
-            out[:, 0] = 1.0
-            k, d = 1, len(base.numeric)
-            for j, name in enumerate(base.numeric):
-                x = col(name)
-                gone = np.isnan(x)
-                out[:, k + j], out[:, k + d + j] = np.where(gone, 0.0, x), gone
-            k += 2 * d
-            for name in base.binary:
-                out[:, k] = col(name)
-                k += 1
-            for i, size in enumerate(sizes):
-                at = np.asarray(b.column(f"__v{i}"))
-                hit = np.nonzero(at)[0]
-                out[hit, k + at[hit] - 1] = 1.0
-                k += size
-            for i in range(len(sizes)):
-                out[:, k] = col(f"__n{i}")
-                k += 1
-            out[:, k] = col(TARGET)
+            out = _base_matrix(b, base, b.column(TARGET).to_numpy(zero_copy_only=False))
             segment = np.asarray(b.column(SEGMENT))
             for s in np.unique(segment):
                 own = out[segment == s]
@@ -167,12 +179,12 @@ def fit_windows(rows: DataFrame, parts: list[Part], alpha: float = 1.0, log: boo
     built = [c for c in rows.columns if c not in (cfg.id_column, cfg.target, cfg.date_column, SEGMENT, "position")]
     weight, other, binary = classify_built(built, cfg)
     numeric = weight + other
-    within = lambda c, u: F.when(F.col(SEGMENT) < u, F.col(c).cast("double"))
     until = sorted({p.until for p in parts})
-    found = column_quantiles(rows.select(*[within(c, u).alias(f"{c}@{u}") for c in numeric for u in until]), [f"{c}@{u}" for c in numeric for u in until], [0.5])
-    median = {(c, u): (found[f"{c}@{u}"] or [None])[0] or 0.0 for c in numeric for u in until}
-    filled = rows.select(*[F.when(F.col(SEGMENT) < u, F.coalesce(F.col(c).cast("double"), F.lit(median[c, u]))).alias(f"{c}@{u}") for c in weight for u in until])
-    quarters = column_quantiles(filled, filled.columns, [0.25, 0.5, 0.75])
+    found = PrefixQuantiles(rows, numeric, SEGMENT)
+    median = {k: (q or [None])[0] or 0.0 for k, q in found.quantiles({(c, u): [0.5] for c in numeric for u in until}).items()}
+    # The weight's quartiles are those of the imputed values: the median stands for every missing one.
+    filled = {(c, u): (median[c, u], found.n_rows(u) - found.n_values(c, u)) for c in weight for u in until}
+    quarters = found.quantiles({k: [0.25, 0.5, 0.75] for k in filled}, filled)
     values, counts = _categories(rows, parts, cfg)
     base = Base(numeric, binary, values, {c: median[c, until[-1]] for c in numeric}, log)
     grams = _gram(rows, base, cfg)
@@ -190,7 +202,7 @@ def _window(part: Part, base: Base, g: np.ndarray, median: dict, quarters: dict,
         # Imputed value less the shift, as a function of the base vector.
         x = one[at[c]] + (median[c, u] - base.shift[c]) * one[at[f"{c}?"]]
         if c in weight:
-            q = quarters[f"{c}@{u}"]
+            q = quarters[c, u]
             centre, scale = q[1] - base.shift[c], (q[2] - q[0]) or 1.0
         else:
             centre = x @ g[0] / n
@@ -224,26 +236,25 @@ def _window(part: Part, base: Base, g: np.ndarray, median: dict, quarters: dict,
     return WindowFit(part, int(round(n)), dict(zip([c for c, _ in encoded], beta.tolist(), strict=True)), float(intercept), weights)
 
 
-def _predicted(base: Base, fit: WindowFit, cfg: JobConfig) -> Column:
-    """The window's prediction (label scale) as an expression over built features."""
-    w = dict(zip(base.names, fit.base_weights.tolist(), strict=True))
-    out = F.lit(w["1"])
-    for c in base.numeric:
-        out = out + F.coalesce((F.col(c).cast("double") - base.shift[c]) * F.lit(w[c]), F.lit(w[f"{c}?"]))
-    for c in base.binary:
-        out = out + F.col(c).cast("double") * F.lit(w[c])
-    for c, vs in base.values.items():
-        known = F.get(F.lit([w[onehot_name(c, v)] for v in vs]), (F.array_position(F.lit(vs), F.col(c)) - 1).cast("int")) if vs else F.lit(None).cast("double")
-        out = out + F.when(F.col(c).isNull(), F.lit(w[f"{c}?"])).otherwise(F.coalesce(known, F.lit(0.0)))
-    return out
-
-
 def predict_windows(rows: DataFrame, base: Base, fits: list[WindowFit], cfg: JobConfig = DEFAULT) -> DataFrame:
     """Each window's test rows: id, target, ``part``, ``predicted`` (in dollars, floored); one scan."""
-    each = []
-    for f in fits:
-        tested = (F.col(SEGMENT) >= f.part.start) & (F.col(SEGMENT) < f.part.stop)
-        raw = _predicted(base, f, cfg)
-        dollars = floor_predictions(exp_target(raw) if base.log else raw, cfg.prediction_floor)
-        each.append(F.when(tested, F.struct(F.lit(f.part.name).alias("part"), dollars.alias("predicted"))))
-    return rows.select(cfg.id_column, cfg.target, F.inline(F.array_compact(F.array(*each))))
+    weights = np.column_stack([f.base_weights for f in fits])
+    bounds = [(f.part.start, f.part.stop) for f in fits]
+    id_type = rows.schema[cfg.id_column].dataType.simpleString()
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw = _base_matrix(b, base, 0.0) @ weights
+            segment = np.asarray(b.column(SEGMENT))
+            for k, (start, stop) in enumerate(bounds):
+                at = np.nonzero((segment >= start) & (segment < stop))[0]
+                if len(at):
+                    own = b.select([cfg.id_column, cfg.target]).take(pa.array(at))
+                    yield pa.RecordBatch.from_arrays([*own.columns, pa.array(np.full(len(at), k), pa.int32()), pa.array(raw[at, k])],
+                                                     [cfg.id_column, cfg.target, "k", "raw"])
+
+    wanted = _base_columns(rows, base, [F.col(cfg.id_column), F.col(cfg.target).cast("double").alias(cfg.target), F.col(SEGMENT)])
+    scored = wanted.mapInArrow(predict, f"{cfg.id_column} {id_type}, {cfg.target} double, k int, raw double")
+    dollars = exp_target("raw") if base.log else F.col("raw")
+    return scored.select(cfg.id_column, cfg.target, F.get(F.lit([f.part.name for f in fits]), F.col("k")).alias("part"),
+                         floor_predictions(dollars, cfg.prediction_floor).alias("predicted"))

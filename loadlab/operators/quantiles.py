@@ -48,7 +48,7 @@ def _bracket(v: Column, probs: list[float]) -> list[Column]:
     return [F.count(v).alias("__n"), F.percentile_approx(v, [*lows, *highs], ACCURACY).alias("__ends")]
 
 
-def _interpolated(counts: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+def interpolated_counts(counts: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
     """``counts``: per (keys, __i) rows ``__x`` (NULL: all values below the bracket), ``__c`` of them,
     ``__n`` values in the group.  Returns ``keys, __i, __q``."""
     prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i") + 1)
@@ -89,7 +89,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], keys
     rows = own.select(*by, "__n", F.explode(F.array_compact(F.array(*entries))).alias("__e"))
     counts = rows.groupBy(*by, F.col("__e.__i").alias("__i"), F.col("__e.__x").alias("__x")).agg(
         F.count(F.lit(1)).alias("__c"), F.max("__n").alias("__n"))
-    found = _interpolated(counts, by, probs)
+    found = interpolated_counts(counts, by, probs)
     wide = found.groupBy(*by).agg(*[F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(n) for i, n in enumerate(names)])
     return wide.select(*keys, *names)
 
@@ -155,6 +155,6 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict
     counts = inside.join(F.broadcast(known), ["__f", "__i"]).select("__f", "__i", "__x", "__c", "__n").unionByName(
         known.filter("__b > 0").select("__f", "__i", F.lit(None).cast("double").alias("__x"), F.col("__b").alias("__c"), "__n"))
     out: dict[str, list[float | None]] = {c: [None] * len(probs) if row[f"c{k}_0"] else None for k, c in enumerate(cols)}
-    for r in _interpolated(counts, ["__f"], probs).collect():  # columns x probabilities rows
+    for r in interpolated_counts(counts, ["__f"], probs).collect():  # columns x probabilities rows
         out[cols[r["__f"]]][r["__i"]] = r["__q"]
     return out

@@ -47,3 +47,28 @@ def test_exact_quantiles_match_numpy_with_hot_group_and_ties(spark, accuracy, re
 def test_single_value_group(spark, reuse):
     df = spark.createDataFrame([("a", 3.0)], "g string, v double")
     assert exact_quantiles(df, "v", [0.25, 0.5], ["g"]).first()["q1"] == 3.0
+
+
+def test_prefix_quantiles_equal_plain_ones(spark, monkeypatch):
+    import numpy as np
+
+    from loadlab.operators import prefix_quantiles as PQ
+
+    monkeypatch.setattr(PQ, "BUCKETS", 16)
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(3000):
+        x = None if k % 7 == 0 else round(float(rng.normal()), 2)
+        y = float("nan") if k % 5 == 0 else float(rng.integers(0, 4))  # ties
+        rows.append((int(k * 6 // 3000), x, y, None if k < 1500 else float(k)))
+    df = spark.createDataFrame(rows, "s int, x double, y double, z double")
+    pq = PQ.PrefixQuantiles(df, ["x", "y", "z"], "s")
+    probs = [0.25, 0.5, 0.75]
+    extra = {("x", u): (0.1, 40 * u) for u in (1, 4)}
+    got = pq.quantiles({(c, u): probs for c in "xyz" for u in (1, 2, 4, 6)}, extra)
+    for j, c in enumerate("xyz"):
+        for u in (1, 2, 4, 6):
+            v = [r[j + 1] for r in rows if r[0] < u and r[j + 1] is not None and r[j + 1] == r[j + 1]]
+            v += [extra[c, u][0]] * extra[c, u][1] if (c, u) in extra else []
+            assert (got[c, u] is None and not v) or np.allclose(got[c, u], np.quantile(v, probs), rtol=0, atol=1e-12), (c, u)
+    assert pq.n_rows(2) == 1000 and pq.n_values("z", 6) == 1500
