@@ -34,6 +34,7 @@ from loadlab.config import (
 from loadlab.functions.features import distance_band, month_label, weekday_name, weight_band
 from loadlab.operators.lookup import written
 from loadlab.operators.quantiles import quantile_values, with_medians
+from loadlab.operators.rolling import rolling_median_rows
 from loadlab.operators.stats import quantile_cut, quantile_edges
 
 SEGMENTS = ("equipment", "distance_band", "weight_band", "month", "day_of_week", "prediction_quintile",
@@ -201,39 +202,16 @@ def average_rank(df: DataFrame, value: str, out: str) -> DataFrame:
 
 
 def rolling_median(errors: DataFrame, driver: str, value: str = "residual", id_col: str = "load_id",
-                   block: int = 100_000) -> DataFrame:
+                   block: int | None = None, bucket: int | None = None) -> DataFrame:
     """Centred rolling median of ``value`` over rows sorted by ``driver``; window
-    max(50, n // 40) rows, NULL when fewer than 10 rows are in the frame.
-
-    Positions come from ``with_position``-style numbering; rows are grouped into
-    blocks of ``block`` positions and each block also receives the halo rows of
-    its neighbours, so every window is evaluated inside one block partition.
-    Cost: a sliding exact median re-reads its w-row frame per row (O(n w)); the
-    frame is 2.5% of the rows by definition, so this diagnostic suits the
-    holdout error frame, not a full-size table.
-    """
+    max(50, n // 40) rows, NULL when fewer than 10 rows are in the frame (see ``rolling``)."""
     from loadlab.operators.splits import with_position
     from loadlab.config import JobConfig
 
-    n = errors.count()
-    w = max(ROLLING_MIN_WINDOW, n // ROLLING_DIVISOR)
-    before, after = w // 2, (w - 1) // 2
-    # A block must be longer than the halo it lends to its neighbours.
-    block = max(block, 2 * w)
-    cfg = JobConfig(date_column=driver, id_column=id_col)
-    pos = with_position(errors.select(id_col, driver, value), cfg)
-    blk = F.floor(F.col("position") / block)
-    own = pos.withColumn("block", blk).withColumn("own", F.lit(True))
-    # Halo rows: the last `before` rows of the previous block and the first `after` of the next.
-    prev_halo = pos.filter(F.pmod("position", F.lit(block)) >= block - before).withColumn("block", blk + 1)
-    next_halo = pos.filter(F.pmod("position", F.lit(block)) < after).withColumn("block", blk - 1)
-    allrows = own.unionByName(prev_halo.withColumn("own", F.lit(False))).unionByName(
-        next_halo.withColumn("own", F.lit(False)))
-    win = Window.partitionBy("block").orderBy("position").rowsBetween(-before, after)
-    out = (allrows.withColumn("__m", F.percentile(value, 0.5).over(win)).withColumn("__c", F.count(value).over(win))
-           .filter("own"))
-    return out.select(id_col, driver, value, "position",
-                      F.when(F.col("__c") >= ROLLING_MIN_PERIODS, F.col("__m")).alias("rolling_median"))
+    pos = written(with_position(errors.select(id_col, driver, value), JobConfig(date_column=driver, id_column=id_col)), "positions")
+    w = max(ROLLING_MIN_WINDOW, pos.count() // ROLLING_DIVISOR)
+    medians = rolling_median_rows(pos, value, w // 2, (w - 1) // 2, ROLLING_MIN_PERIODS, block, bucket)
+    return pos.join(medians, "position").select(id_col, driver, value, "position", "rolling_median")
 
 
 def _norm_ppf(p: Column) -> Column:

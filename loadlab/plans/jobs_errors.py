@@ -148,11 +148,11 @@ def t5_representative_rows(spark, sf):
 SELECT load_id, round(distance, 6) AS distance, round(residual, 6) AS residual, position,
   round(CASE WHEN c >= 10 THEN m END, 6) AS rolling_median FROM (
   SELECT load_id, distance, residual, row_number() OVER (ORDER BY distance, load_id) - 1 AS position,
-    quantile_cont(residual, 0.5) OVER w AS m, count(residual) OVER w AS c
-  FROM errs WINDOW w AS (ORDER BY distance, load_id ROWS BETWEEN 58 PRECEDING AND 58 FOLLOWING))""", ERR_CTES))
+    quantile_cont(residual, 0.5) OVER f AS m, count(residual) OVER f AS c
+  FROM (SELECT *, greatest(50, (SELECT count(*) FROM errs) // 40) AS w FROM errs)
+  WINDOW f AS (ORDER BY distance, load_id ROWS BETWEEN w // 2 PRECEDING AND (w - 1) // 2 FOLLOWING))""", ERR_CTES))
 def w4_rolling_median_distance(spark, sf):
-    # Holdout at sf0.01 has 4,709 rows: window max(50, n // 40) = 117 -> 58 before, 58 after.
-    return rounded(ER.rolling_median(_errors(spark, sf), "distance", block=1000))
+    return rounded(ER.rolling_median(_errors(spark, sf), "distance"))
 
 
 @register("w6_qq_points")
