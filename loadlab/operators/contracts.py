@@ -109,8 +109,37 @@ def scenario_report(frame: DataFrame) -> DataFrame:
     return stats.withColumn("__k", F.lit(0)).join(cal.withColumn("__k", F.lit(0)), "__k").drop("__k")
 
 
+def _fingerprint(df: DataFrame, side: int) -> DataFrame:
+    """Two hashes of each row, in which a null is told from every value and from a null elsewhere."""
+    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in df.columns])
+    every = [nulls, *[F.col(f"`{c}`") for c in df.columns]]
+    exact = lambda h: h.cast("decimal(20,0)")
+    return df.select(F.lit(side).alias("side"), exact(F.xxhash64(*every)).alias("h1"), exact(F.xxhash64(F.lit("second"), *every)).alias("h2"))
+
+
+def compare_rows(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Whether two frames hold the same multiset of rows, as one row ``rows_a, rows_b, same``.
+
+    Compared by an order-free fingerprint: the number of rows and the sums of two 64-bit row hashes, combined on the
+    map side, so no row is shuffled.  Columns must agree in name, order and type.
+    """
+    if a.dtypes != b.dtypes:
+        raise ValueError(f"columns differ: {a.dtypes} and {b.dtypes}")
+    of = lambda agg, col, side: agg(F.when(F.col("side") == side, F.col(col)))
+    one = _fingerprint(a, 0).unionByName(_fingerprint(b, 1)).agg(*[
+        of(agg, col, side).alias(f"{name}{side}") for side in (0, 1) for name, agg, col in (("n", F.count, "side"), ("x", F.sum, "h1"), ("y", F.sum, "h2"))])
+    same = F.col("n0").eqNullSafe(F.col("n1")) & F.col("x0").eqNullSafe(F.col("x1")) & F.col("y0").eqNullSafe(F.col("y1"))
+    return one.select(F.col("n0").alias("rows_a"), F.col("n1").alias("rows_b"), same.alias("same"))
+
+
+def row_differences(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows that one frame holds more often than the other, with ``side`` (a or b); for frames that ``compare_rows`` tells apart."""
+    return a.exceptAll(b).select(F.lit("a").alias("side"), "*").unionByName(b.exceptAll(a).select(F.lit("b").alias("side"), "*"))
+
+
 def assert_same_rows(a: DataFrame, b: DataFrame) -> None:
-    """Two frames hold the same multiset of rows (``exceptAll`` both ways)."""
-    n = a.exceptAll(b).limit(1).count() + b.exceptAll(a).limit(1).count()
-    if n:
-        raise ValueError("frames differ: refit is not deterministic")
+    """Raises unless two frames hold the same multiset of rows, showing a few that differ."""
+    found = compare_rows(a, b).first()
+    if not found["same"]:
+        shown = [tuple(r) for r in row_differences(a, b).limit(4).collect()]
+        raise ValueError(f"frames differ ({found['rows_a']} and {found['rows_b']} rows): refit is not deterministic; e.g. {shown}")

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loadlab.operators import contracts as CT
+from loadlab.operators import guards as GU
 from loadlab.operators import quality as Q
+from loadlab.operators.lookup import written
 from loadlab.plans.common import oracle, rounded
 from loadlab.plans.registry import register
 from loadlab.sources import tables
@@ -238,3 +241,60 @@ SELECT '{c}' AS feature, count({c}) AS count, round(avg({c}), 6) AS mean, round(
   round(quantile_cont({c}, 0.75), 6) AS q75, round(max({c}), 6) AS max FROM events""" for c in ["event_id", "user_id", "value"]])))
 def a1_numeric_profile_events(spark, sf):
     return rounded(Q.numeric_profile(tables.read_table(spark, sf, "events"), ["event_id", "user_id", "value"]))
+
+
+# Guards that ride on the job that writes their frame, on planted faults.
+GUARD_CTES = DIRTY_CTE + """,
+g AS (SELECT *, try_cast(distance AS DOUBLE) AS d FROM loads_dirty)"""
+
+
+@register("g_observed_faults", oracle("""
+SELECT 'date: no date' AS guard, count(*) FILTER (WHERE date IS NULL OR try_cast(date AS DATE) IS NULL) AS faults FROM g
+UNION ALL SELECT 'distance: no finite number', count(*) FILTER (WHERE d IS NULL OR isinf(d) OR isnan(d)) FROM g
+UNION ALL SELECT 'pickup_lat: null', count(*) FILTER (WHERE pickup_lat IS NULL OR isnan(pickup_lat)) FROM g
+UNION ALL SELECT 'load_id: not found', count(*) FILTER (WHERE load_id IS NULL) FROM g
+UNION ALL SELECT 'weight: null', count(*) FILTER (WHERE weight IS NULL) FROM loads
+UNION ALL SELECT 'market_index: null', count(*) FILTER (WHERE market_index IS NULL) FROM loads
+UNION ALL SELECT 'train: empty', CASE WHEN count(*) FILTER (WHERE date < DATE '2000-07-01') = 0 THEN 1 ELSE 0 END FROM loads
+UNION ALL SELECT 'holdout: empty', CASE WHEN count(*) FILTER (WHERE date >= DATE '2000-07-01') = 0 THEN 1 ELSE 0 END FROM loads""", GUARD_CTES))
+def g_observed_faults(spark, sf):
+    """Faults counted by the two jobs that write the tables, not by jobs of their own."""
+    guards = GU.Guards()
+    dirty = guards.watch(tables.loads_dirty(spark, sf), GU.unreadable_dates("date"), GU.not_numbers("distance"), GU.nulls(["pickup_lat"]),
+                         GU.unmatched(["load_id"]))
+    clean = guards.watch(tables.loads(spark, sf), GU.nulls(["weight", "market_index"]), GU.split_sides())
+    written(dirty, "guarded")
+    written(clean, "guarded")
+    return spark.createDataFrame(list(guards.counts().items()), "guard string, faults long")
+
+
+@register("g8_planted_change", oracle("""
+SELECT name, (SELECT count(*) FROM h) AS rows_a, rows_b, only_a + only_b = 0 AS same, only_a, only_b FROM (
+  SELECT 'equal' AS name, (SELECT count(*) FROM h) AS rows_b, 0 AS only_a, 0 AS only_b
+  UNION ALL SELECT 'swapped nulls', (SELECT count(*) FROM s), (SELECT count(*) FROM (SELECT * FROM h EXCEPT ALL SELECT * FROM s)),
+    (SELECT count(*) FROM (SELECT * FROM s EXCEPT ALL SELECT * FROM h))
+  UNION ALL SELECT 'one row for another', (SELECT count(*) FROM t), (SELECT count(*) FROM (SELECT * FROM h EXCEPT ALL SELECT * FROM t)),
+    (SELECT count(*) FROM (SELECT * FROM t EXCEPT ALL SELECT * FROM h)))""", """
+h AS (SELECT load_id, weight, market_index FROM loads WHERE date >= DATE '2000-07-01' AND date < DATE '2001-01-01'),
+s AS (SELECT load_id, CASE WHEN weight IS NULL AND market_index IS NOT NULL THEN market_index ELSE weight END AS weight,
+  CASE WHEN weight IS NULL AND market_index IS NOT NULL THEN NULL ELSE market_index END AS market_index FROM h),
+f AS (SELECT min(load_id) AS lo, max(load_id) AS hi FROM h),
+t AS (SELECT h.* FROM h, f WHERE load_id <> lo UNION ALL SELECT h.* FROM h, f WHERE load_id = hi)"""))
+def g8_planted_change(spark, sf):
+    """G8 on equal frames in another order, on nulls moved to the next column, and on a row put in another's place."""
+    h = tables.holdout(spark, sf).select("load_id", "weight", "market_index")
+    moved = F.col("weight").isNull() & F.col("market_index").isNotNull()
+    swapped = h.select("load_id", F.when(moved, F.col("market_index")).otherwise(F.col("weight")).alias("weight"),
+                       F.when(~moved, F.col("market_index")).alias("market_index"))
+    lo, hi = h.agg(F.min("load_id"), F.max("load_id")).first()
+    replaced = h.filter(F.col("load_id") != lo).unionByName(h.filter(F.col("load_id") == hi))
+    out = None
+    for name, other in (("equal", h.repartition(5, "weight")), ("swapped nulls", swapped), ("one row for another", replaced)):
+        found = CT.compare_rows(h, other).withColumn("name", F.lit(name))
+        if found.first()["same"]:
+            sides = found.select("name", F.lit(0).cast("long").alias("only_a"), F.lit(0).cast("long").alias("only_b"))
+        else:
+            sides = CT.row_differences(h, other).agg(F.count_if(F.col("side") == "a").alias("only_a"), F.count_if(F.col("side") == "b").alias("only_b")).withColumn("name", F.lit(name))
+        one = found.join(sides, "name")
+        out = one if out is None else out.unionByName(one)
+    return out
