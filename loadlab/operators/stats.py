@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from loadlab.config import IQR_MIN_ROWS, IQR_MULTIPLIER, MARKET_QUINTILE_LABELS, SEGMENT_MIN_ROWS, WEEKDAYS
 from loadlab.functions.features import distance_band, month_label, per_mile, weekday_name
+from loadlab.operators.correlations import pair_correlations
 from loadlab.operators.quantiles import column_quantiles, quantile_values, with_medians
 
 
@@ -67,22 +68,14 @@ def iqr_outliers(df: DataFrame, cols: list[str], multiplier: float = IQR_MULTIPL
 # ---- A16, A17, A29 --------------------------------------------------------------
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlation, long form (a, b, corr), one aggregate."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[F.corr(F.col(a), F.col(b)).alias(f"c{k}") for k, (a, b) in enumerate(pairs)])
-    structs = []
-    for k, (a, b) in enumerate(pairs):
-        structs.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"c{k}").alias("corr")))
-        if a != b:
-            structs.append(F.struct(F.lit(b).alias("feature_a"), F.lit(a).alias("feature_b"), F.col(f"c{k}").alias("corr")))
-    return one.select(_stack(structs))
+    """Pairwise-complete Pearson correlation, long form (a, b, corr), one scan."""
+    return pair_correlations(df, cols, cols).select("feature_a", "feature_b", "corr")
 
 
 def target_correlations(df: DataFrame, cols: list[str], target: str = "posted_rate", top: int = 20) -> DataFrame:
     """corr(feature, target), NaN/NULL dropped, sorted desc, top 20."""
-    one = df.agg(*[F.corr(F.col(c), F.col(target)).alias(f"c{i}") for i, c in enumerate(cols)])
-    long = one.select(_stack([F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("corr")) for i, c in enumerate(cols)]))
-    return long.filter(F.col("corr").isNotNull() & ~F.isnan("corr")).orderBy(F.col("corr").desc(), "feature").limit(top)
+    long = pair_correlations(df, cols, [target]).select(F.col("feature_a").alias("feature"), "corr")
+    return long.filter(F.col("corr").isNotNull()).orderBy(F.col("corr").desc(), "feature").limit(top)
 
 
 def daily_market(df: DataFrame, date: str = "date") -> DataFrame:
