@@ -93,17 +93,10 @@ class JobConfig:
     scoring_start: dt.date = SCORING_START
     n_cv_splits: int = N_CV_SPLITS
     prediction_floor: float = PREDICTION_FLOOR
-    use_cyclical_day_of_year: bool = True
-    use_cyclical_day_of_week: bool = True
-    use_is_weekend: bool = True
-    use_days_since_reference: bool = False
     reference_date: dt.date = dt.date(2000, 1, 1)
-    use_haversine: bool = True
-    use_bearing: bool = True
-    use_lon_delta: bool = True
-    use_lat_delta: bool = True
-    use_log_distance: bool = True
-    use_weight_per_mile: bool = True
+    # Names in ``features.BLOCKS``, in output order.
+    feature_blocks: tuple[str, ...] = ("year angle", "week angle", "weekend", "great circle", "bearing", "steps", "log distance",
+                                       "weight per mile", "missing")
     unknown_category_indicator: bool = True
     min_frequency: int | None = None
     seed: int = 42

@@ -33,7 +33,7 @@ from loadlab.config import (
 )
 from loadlab.functions.features import distance_band, month_label, weekday_name, weight_band
 from loadlab.operators.lookup import written
-from loadlab.operators.quantiles import quantile_values, with_medians
+from loadlab.operators.quantiles import column_quantiles, quantile_values, with_medians
 from loadlab.operators.rolling import rolling_median_rows
 from loadlab.operators.stats import quantile_cut, quantile_edges
 
@@ -100,8 +100,8 @@ def worst_best(table: DataFrame) -> DataFrame:
 
 def headline(errors: DataFrame) -> DataFrame:
     """MAE, median / p95 / p99 / max absolute error, MAPE, bias, median residual."""
-    q = quantile_values(errors, "absolute_error", [0.5, 0.95, 0.99])
-    med = quantile_values(errors, "residual", [0.5])[0]
+    found = column_quantiles(errors, ["absolute_error", "residual"], [0.5, 0.95, 0.99])
+    q, med = found["absolute_error"] or [None] * 3, (found["residual"] or [None])[0]
     return errors.agg(F.avg("absolute_error").alias("mae"), F.max("absolute_error").alias("max_abs_error"),
                       F.avg("absolute_percentage_error").alias("mape"), F.avg("residual").alias("bias")).select(
         "mae", F.lit(q[0]).alias("median_abs_error"), F.lit(q[1]).alias("p95_abs_error"),
@@ -127,7 +127,7 @@ def worst_share(errors: DataFrame, share: float = WORST_SHARE) -> DataFrame:
 
 
 def diagnose(errors: DataFrame) -> DataFrame:
-    """Eleven residual diagnostics, one row."""
+    """Eleven residual diagnostics, one row.  Their names and the limits 2.0, 1.5, 0.2 and 3.0 are fixed values."""
     base = errors.agg(
         F.avg("residual").alias("mean_residual"),
         F.stddev_samp("residual").alias("residual_std"), F.count(F.lit(1)).alias("n"),

@@ -77,7 +77,7 @@ def fold_bounds(n: int, k: int) -> list[tuple[int, int, int]]:
     """W2 (TimeSeriesSplit): fold i trains on [0, s_i) and tests on [s_i, s_i + t), t = n // (k + 1)."""
     t = n // (k + 1)
     if t < 1:
-        raise ValueError(f"Cannot have number of folds={k + 1} greater than the number of samples={n}")
+        raise ValueError(f"{n} rows are too few for {k} expanding folds")
     return [(i, n - (k - i) * t, t) for i in range(k)]
 
 

@@ -138,7 +138,7 @@ def group_target_stats(df: DataFrame, keys: list[str], y: str = "posted_rate", t
     return out
 
 
-# ---- A21-A26 business effects --------------------------------------------------------
+# ---- A21-A26 business effects (output names are fixed values) --------------------------------------------------------
 
 def equipment_effects(df: DataFrame) -> DataFrame:
     """A21."""
@@ -162,7 +162,7 @@ def quantile_edges(df: DataFrame, c: str, q: int = 5) -> list[float]:
     if edges[0] is None:
         raise ValueError(f"quantile cut of {c!r}: no values")
     if len(set(edges)) < len(edges):
-        raise ValueError(f"Bin edges must be unique: {edges}")
+        raise ValueError(f"quantile cut of {c!r}: equal edges in {edges}")
     return list(edges)
 
 

@@ -121,10 +121,8 @@ SELECT load_id,
   cast(date_diff('day', DATE '2000-01-01', date) AS DOUBLE) AS days_since_reference
 FROM loads"""))
 def f1_f3_calendar(spark, sf):
-    from dataclasses import replace
-    cfg = replace(DEFAULT, use_days_since_reference=True)
     df = tables.loads(spark, sf)
-    cols = FE.temporal_features("date", cfg)
+    cols = FE.block_features(["year angle", "week angle", "weekend", "days since"])
     return rounded(df.select("load_id", *[v.alias(k) for k, v in cols.items()]))
 
 
@@ -142,7 +140,7 @@ SELECT load_id,
 FROM loads"""))
 def f4_f6_geo(spark, sf):
     df = tables.loads(spark, sf)
-    return rounded(df.select("load_id", *[v.alias(k) for k, v in FE.geo_features().items()]))
+    return rounded(df.select("load_id", *[v.alias(k) for k, v in FE.block_features(["great circle", "bearing", "steps"]).items()]))
 
 
 @register("f7_bands", oracle("""
@@ -170,7 +168,7 @@ SELECT load_id,
 FROM loads"""))
 def f9_f12_interactions(spark, sf):
     df = tables.loads(spark, sf)
-    cols = {**FE.interaction_features(), "rate_per_mile": FE.per_mile("posted_rate", "distance"),
+    cols = {**FE.block_features(["log distance", "weight per mile"]), "rate_per_mile": FE.per_mile("posted_rate", "distance"),
             **FE.missing_flags(DEFAULT.missing_indicators)}
     return rounded(df.select("load_id", *[v.alias(k) for k, v in cols.items()]))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loadlab.functions.cleaning import floor_predictions
 from loadlab.operators import errors as ER
 from loadlab.operators.baselines import fit_rate_per_mile
+from loadlab.operators.lookup import written
 from loadlab.plans.common import oracle, rounded
 from loadlab.plans.registry import register
 from loadlab.sources import tables
@@ -54,6 +55,11 @@ def _errors(spark, sf):
     return ER.error_frame(scored)
 
 
+def _written_errors(spark, sf):
+    """The error frame, written once for jobs that read it several times."""
+    return written(_errors(spark, sf), "errors")
+
+
 @register("f17_error_frame", oracle("""
 SELECT load_id, round(predicted, 6) AS predicted, round(residual, 6) AS residual, round(absolute_error, 6) AS absolute_error,
   round(percentage_error, 6) AS percentage_error, round(absolute_percentage_error, 6) AS absolute_percentage_error,
@@ -100,7 +106,7 @@ SELECT round(avg(absolute_error), 6) AS mae, round(quantile_cont(absolute_error,
   round(max(absolute_error), 6) AS max_abs_error, round(avg(absolute_percentage_error), 6) AS mape,
   round(avg(residual), 6) AS bias, round(quantile_cont(residual, 0.5), 6) AS median_residual FROM errs""", ERR_CTES))
 def a33_error_headline(spark, sf):
-    return rounded(ER.headline(_errors(spark, sf)))
+    return rounded(ER.headline(_written_errors(spark, sf)))
 
 
 @register("a32_residual_diagnostics", oracle("""
@@ -116,7 +122,7 @@ FROM (SELECT avg(residual) AS m, quantile_cont(residual, 0.5) AS med, stddev_sam
       FROM (SELECT absolute_error, row_number() OVER (ORDER BY absolute_error DESC) AS rn, count(*) OVER () AS cnt FROM errs))""",
                                                ERR_CTES))
 def a32_residual_diagnostics(spark, sf):
-    return rounded(ER.diagnose(_errors(spark, sf)))
+    return rounded(ER.diagnose(_written_errors(spark, sf)))
 
 
 @register("w5_worst_share", oracle("""
@@ -124,7 +130,7 @@ SELECT round(100.0 * sum(absolute_error) FILTER (WHERE rn <= k) / sum(absolute_e
 FROM (SELECT absolute_error, row_number() OVER (ORDER BY absolute_error DESC) AS rn,
         cast(greatest(1, round_even(0.01 * count(*) OVER (), 0)) AS INTEGER) AS k FROM errs)""", ERR_CTES))
 def w5_worst_share(spark, sf):
-    return rounded(ER.worst_share(_errors(spark, sf)))
+    return rounded(ER.worst_share(_written_errors(spark, sf)))
 
 
 @register("t1_worst_rows", oracle("""
@@ -152,9 +158,9 @@ SELECT load_id, round(distance, 6) AS distance, round(residual, 6) AS residual,
   FROM (SELECT *, greatest(50, (SELECT count(*) FROM errs) // 40) AS w FROM errs)
   WINDOW f AS (ORDER BY distance, load_id ROWS BETWEEN w // 2 PRECEDING AND (w - 1) // 2 FOLLOWING))""", ERR_CTES))
 def w4_rolling_median_distance(spark, sf):
-    return rounded(ER.rolling_median(_errors(spark, sf), "distance"))
+    return rounded(ER.rolling_median(_written_errors(spark, sf), "distance"))
 
 
 @register("w6_qq_points")
 def w6_qq_points(spark, sf):
-    return rounded(ER.qq_points(_errors(spark, sf)))
+    return rounded(ER.qq_points(_written_errors(spark, sf)))
