@@ -36,10 +36,11 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
+from loadlab.llm.common import slices, trimmed
+
 CACHE_WORDS = 150_000
 LONG_WORD = 2_000  # characters; such a word is merged alone and not cached
 # ASCII, Latin-1 and Latin Extended-A, dashes and quotes, currency signs: no case rule depends on neighbours.
@@ -226,20 +227,6 @@ def vocabulary(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def _slices(batch: pa.RecordBatch, column: int, chars: int = 1_000_000) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch holding at most about ``chars`` bytes of text (one row at least)."""
-    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
-    start, held = 0, 0
-    for i, n in enumerate(sizes):
-        if i > start and held + n > chars:
-            yield batch.slice(start, i - start)
-            start, held = i, 0
-        held += int(n)
-    if start < len(sizes):
-        yield batch.slice(start)
-    pa.default_memory_pool().release_unused()  # workers live on and serve later stages
-
-
 def encoded(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``df`` with ``token_ids`` (array of int) and ``decoded`` (string) appended."""
     from pyspark.sql import types as T
@@ -251,13 +238,13 @@ def encoded(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for whole in batches:
-            for b in _slices(whole, names.index(text)):
+            for b in slices(whole, names.index(text)):
                 packed = list(bpe.encode_batch(b.column(names.index(text)).to_pylist()))
                 ids = pa.array([np.frombuffer(p, "<u4").astype(np.int32) for p in packed], pa.list_(pa.int32()))
                 cols = [*b.columns, ids, pa.array([bpe.decode(p) for p in packed], pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, [*names, "token_ids", "decoded"])
 
-    return df.select(*names).mapInArrow(run, schema)
+    return df.select(*names).mapInArrow(trimmed(run), schema)
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -267,7 +254,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for whole in batches:
-            for b in _slices(whole, 1):
+            for b in slices(whole, 1):
                 packed = list(bpe.encode_batch(b.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays([
                     b.column(0),
@@ -277,6 +264,6 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
                 ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        trimmed(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
+import gc
 import os
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +56,36 @@ def _remove_cuts() -> None:
             return
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, giving its memory back to the system when its task ends.
+
+    Python workers live on and serve later tasks, several at a time in an executor, so what they keep adds up.
+    """
+
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+
+    return whole
+
+
+def slices(batch: pa.RecordBatch, column: int, chars: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch holding at most about ``chars`` bytes of text (one row at least)."""
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and held + n > chars:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += int(n)
+    if start < len(sizes):
+        yield batch.slice(start)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with underscores until ``df`` has no such column (names are case-insensitive)."""
     taken = {c.lower() for c in df.columns}

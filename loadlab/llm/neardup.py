@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadlab.llm.common import cut, unused
+from loadlab.llm.common import cut, trimmed, unused
 
 WORDS, PERCENT = 5, 75
 COORDS, POSTED = 128, 32
@@ -131,7 +131,7 @@ def profiles(docs: DataFrame) -> DataFrame:
                  pa.array(posts, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], ["doc_id", "n_shingles", "d1", "d2", "posts", "sig"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, d1 long, d2 long, posts array<long>, sig binary")
+        trimmed(run), "doc_id long, n_shingles long, d1 long, d2 long, posts array<long>, sig binary")
 
 
 # -- posting lists -------------------------------------------------------------------------
@@ -233,7 +233,7 @@ def _candidates(rows: DataFrame, best: int | None) -> DataFrame:
 
     dealt = rows.repartition("key", "part").sortWithinPartitions("key", "part")
     return dealt.select("key", "part", "node", "label", "side", "mask", "coord", "sig").mapInArrow(
-        run, "key long, part long, node long, label long, others array<long>, hits array<long>")
+        trimmed(run), "key long, part long, node long, label long, others array<long>, hits array<long>")
 
 
 def _confirmed(candidates: DataFrame, sets: DataFrame) -> DataFrame:
@@ -277,7 +277,7 @@ def _confirmed(candidates: DataFrame, sets: DataFrame) -> DataFrame:
     cols = ["key", "part", "node", "label", "others", "hits", "shingles"]
     rows = members.select(*cols).unionByName(pairs.select(*cols))
     dealt = rows.repartition("key", "part").sortWithinPartitions("key", "part")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(trimmed(run), "a long, b long").distinct()
 
 
 def minimum_labels(links: DataFrame) -> DataFrame:
@@ -321,7 +321,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
 
     rows = docs.filter("doc_id is not null").select("doc_id", "text", _bit("doc_id").alias("bit"))
-    return rows.mapInArrow(run, "node long, shingles binary").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    return rows.mapInArrow(trimmed(run), "node long, shingles binary").join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
 # -- the operator --------------------------------------------------------------------------

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlab.llm.common import cut
+from loadlab.llm.common import cut, slices, trimmed
 
 MAX_TRAIN = 40_000
 THRESHOLD, FLOOR = 0.3, 0.01
@@ -104,7 +104,7 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["code", "n"])
 
-    return docs.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(trimmed(run), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def char_costs(counts: DataFrame) -> np.ndarray:
@@ -440,7 +440,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, costs: np.ndarray, max_tra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, list[str]] = {}
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 1)):
             ids, texts, toxic = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
             words, hashes = [], []
             for t in texts:
@@ -460,7 +460,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, costs: np.ndarray, max_tra
                                               pa.array(hashes, pa.binary())], ["doc_id", "toxic", "words", "m"])
 
     return rows.select("doc_id", "text", F.col("toxic").cast("long").alias("toxic")).mapInArrow(
-        run, "doc_id long, toxic long, words array<string>, m binary").dropDuplicates(["doc_id"])
+        trimmed(run), "doc_id long, toxic long, words array<string>, m binary").dropDuplicates(["doc_id"])
 
 
 def near_copies(signatures: np.ndarray) -> np.ndarray:
@@ -590,7 +590,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             scores = _score_texts(b.column(1), model, cache)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), "doc_id long, score double")
 
 
 def restored(docs: DataFrame, costs: np.ndarray) -> DataFrame:
@@ -601,7 +601,7 @@ def restored(docs: DataFrame, costs: np.ndarray) -> DataFrame:
             texts = [None if t is None else restored_text(t, costs) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "restored"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, restored string")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), "doc_id long, restored string")
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -616,8 +616,9 @@ def rejected_removed(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, float] = {}
-        for b in batches:
-            scores = _score_texts(b.column(names.index("text")), model, cache)
-            yield b.filter(pa.array(np.array(scores) < THRESHOLD))
+        for whole in batches:
+            for b in slices(whole, names.index("text")):
+                scores = _score_texts(b.column(names.index("text")), model, cache)
+                yield b.filter(pa.array(np.array(scores) < THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
