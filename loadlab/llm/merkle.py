@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from loadlab.llm.common import cut
 
 FANOUT = 3
+WALK = 4  # levels walked down in one job
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -106,6 +107,8 @@ def proofs(levels: list[DataFrame], start: DataFrame) -> DataFrame:
         below = below.select("tree", "child.*", *carried, F.concat(F.array("child.step"), "path").alias("path")).drop("step")
         if depth > 1:
             paths = below.drop("h").unionByName(at(depth - 1))
+            if depth % WALK == 0:  # a job of its own: plans stay small, and the levels above are not walked again
+                paths = cut(paths, "merkle-paths")
         else:
             paths = below
     alone = levels[0].filter("n = 1").drop("n", "idx").join(at(0).drop("idx"), "tree")
