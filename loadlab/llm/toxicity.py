@@ -8,7 +8,9 @@ nothing, each at a channel cost.  Viterbi decoding under a character trigram mod
 cheapest path; no state is pruned.  The trigram model is counted over all texts.
 
 Scores come from the restored words and, for words too rare to be proven by themselves, their
-beginnings (4 to 6 letters, so that inflected forms count together).  Fitting reads a bounded sample of labelled rows: at most ``max_train`` rows
+beginnings (4 to 6 letters, so that inflected forms count together).  Before anything is decoded, the
+lattice and a trie of the model's features are walked together: only parts of a token with a reading that
+can have a weight are decoded, wherever the marks around them are cut.  Fitting reads a bounded sample of labelled rows: at most ``max_train`` rows
 (the smallest id hashes), of which near copies (``COPIES`` of ``COORDS`` min-hashes of 3-word
 windows agree, connected groups) count once for each label, as a copied document is one piece of evidence.  A feature speaks for
 toxicity when documents with it are toxic more often than chance allows, given how many features
@@ -20,7 +22,8 @@ Scale: counting the trigrams is one map-side combined aggregate with at most (al
 size)^3 keys.  The labelled sample is bounded, so joining it broadcasts; the texts are
 never shuffled.  Scoring is map-only; caches of a task are cleared at ``CACHE`` entries.
 
-Defined results: null and empty texts score ``FLOOR``; repeated rows score alike; rows without
+Defined results: null and empty texts score ``FLOOR``; a text of any length is read whole, and a token of any
+length in time linear in it but for the parts that are decoded; repeated rows score alike; rows without
 ``doc_id`` are scored and are not held out; labels that are null are ignored, several labels of one
 document count as toxic if one is; without labels, or without toxic ones, all scores are ``FLOOR``;
 other columns are ignored (``rejected_removed`` keeps them).
@@ -30,7 +33,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Container, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,15 +66,13 @@ SUBSTITUTED, DROPPED_MARK, DROPPED_LETTER, HIDDEN, UNKNOWN, PARTED = 1.0, 2.0, 1
 ANY = "*"
 BRANCHES = 8  # from so many characters with a choice on, decoding works on arrays (a cost choice)
 CHUNK = 1024  # steps whose ways back are held at once
-EDGE_RUNS = 8  # a word with decoration is looked for in so many runs of edge marks
+EDGE_RUNS = 8  # in fitting, a word with decoration is looked for in so many runs of edge marks
 
 _EDGES = ".,;:?!\"'()[]{}<>|&%#*$~^_-/\\=+`…“”„«»‘’"
 _MARKS = "".join(c for c in _EDGES if c not in LOOKALIKE and c not in ANY)  # edges that stand for no letter
 _RUN = re.compile(r"(.)\1\1")
-_LONG_RUN = re.compile(r"([^*])\1{3,}|(\*{32})\*+")  # a star may hide a letter
+_LONG_RUN = re.compile(r"([^*])\1{3,}")  # a star may hide a letter
 _TWICE = re.compile(r"(.)\1")
-_TWICES = re.compile(r"(.)\1+", re.S)
-_STANDS = re.compile("[" + re.escape("".join(LOOKALIKE) + ANY) + "]")
 _TWICE_MARK = re.compile(r"([@$!|+(€£¡])\1")
 _CLOSED = re.compile(r"[.,;:?!…]\W*$")
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -263,14 +264,14 @@ def _bounds(marks: str) -> list[int]:
 def _cores(token: str) -> list[str]:
     """The token with none, some or all of its runs of edge marks, the longest first: a mark at an
     edge is a letter (``+rash``, ``dumb@$$``) or decoration (``the$$$``).  Edges of more than
-    ``EDGE_RUNS`` runs are taken as a whole, or cut in the ``EDGE_RUNS`` runs nearest to the word."""
+    ``EDGE_RUNS`` runs are taken as a whole, or cut in the ``EDGE_RUNS`` runs nearest to the word.
+    For fitting, where no feature is known yet; scoring asks ``Readings``, which cuts anywhere."""
     core = token.strip(_MARKS)
     if not core or core[0].isalnum() and core[-1].isalnum():
         return [core]
-    inner = [i for i, c in enumerate(core) if c.isalnum()]
-    first, end = (inner[0], inner[-1] + 1) if inner else (len(core), 0)
+    first, end = _word_place(core)
     starts, ends = _bounds(core[:first]), _bounds(core[end:])
-    if inner:
+    if end:
         starts, ends = [0, *starts[1:][-EDGE_RUNS:]], [*ends[:-1][:EDGE_RUNS], ends[-1]]
     else:
         starts, ends = starts[:EDGE_RUNS], ends[-EDGE_RUNS:]
@@ -278,35 +279,103 @@ def _cores(token: str) -> list[str]:
     return list(found)
 
 
-def _squeezed(word: str) -> str:
-    return _TWICES.sub(r"\1", word) if _TWICE.search(word) else word
-
-
-def may_count(weights: dict[str, float]) -> Callable[[str], bool]:
-    """Whether a reading of a core without look-alikes can have a feature in ``weights``.  All readings of
-    such a core have its letters, but for repetition, so this leaves out no score."""
-    words = {_squeezed(w) for w in weights if w[0] != "^"}
-    starts = {_squeezed(w[1:]) for w in weights if w[0] == "^"}
-    sizes = sorted({len(x) for x in starts})
-
-    def test(core: str) -> bool:
-        short = _squeezed(core if core.isalpha() else "".join(filter(str.isalpha, core)))
-        return short in words or any(short[:n] in starts for n in sizes)
-    return test
-
-
-def read_token(token: str, costs: np.ndarray, counts: Callable[[str], bool] | None = None) -> list[str]:
-    """The words of a lower-cased token: as it stands, and restored if it may be disguised.  With ``counts``
-    (see ``may_count``) readings that can have no weight may be left out."""
+def _word_place(core: str) -> tuple[int, int]:
+    """First letter or digit and the place after the last; without any, the end and 0."""
+    inner = [i for i, c in enumerate(core) if c.isalnum()]
+    return (inner[0], inner[-1] + 1) if inner else (len(core), 0)
+
+
+class Readings:
+    """Which parts of a token have a reading with a feature in ``weights``: the character lattice and a
+    trie of the features are walked together, so nothing is decoded that can have no weight, and no
+    reading that can have one is left out, however many marks surround it."""
+
+    def __init__(self, weights: Iterable[str]) -> None:
+        self.root: dict = {}  # letter -> node; "" in a node: a word ends; "^": a beginning is complete
+        for f in weights:
+            node = self.root
+            for c in f.removeprefix("^"):
+                node = node.setdefault(c, {})
+            node["^" if f[0] == "^" else ""] = {}
+
+    def may(self, core: str) -> bool:
+        """Whether the whole core has a reading with a feature."""
+        states, last = [self.root], ""
+        for c in core:
+            again, last = c == last, c
+            if c.isalpha():
+                nxt = [s[c] for s in states if c in s]
+                if again:
+                    nxt += states
+            elif letters := _letters(c):
+                nxt = states + [s[x] for s in states for x in letters if x in s]
+            else:
+                continue
+            if not nxt:
+                return False
+            states = nxt if len(nxt) < 4 else list({id(s): s for s in nxt}.values())
+            for s in states:
+                if "^" in s:
+                    return True
+        return any("" in s for s in states)
+
+    def windows(self, core: str, entries: Container[int], exits: Container[int]) -> Iterator[tuple[int, int]]:
+        """The shortest parts from an entry to an exit that have a reading with a feature, one for every
+        start.  One walk: every node of the trie keeps the latest entry that leads to it."""
+        states: dict[int, tuple[int, dict]] = {}
+        begun = told = -1
+        last = ""
+        for i, c in enumerate(core):
+            if i in entries:
+                states[id(self.root)] = (i, self.root)
+            again, last = c == last, c
+            letters = c if c.isalpha() else _letters(c)
+            nxt = dict(states) if again or not c.isalpha() else {}
+            for entry, node in states.values():
+                for x in letters:
+                    if (to := node.get(x)) is not None and nxt.get(id(to), (-1, to))[0] < entry:
+                        nxt[id(to)] = (entry, to)
+            states = nxt
+            begun = max((e for e, node in states.values() if "^" in node), default=begun)
+            if i + 1 in exits:
+                found = max((e for e, node in states.values() if "" in node), default=-1)
+                if max(found, begun) > told:
+                    yield (told := max(found, begun)), i + 1
+
+    def cores(self, token: str) -> list[str]:
+        """The token without edge marks, with all of them, and the shortest parts between runs of edge
+        marks, as far as they have a reading with a feature."""
+        core = token.strip(_MARKS)
+        if not core or core[0].isalnum() and core[-1].isalnum():
+            return [core] if core and self.may(core) else []
+        first, end = _word_place(core)
+        entries = set(_bounds(core[:first]))
+        exits = {end + b for b in _bounds(core[end:])} if end else entries
+        found = [core[a:b].strip(_MARKS) for a, b in self.windows(core, entries, exits)]
+        return list(dict.fromkeys(x for x in (core, core[first:end], *found) if x and self.may(x))) if found else []
+
+    def inside(self, text: str) -> bool:
+        """Whether a feature can be read anywhere in the text."""
+        return next(self.windows(text, range(len(text)), range(len(text) + 1)), None) is not None
+
+
+def _letters(mark: str) -> str:
+    return LETTERS[:26] if mark == ANY else LOOKALIKE.get(mark, "")
+
+
+def read_token(token: str, costs: np.ndarray, readings: Readings | None = None) -> list[str]:
+    """The words of a lower-cased token: as it stands, and restored if it may be disguised.  With ``readings``
+    those that can have no weight are left out."""
     plain = token.strip(_EDGES)
     if plain.isalpha():
         words = [plain]
-        if plain == token.strip(_MARKS) and (not _TWICE.search(plain) or counts and not counts(plain)):
+        if plain == token.strip(_MARKS) and not _TWICE.search(plain):
             return words
     else:
         words = _WORDS.findall(plain)
-    for core in _cores(_LONG_RUN.sub(lambda m: m[2] or m[1] * 3, token)):
-        if suspicious(core) and (not counts or _STANDS.search(core) or counts(core)):
+    short = _LONG_RUN.sub(r"\1\1\1", token)
+    for core in _cores(short) if readings is None else readings.cores(short):
+        if suspicious(core):
             words.append(decode(core, costs))
             if _TWICE_MARK.search(core):
                 words.append(decode(core, costs, pairs=True))
@@ -325,7 +394,7 @@ def _spaced_runs(tokens: list[str]) -> Iterator[tuple[int, list[str]]]:
     """First token and characters of every run of three single characters or more."""
     run: list[str] = []
     for i, token in enumerate([*tokens, ""]):
-        unit = _unit(token) if token else ""
+        unit = _unit(token) if token and (len(token) < 2 or not (token[0].isalnum() and token[-1].isalnum())) else ""
         if unit:
             run.append(unit)
         elif run:
@@ -344,18 +413,21 @@ def _parted(units: list[str], costs: np.ndarray) -> str:
     return " ".join(cheapest(steps, costs).split())
 
 
-def spaced_words(text: str, costs: np.ndarray) -> list[str]:
+def spaced_words(text: str, costs: np.ndarray, readings: Readings | None = None) -> list[str]:
     """Readings of runs of single characters: with word boundaries anywhere; as one word, also without
-    the first or last character (``a i d i o t``); and the parts that punctuation closes as one word each."""
+    the first or last character (``a i d i o t``); and the parts that punctuation closes as one word each.
+    With ``readings`` those that can have no weight are left out."""
     words: list[str] = []
     tokens = text.split()
     for first, units in _spaced_runs(tokens):
-        words += _parted(units, costs).split()
         joined = "".join(units)
+        if readings and not readings.inside(joined):
+            continue
+        words += _parted(units, costs).split()
         ends = [0, *(i + 1 for i in range(len(units)) if _CLOSED.search(tokens[first + i][1:])), len(units)]
         parts = [joined[a:b] for a, b in zip(ends, ends[1:], strict=False)]
         for part in dict.fromkeys([joined, joined[1:], joined[:-1], joined[1:-1], *parts]):
-            if len(part) > 2:
+            if len(part) > 2 and (readings is None or readings.may(part)):
                 words.append(decode(part, costs))
     return words
 
@@ -558,7 +630,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
 # -- scoring -------------------------------------------------------------------------------
 
 def _score_texts(texts: pa.Array, model: Model, cache: dict[str, float]) -> list[float]:
-    weights, costs, counts = model.weights.get, model.costs, may_count(model.weights)
+    weights, costs, readings = model.weights.get, model.costs, Readings(model.weights)
 
     def of(words: list[str]) -> float:
         return max((weights(f, 0.0) for w in words for f in features(w)), default=0.0)
@@ -572,10 +644,12 @@ def _score_texts(texts: pa.Array, model: Model, cache: dict[str, float]) -> list
         for token in set(low.split()):
             s = cache.get(token)
             if s is None:
-                s = cache[token] = of(read_token(token, costs, counts))
+                # A token of letters has its own word among its readings.
+                may = not token.isalpha() or readings.may(token)
+                s = cache[token] = of(read_token(token, costs, readings)) if may else 0.0
             if s > best:
                 best = s
-        if spaced := spaced_words(low, costs):
+        if spaced := spaced_words(low, costs, readings):
             best = max(best, of(spaced))
         scores.append(best)
     return scores

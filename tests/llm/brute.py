@@ -84,3 +84,54 @@ def encodings(texts, path):
         packed = b"".join(i.to_bytes(4, "little") for i in ids)
         decoded = lib.decode(ids, skip_special_tokens=False)
         yield len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def cheapest_reading(steps, costs):
+    """Viterbi over (last two letters), one dictionary a step; ``steps`` offer (letter, price)."""
+    from loadlab.llm.toxicity import CODE, OTHER
+
+    best = {("", 0, 0): 0.0}  # (word, last two codes): the cheapest word of each pair of codes
+    for options in steps:
+        new = {}
+        for (word, a, b), cost in best.items():
+            for x, price in options:
+                c = CODE.get(x, OTHER)
+                to = (word + x, b, c) if x else (word, a, b)
+                total = cost + price + (float(costs[a, b, c]) if x else 0.0)
+                if total < new.get(to[1:], (float("inf"),))[0]:
+                    new[to[1:]] = (total, to[0])
+        best = {(w, *ends): cost for ends, (cost, w) in new.items()}
+    return min((cost + float(costs[a, b, 0]), w) for (w, a, b), cost in best.items())[1]
+
+
+def toxic_scores(rows, weights, costs):
+    """doc_id -> highest weight of a reading: every token as it stands and decoded with every run of edge
+    marks on or off, and runs of single characters."""
+    from loadlab.llm import toxicity as t
+
+    def read(token):
+        plain = token.strip(t._EDGES)
+        words = [plain] if plain.isalpha() else t._WORDS.findall(plain)
+        core = t._LONG_RUN.sub(r"\1\1\1", token).strip(t._MARKS)
+        first = next((i for i, c in enumerate(core) if c.isalnum()), None)
+        last = max((i for i, c in enumerate(core) if c.isalnum()), default=None)
+        border = [i for i in range(len(core) + 1) if i in (0, len(core)) or core[i - 1] != core[i]]
+        for a in border:
+            for b in border:
+                if first is not None and not (a <= first and last < b):
+                    continue
+                part = core[a:b].strip(t._MARKS)
+                if part and t.suspicious(part):
+                    words += {cheapest_reading(t.lattice(part, pairs), costs) for pairs in (False, True)
+                              if not pairs or t._TWICE_MARK.search(part)}
+        return words
+
+    value = lambda words: max((weights.get(f, 0.0) for w in words for f in t.features(w)), default=0.0)
+    known = {}
+    out = {}
+    for i, text in rows:
+        low = (text or "").lower()
+        for token in set(low.split()) - known.keys():
+            known[token] = value(read(token))
+        out[i] = max([t.FLOOR, value(t.spaced_words(low, costs)), *(known[x] for x in set(low.split()))])
+    return out

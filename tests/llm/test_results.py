@@ -123,7 +123,7 @@ def test_decoding_is_exact():
 
 def test_readings_left_out_have_no_weight(tox_costs):
     weights = {"idiot": 0.9, "stupid": 0.8, "ass": 0.7, "^dumba": 0.9, "^mooro": 0.8}
-    rng, counts = random.Random(8), toxicity.may_count(weights)
+    rng, counts = random.Random(8), toxicity.Readings(weights)
 
     def score(words):
         return max((weights.get(f, 0.0) for w in words for f in toxicity.features(w)), default=0.0)
@@ -137,6 +137,43 @@ def test_readings_left_out_have_no_weight(tox_costs):
     assert found > 500
 
 
+def test_features_in_a_lattice_are_all_found():
+    """The walk of lattice and trie against all paths of the lattice, for whole cores and for parts of marks."""
+    weights = {"ass": 0.9, "aas": 0.9, "sil": 0.8, "^asis": 0.8}
+    readings, rng = toxicity.Readings(weights), random.Random(4)
+
+    def brute_may(core):
+        paths = ("".join(x for x, _ in p) for p in itertools.product(*toxicity.lattice(core)))
+        return any(w in weights or "^" + w[:4] in weights for w in paths)
+
+    found = 0
+    for _ in range(4000):
+        core = "".join(rng.choices("@$!aas|-é", k=rng.randint(1, 8)))
+        assert readings.may(core) == brute_may(core), core
+        borders = toxicity._bounds(core)
+        parts = {(a, b) for a in borders for b in borders if a < b and brute_may(core[a:b])}
+        shortest = {(a, b) for a, b in parts if not any((c, d) != (a, b) and a <= c and d <= b for c, d in parts)}
+        got = set(readings.windows(core, set(borders), set(borders)))
+        assert shortest <= got <= parts, core
+        found += len(got)
+    assert found > 500
+
+
+@pytest.mark.parametrize("token", ["!?!?!?!?!?@$$", "@$$" + "!?" * 200, "!?" * 200 + "@$$" + "?!" * 200, "=-" * 3000 + "@$$", "a" + "*" * 50 + "-@$$"])
+def test_no_mark_is_too_far_from_a_word(tox_costs, token):
+    words = toxicity.read_token(token, tox_costs, toxicity.Readings({"ass": 0.9}))
+    assert any("ass" in w for w in words), words
+
+
+def test_scores_like_the_plain_version(spark, docs, rows):
+    """Every score again without tries, caches or skipping: all readings of all tokens of all texts."""
+    model = toxicity.fit(docs, table(spark, SF, "labels"))
+    got = {r.doc_id: r.score for r in toxicity.scored(docs, model).collect()}
+    want = brute.toxic_scores([r[:2] for r in rows], model.weights, model.costs)
+    assert got == pytest.approx(want)
+    assert sum(s >= toxicity.THRESHOLD for s in want.values()) > 0
+
+
 def test_only_near_copies_count_once(spark):
     rng = random.Random(2)
     passage = [f"p{i}" for i in range(40)]
