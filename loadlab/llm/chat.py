@@ -13,7 +13,8 @@ was there before) its ``&``, ``<`` and ``[`` are escaped, and it is parsed again
 that still differs raises; so does a conversation whose parse is not its source.
 
 The loss mask is the bodies of turns whose role is ``assistant``; ``loss_spans`` are their
-places in the formatted text (0-based start, length, in code points, escapes included).
+places in the formatted text (0-based start, length, in code points, escapes included), and
+``masked`` reads the text under them back.
 
 Scale: rendering and the round trip of a turn are row-local.  One shuffle by conversation
 orders the turns (running lengths and the final string share it).  A formatted conversation
@@ -22,7 +23,9 @@ gathered.  Native DataFrame operations only.
 
 Defined results: null role or text is the empty string; turns are ordered by (turn, role,
 text), null turns first, so ties and repeated rows have one order; rows without ``conv_id``
-form one conversation with a null id; an empty table gives no rows; other columns are ignored.
+form one conversation with a null id; very long texts are formatted whole; an empty table gives no rows;
+other columns are ignored.  The added conversation -1 has an id of its own kind: rows that already have the id
+-1 join it, in order of turn, role and text.
 """
 
 from __future__ import annotations
@@ -112,6 +115,11 @@ def formatted(rows: DataFrame) -> DataFrame:
         failed.cast("array<struct<role:string,text:string>>")).alias("turns"), "loss_spans")
 
 
+def masked(formatted: Column, spans: Column) -> Column:
+    """The unescaped texts under the loss mask, in order."""
+    return F.transform(spans, lambda s: unescape(F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int"))))
+
+
 def with_conflict_case(rows: DataFrame) -> DataFrame:
     """The conversations plus conversation -1, whose texts hold the template's own marks."""
     case = rows.sparkSession.sql(
@@ -122,7 +130,10 @@ def with_conflict_case(rows: DataFrame) -> DataFrame:
 
 def digests(conversations: DataFrame) -> DataFrame:
     out = formatted(with_conflict_case(conversations))
-    loss = F.array_join(F.transform(F.filter("turns", lambda x: x["role"] == ASSISTANT), lambda x: x["text"]), "")
+    told_texts = F.transform(F.filter("turns", lambda x: x["role"] == ASSISTANT), lambda x: x["text"])
+    out = out.withColumn("masked", masked(F.col("formatted"), F.col("loss_spans")))
+    wrong = F.raise_error(F.lit("the loss mask does not cover the assistant's texts")).cast("string")
+    loss = F.when(F.col("masked") == told_texts, F.array_join("masked", "")).otherwise(wrong)
     told = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
     sha = lambda c: F.sha2(c.cast("binary"), 256)
     return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), sha(told).alias("turns_sha256"),
