@@ -2,7 +2,7 @@
 
 A line's key is the line without white space at its ends, A-Z lower-cased; keys travel as
 two 64-bit hashes.  Documents arrive in batches.  The store is a list of runs, each written
-sorted and range-partitioned by key hash, in levels: a batch adds one run to level 0, and as soon as
+sorted by key hash within its files, in levels: a batch adds one run to level 0, and as soon as
 a level holds ``FANOUT`` runs they are merged into one run of the next level, so a key is
 rewritten at most once a level and a batch meets few runs.
 
@@ -19,7 +19,9 @@ and to rebuild documents that lose lines, which are joined by ``doc_id``.  Nativ
 DataFrame operations throughout.
 
 Defined results: null or empty text is one empty line; a key is counted once per document
-however often it stands there; rows repeating a ``doc_id`` are one document; rows without ``doc_id``
+however often it stands there; rows repeating a ``doc_id`` are one document for the counts, whatever their
+texts, and each row loses the lines of its own text; ties cannot arise (the largest id keeps its lines, in
+every row that has the id); texts and lines of any length are read whole; rows without ``doc_id``
 keep all lines and count for nothing; an empty table gives no rows; other columns are kept by
 ``deduplicate`` (working columns take names that the input does not have).
 """
@@ -50,11 +52,11 @@ def _hashes(docs: DataFrame, min_chars: int) -> Column:
 
 
 def hashed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCHES) -> DataFrame:
-    """``doc_id, h1, h2, spots, batch``: one row per document and key long enough, with the
-    0-based positions of its lines."""
+    """``doc_id, version, spot, h1, h2, batch``: one row per line with a key long enough and its 0-based
+    position; ``version`` tells different texts of one id apart."""
     lines = docs.filter("doc_id is not null").select(
-        "doc_id", F.posexplode(_hashes(docs, min_chars)).alias("spot", "h")).filter("h is not null")
-    return lines.select("doc_id", "spot", "h.h1", "h.h2", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int").alias("batch"))
+        "doc_id", F.xxhash64("text").alias("version"), F.posexplode(_hashes(docs, min_chars)).alias("spot", "h")).filter("h is not null")
+    return lines.select("doc_id", "version", "spot", "h.h1", "h.h2", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int").alias("batch"))
 
 
 def merge_runs(runs: list[DataFrame]) -> DataFrame:
@@ -123,24 +125,25 @@ class RunStore:
 
 def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
                   batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
-    """``doc_id, spots``: positions of the lines each document loses (only documents that lose some)."""
+    """``doc_id, version, spots``: positions of the lines each text loses (only texts that lose some)."""
     lines = cut(hashed_lines(docs, min_chars, batches), "lines")
     store = RunStore(fanout)
     for b in range(batches):
         store.add(lines.filter(F.col("batch") == b).select("doc_id", "h1", "h2"))
     frequent = cut(store.frequent(min_docs).select("h1", "h2", "last_doc"), "lines-frequent")
     lost = lines.join(frequent, ["h1", "h2"]).filter(F.col("doc_id") < F.col("last_doc"))
-    return lost.select("doc_id", "spot").groupBy("doc_id").agg(F.collect_set("spot").alias("spots"))
+    return lost.select("doc_id", "version", "spot").groupBy("doc_id", "version").agg(F.collect_set("spot").alias("spots"))
 
 
 def _deduplicated(docs: DataFrame, info: str, **options: int) -> DataFrame:
-    doc, spots = unused(docs, "__doc"), unused(docs, "__spots")
-    lost = dropped_lines(docs, **options).select(F.col("doc_id").alias(doc), F.col("spots").alias(spots))
+    doc, version, spots = unused(docs, "__doc"), unused(docs, "__version"), unused(docs, "__spots")
+    lost = dropped_lines(docs, **options).select(F.col("doc_id").alias(doc), F.col("version").alias(version), F.col("spots").alias(spots))
     lines = F.split(text_or_empty(), "\n", -1)
     # Rows without an id lose nothing; kept out of the join, they cannot pile up on one key.
     named, unnamed = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
-    joined = named.join(lost, F.col("doc_id") == F.col(doc), "left").unionByName(
-        unnamed.withColumn(doc, F.lit(None).cast("long")).withColumn(spots, F.lit(None).cast("array<int>")))
+    same = (F.col("doc_id") == F.col(doc)) & (F.xxhash64("text") == F.col(version))
+    joined = named.join(lost, same, "left").drop(doc, version).unionByName(
+        unnamed.withColumn(spots, F.lit(None).cast("array<int>")))
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(spots))
     kept = F.transform(stay, lambda i: F.get(lines, i))
     text = F.when(F.col(spots).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
