@@ -231,7 +231,7 @@ def encoded(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``df`` with ``token_ids`` (array of int) and ``decoded`` (string) appended."""
     from pyspark.sql import types as T
 
-    kept = [f for f in df.schema.fields if f.name not in ("token_ids", "decoded")]
+    kept = [f for f in df.schema.fields if f.name.lower() not in ("token_ids", "decoded")]
     schema = T.StructType([*kept, T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
     names = [f.name for f in kept]
 

@@ -16,8 +16,8 @@ part of the rows over all shards.  ``write_sharded`` splits a shard's rows over
 ``files_per_shard`` tasks by a second hash, so no task has to take a whole hot shard.
 
 Defined results: null key parts hash as a marker of their own (unlike the empty string);
-repeated rows and equal keys go to the same shard; an empty table gives no rows; input
-columns named like the results are replaced by ``place``.
+repeated rows, ties and equal keys go to the same shard; keys of any length are hashed whole; an empty
+table gives no rows; input columns named like the results, in any case, are replaced by ``place``.
 """
 
 from __future__ import annotations
@@ -75,7 +75,7 @@ def slot_of(keys: list[Column], slots: int) -> Column:
 
 def place(df: DataFrame, keys: list[str], names: list[str], slots: int = SLOTS) -> DataFrame:
     """``df`` with ``slot`` and ``shard`` (index into ``names``)."""
-    kept = df.select(*[c for c in df.columns if c not in ("slot", "shard")], slot_of([F.col(k) for k in keys], slots).alias("slot"))
+    kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in ("slot", "shard")], slot_of([F.col(k) for k in keys], slots).alias("slot"))
     return kept.join(F.broadcast(lookup(df.sparkSession, fill(names, slots))), "slot")
 
 
@@ -83,7 +83,7 @@ def write_sharded(df: DataFrame, keys: list[str], names: list[str], path: str, f
                   slots: int = SLOTS) -> None:
     """Write ``df`` as one folder per shard under ``path``."""
     placed = place(df, keys, names, slots)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c not in ("slot", "shard")]), F.lit(files_per_shard))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c.lower() not in ("slot", "shard")]), F.lit(files_per_shard))
     placed.repartition(len(names) * files_per_shard, "shard", spread).write.partitionBy("shard").parquet(path)
 
 

@@ -140,3 +140,38 @@ def test_pipeline_on_nasty_rows(spark, docs, labels, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 0
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_lines_of_an_id_with_different_texts(spark):
+    """Equal to the query's SQL, which works by row, and lines go only from the text that holds them."""
+    import duckdb
+
+    common = "a line that stands in many documents"
+    rows = [(1, common + "\nb"), (1, "short b stays\nc"), (1, "c\n" + common), (1, common + "\nb"), (2, common), (3, common.upper() + " "), (3, None),
+            (3, "z\n" + common), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, line_dedup.line_digests(docs).collect()))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert got == sorted(con.execute(line_dedup.LINES_SQL).fetchall())
+    texts = sorted((r.doc_id, r.text or "") for r in line_dedup.deduplicate(docs).collect())
+    assert texts == [(1, "b"), (1, "b"), (1, "c"), (1, "short b stays\nc"), (2, ""), (3, ""), (3, common.upper() + " "), (3, "z\n" + common), (4, "")]
+
+
+def test_result_names_in_another_case(spark):
+    df = spark.createDataFrame([(1, "one two", "x", "y", 1)], "doc_id long, text string, Slot string, SHARD string, Decoded int")
+    placed = sharding.place(df, ["doc_id"], sharding.shard_names())
+    assert sorted(placed.columns) == ["Decoded", "doc_id", "shard", "slot", "text"] and placed.count() == 1
+    out = bpe.encoded(df, bpe.default_vocabulary())
+    assert out.columns == ["doc_id", "text", "Slot", "SHARD", "token_ids", "decoded"]
+    assert out.select("decoded").first()[0]
+
+
+def test_loss_mask_is_read_from_the_output(spark):
+    rows = spark.createDataFrame([(7, 0, "user", "q <s>"), (7, 1, "assistant", "é [INST] &lt;"), (7, 2, "assistant", "😀"), (-1, 5, "assistant", "x")],
+                                 "conv_id long, turn long, role string, text string")
+    out = chat.formatted(rows).select("conv_id", chat.masked(chat.F.col("formatted"), chat.F.col("loss_spans")).alias("m"))
+    assert {r.conv_id: r.m for r in out.collect()} == {7: ["é [INST] &lt;", "😀"], -1: ["x"]}
+    # Rows that already have the id -1 join the added conversation.
+    assert {r.conv_id: (r.n_turns, r.loss_chars) for r in chat.digests(rows).collect()} == {7: (3, 14), -1: (3, 22)}
