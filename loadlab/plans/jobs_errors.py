@@ -49,8 +49,9 @@ seg AS (SELECT segment, value, count(*) AS rows, avg(absolute_error) AS MAE, avg
 
 
 def _errors(spark, sf):
-    model = fit_rate_per_mile(tables.train(spark, sf), "equipment")
-    scored = model.transform(tables.holdout(spark, sf), "p0")
+    windows = tables.kept_windows(spark, sf)
+    model = fit_rate_per_mile(windows.train, "equipment")
+    scored = model.transform(windows.holdout, "p0")
     scored = scored.withColumn("predicted", floor_predictions("p0", 1.0)).drop("p0")
     return ER.error_frame(scored)
 

@@ -135,8 +135,8 @@ A14_SQL = oracle(_validate_sql("loads_dirty", "dirty", DIRTY_TYPES) + "\nUNION A
 
 @register("a14_validate_all", A14_SQL)
 def a14_validate_all(spark, sf):
-    dirty = tables.loads_dirty(spark, sf)
-    return Q.validate_all({"dirty": dirty, "loads": tables.loads(spark, sf)})
+    clean = tables.kept_loads(spark, sf)
+    return Q.validate_all({"dirty": tables.dirty_rows(clean), "loads": clean})
 
 
 A50_SQL = oracle("""
@@ -170,7 +170,8 @@ differences AS (
 @register("a50_risk_flags", A50_RISKS_SQL)
 def a50_risk_flags(spark, sf):
     """The four data risks over the clean and the dirty table and the differences of their schemas."""
-    dirty, clean = tables.loads_dirty(spark, sf), tables.loads(spark, sf)
+    clean = tables.kept_loads(spark, sf)
+    dirty = tables.dirty_rows(clean)
     return Q.risk_flags(Q.validate_all({"dirty": dirty, "loads": clean}), Q.compare_schemas(clean, dirty))
 
 
@@ -282,7 +283,7 @@ f AS (SELECT min(load_id) AS lo, max(load_id) AS hi FROM h),
 t AS (SELECT h.* FROM h, f WHERE load_id <> lo UNION ALL SELECT h.* FROM h, f WHERE load_id = hi)"""))
 def g8_planted_change(spark, sf):
     """G8 on equal frames in another order, on nulls moved to the next column, and on a row put in another's place."""
-    h = tables.holdout(spark, sf).select("load_id", "weight", "market_index")
+    h = written(tables.holdout(spark, sf).select("load_id", "weight", "market_index"), "compared")
     moved = F.col("weight").isNull() & F.col("market_index").isNotNull()
     swapped = h.select("load_id", F.when(moved, F.col("market_index")).otherwise(F.col("weight")).alias("weight"),
                        F.when(~moved, F.col("market_index")).alias("market_index"))
