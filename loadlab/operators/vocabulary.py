@@ -15,7 +15,6 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
@@ -96,14 +95,11 @@ class SparseEncoder:
 
     def fit(self, train: DataFrame) -> SparseEncoderModel:
         cfg = self.cfg
-        built = build_features(clean_loads(train, cfg), cfg).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            weight, other, binary = classify_built(built.columns, cfg)
-            stats = numeric_statistics(built, weight, other) | {"weight": weight, "other": other, "binary": binary}
-            limit = self.min_frequency if self.min_frequency is not None else cfg.min_frequency
-            return SparseEncoderModel(cfg, stats, fit_vocabulary(built, list(cfg.categorical), limit))
-        finally:
-            built.unpersist()
+        built = written(build_features(clean_loads(train, cfg), cfg), "built")
+        weight, other, binary = classify_built(built.columns, cfg)
+        stats = numeric_statistics(built, weight, other) | {"weight": weight, "other": other, "binary": binary}
+        limit = self.min_frequency if self.min_frequency is not None else cfg.min_frequency
+        return SparseEncoderModel(cfg, stats, fit_vocabulary(built, list(cfg.categorical), limit))
 
 
 @dataclass

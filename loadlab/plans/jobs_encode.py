@@ -30,8 +30,13 @@ ENC_CTES = ("btrain AS (SELECT load_id, " + FEATURES_RAW_SQL + " FROM train),\n"
 
 
 def _fit(spark, sf):
-    train = tables.train(spark, sf)
-    return EN.FeatureEncoder().fit(train)
+    return EN.FeatureEncoder().fit(tables.train(spark, sf))
+
+
+def _kept_fit(spark, sf):
+    """The encoder of the training window and the windows, from one star join."""
+    windows = tables.kept_windows(spark, sf)
+    return EN.FeatureEncoder().fit(windows.train), windows
 
 
 @register("m1_m3_encoder_stats", oracle_clean(
@@ -85,8 +90,9 @@ def m4_sparse_slots(spark, sf):
 @register("m4_sparse_vectors")
 def m4_sparse_vectors(spark, sf):
     """M4/M6: sparse feature vectors of the holdout, as text."""
-    model = VO.SparseEncoder().fit(tables.train(spark, sf))
-    return model.transform(tables.holdout(spark, sf)).select("load_id", F.col("features").cast("string").alias("features"))
+    windows = tables.kept_windows(spark, sf)
+    model = VO.SparseEncoder().fit(windows.train)
+    return model.transform(windows.holdout).select("load_id", F.col("features").cast("string").alias("features"))
 
 
 def _processed_numeric_sql(src: str) -> str:
@@ -101,8 +107,8 @@ def _processed_numeric_sql(src: str) -> str:
 
 @register("m6_processed_numeric_holdout", oracle_clean(_processed_numeric_sql("bhold"), ENC_CTES))
 def m6_processed_numeric_holdout(spark, sf):
-    model = _fit(spark, sf)
-    out = model.transform(tables.holdout(spark, sf))
+    model, windows = _kept_fit(spark, sf)
+    out = model.transform(windows.holdout)
     return rounded(out.select("load_id", *WEIGHT, *OTHER, *BINARY))
 
 
@@ -174,8 +180,8 @@ def a42_cleaning_stats(spark, sf):
 
 @register("g3_null_counts_processed")
 def g3_null_counts_processed(spark, sf):
-    model = _fit(spark, sf)
-    out = EN.transform_guarded(model, tables.holdout(spark, sf))
+    model, windows = _kept_fit(spark, sf)
+    out = EN.transform_guarded(model, windows.holdout)
     return EN.null_counts(out, model.feature_names())
 
 
@@ -277,8 +283,8 @@ def s6_processed_matrix_write(spark, sf):
     """The processed holdout matrix (with id and target) as parquet partitioned by month; read back."""
     from loadlab.functions.features import month_label
     from loadlab.sources import files
-    model = _fit(spark, sf)
+    model, windows = _kept_fit(spark, sf)
     keep = ["load_id", "posted_rate", "month"]
-    out = model.copy({model.keepColumns: keep}).transform(tables.holdout(spark, sf).withColumn("month", month_label("date")))
+    out = model.copy({model.keepColumns: keep}).transform(windows.holdout.withColumn("month", month_label("date")))
     path = files.write_parquet(out, files.scratch_path(spark, "processed"), ["month"])
     return spark.read.parquet(path).groupBy("month").agg(F.count(F.lit(1)).alias("rows"))
