@@ -48,17 +48,26 @@ seg AS (SELECT segment, value, count(*) AS rows, avg(absolute_error) AS MAE, avg
   WHERE value IS NOT NULL GROUP BY segment, value)"""
 
 
-def _errors(spark, sf):
-    windows = tables.kept_windows(spark, sf)
+# What the by-equipment rates are fitted on and predict from.
+RATE_COLUMNS = ("equipment", "distance", "posted_rate")
+
+
+def _errors(spark, sf, *columns):
+    """The error frame of the holdout; ``columns`` of the loads beside the date and those of the rates."""
+    windows = tables.kept_columns(spark, sf, RATE_COLUMNS, (*RATE_COLUMNS, *columns))
     model = fit_rate_per_mile(windows.train, "equipment")
     scored = model.transform(windows.holdout, "p0")
     scored = scored.withColumn("predicted", floor_predictions("p0", 1.0)).drop("p0")
     return ER.error_frame(scored)
 
 
-def _written_errors(spark, sf):
-    """The error frame, written once for jobs that read it several times."""
-    return written(_errors(spark, sf), "errors")
+def _written_errors(spark, sf, *columns):
+    """Columns of the error frame, written once for jobs that read them several times."""
+    return written(_errors(spark, sf, *[c for c in columns if c in tables.LOADS_COLUMNS]).select(*columns), "errors")
+
+
+def _segments(spark, sf):
+    return ER.segment_table(_errors(spark, sf, "weight", "pickup", "delivery"))
 
 
 @register("f17_error_frame", oracle("""
@@ -66,7 +75,7 @@ SELECT load_id, round(predicted, 6) AS predicted, round(residual, 6) AS residual
   round(percentage_error, 6) AS percentage_error, round(absolute_percentage_error, 6) AS absolute_percentage_error,
   month, day_of_week, distance_band, weight_band, prediction_quintile FROM errs""", ERR_CTES))
 def f17_error_frame(spark, sf):
-    e = _errors(spark, sf)
+    e = _errors(spark, sf, "load_id", "weight")
     return rounded(e.select("load_id", "predicted", "residual", "absolute_error", "percentage_error",
                             "absolute_percentage_error", "month", "day_of_week", "distance_band", "weight_band",
                             "prediction_quintile"))
@@ -79,7 +88,7 @@ SELECT segment, value, rows, round(MAE, 6) AS MAE, round(MAPE, 6) AS MAPE, round
   WHERE segment NOT IN ('pickup', 'delivery') OR rows >= 30)
 WHERE segment NOT IN ('pickup', 'delivery') OR rank <= 15""", ERR_CTES))
 def a31_segment_report(spark, sf):
-    return rounded(ER.segment_report(ER.segment_table(_errors(spark, sf))))
+    return rounded(ER.segment_report(_segments(spark, sf)))
 
 
 @register("t6_segment_order", oracle("""
@@ -90,7 +99,7 @@ SELECT segment, value, rows, cast(order_index AS INTEGER) AS order_index FROM se
   UNION ALL SELECT 'prediction_quintile', unnest(['Q1','Q2','Q3','Q4','Q5']), unnest(range(0, 5))) d
 ON seg.segment = d.s AND seg.value = d.v""", ERR_CTES))
 def t6_segment_order(spark, sf):
-    return ER.segment_order(ER.segment_table(_errors(spark, sf))).select("segment", "value", "rows", "order_index")
+    return ER.segment_order(_segments(spark, sf)).select("segment", "value", "rows", "order_index")
 
 
 @register("a34_worst_best", oracle("""
@@ -98,7 +107,7 @@ SELECT segment, arg_max(value, (MAE, value)) AS worst_value, round(max(MAE), 6)
   arg_min(value, (MAE, value)) AS best_value, round(min(MAE), 6) AS best_mae, round(max(MAE) / min(MAE), 6) AS mae_ratio
 FROM seg GROUP BY segment""", ERR_CTES))
 def a34_worst_best(spark, sf):
-    return rounded(ER.worst_best(ER.segment_table(_errors(spark, sf))))
+    return rounded(ER.worst_best(_segments(spark, sf)))
 
 
 @register("a33_error_headline", oracle("""
@@ -107,7 +116,7 @@ SELECT round(avg(absolute_error), 6) AS mae, round(quantile_cont(absolute_error,
   round(max(absolute_error), 6) AS max_abs_error, round(avg(absolute_percentage_error), 6) AS mape,
   round(avg(residual), 6) AS bias, round(quantile_cont(residual, 0.5), 6) AS median_residual FROM errs""", ERR_CTES))
 def a33_error_headline(spark, sf):
-    return rounded(ER.headline(_written_errors(spark, sf)))
+    return rounded(ER.headline(_written_errors(spark, sf, "absolute_error", "absolute_percentage_error", "residual")))
 
 
 @register("a32_residual_diagnostics", oracle("""
@@ -123,7 +132,7 @@ FROM (SELECT avg(residual) AS m, quantile_cont(residual, 0.5) AS med, stddev_sam
       FROM (SELECT absolute_error, row_number() OVER (ORDER BY absolute_error DESC) AS rn, count(*) OVER () AS cnt FROM errs))""",
                                                ERR_CTES))
 def a32_residual_diagnostics(spark, sf):
-    return rounded(ER.diagnose(_written_errors(spark, sf)))
+    return rounded(ER.diagnose(_written_errors(spark, sf, "load_id", "predicted", "residual", "absolute_error", "prediction_quintile")))
 
 
 @register("w5_worst_share", oracle("""
@@ -131,7 +140,7 @@ SELECT round(100.0 * sum(absolute_error) FILTER (WHERE rn <= k) / sum(absolute_e
 FROM (SELECT absolute_error, row_number() OVER (ORDER BY absolute_error DESC) AS rn,
         cast(greatest(1, round_even(0.01 * count(*) OVER (), 0)) AS INTEGER) AS k FROM errs)""", ERR_CTES))
 def w5_worst_share(spark, sf):
-    return rounded(ER.worst_share(_written_errors(spark, sf)))
+    return rounded(ER.worst_share(_written_errors(spark, sf, "load_id", "absolute_error")))
 
 
 @register("t1_worst_rows", oracle("""
@@ -141,14 +150,14 @@ SELECT load_id, pickup, delivery, equipment, round(distance, 6) AS distance, rou
   round(absolute_percentage_error, 6) AS absolute_percentage_error
 FROM errs ORDER BY absolute_error DESC, load_id LIMIT 20""", ERR_CTES))
 def t1_worst_rows(spark, sf):
-    return rounded(ER.worst_rows(_errors(spark, sf)))
+    return rounded(ER.worst_rows(_errors(spark, sf, "load_id", "pickup", "delivery", "weight", "market_index")))
 
 
 @register("t5_representative_rows", oracle("""
 SELECT arg_min(load_id, (abs(residual), load_id)) AS typical, arg_min(load_id, (-residual, load_id)) AS worst_underprediction,
   arg_min(load_id, (residual, load_id)) AS worst_overprediction FROM errs""", ERR_CTES))
 def t5_representative_rows(spark, sf):
-    return ER.representative_rows(_errors(spark, sf))
+    return ER.representative_rows(_errors(spark, sf, "load_id"))
 
 
 @register("w4_rolling_median_distance", oracle("""
@@ -159,9 +168,9 @@ SELECT load_id, round(distance, 6) AS distance, round(residual, 6) AS residual,
   FROM (SELECT *, greatest(50, (SELECT count(*) FROM errs) // 40) AS w FROM errs)
   WINDOW f AS (ORDER BY distance, load_id ROWS BETWEEN w // 2 PRECEDING AND (w - 1) // 2 FOLLOWING))""", ERR_CTES))
 def w4_rolling_median_distance(spark, sf):
-    return rounded(ER.rolling_median(_written_errors(spark, sf), "distance"))
+    return rounded(ER.rolling_median(_written_errors(spark, sf, "load_id", "distance", "residual"), "distance"))
 
 
 @register("w6_qq_points")
 def w6_qq_points(spark, sf):
-    return rounded(ER.qq_points(_written_errors(spark, sf)))
+    return rounded(ER.qq_points(_written_errors(spark, sf, "load_id", "residual")))

@@ -103,7 +103,8 @@ def j8_split_overlap(spark, sf):
 holdout AS (SELECT *, 1 AS k FROM loads WHERE date >= DATE '2000-07-01' AND date < DATE '2001-01-01'),"""
     + BASELINE_PRED_SQL.format(k="k", train="train", test="holdout")))
 def m9_baseline_holdout_table(spark, sf):
-    windows = tables.kept_windows(spark, sf)
+    columns = ("equipment", "distance", "posted_rate")
+    windows = tables.kept_columns(spark, sf, columns, columns)
     return rounded(EV.holdout_table(windows.train, windows.holdout))
 
 

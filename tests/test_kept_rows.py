@@ -1,6 +1,7 @@
 """Jobs that read the loads more than once join them once; what the encoder knows of constant columns; bracket counts."""
 
 import datetime as dt
+import itertools
 
 import numpy as np
 import pytest
@@ -125,3 +126,49 @@ def test_no_task_merges_the_sketches_of_all_columns(spark):
         patch.undo()
     assert found == {"x": [1999.5], "y": [4.5]}
     assert not [a for call in seen for a in call if "percentile_approx" in str(a)]
+
+
+def test_columns_of_training_rows(spark, joined):
+    """The columns that only the holdout needs are null where training rows are written, and both windows hold their rows."""
+    own = ("equipment", "distance", "posted_rate")
+    kept = tables.kept_columns(spark, "own rows", own, (*own, "load_id", "weight"))
+    for name, columns in (("train", ("distance", "equipment", "date", "posted_rate")), ("holdout", (*own, "load_id", "weight"))):
+        plain, rows = getattr(tables, name)(spark, "own rows").select(*columns), getattr(kept, name).select(*columns)
+        assert rows.exceptAll(plain).isEmpty() and plain.exceptAll(rows).isEmpty()
+    assert set(kept.train.columns) == {*own, "date"}
+    assert kept.rows.filter("date < '2000-07-01' AND (load_id IS NOT NULL OR weight IS NOT NULL)").isEmpty()
+    with pytest.raises(ValueError, match="some columns"):
+        kept.development
+    with pytest.raises(KeyError, match="nothing"):
+        tables.kept_columns(spark, "own rows", own, (*own, "nothing"))
+
+
+def test_lines_are_not_shuffled_by_customer(spark, tmp_path):
+    """The star join joins customers to orders, and gives the rows of the fixed text, null and repeated keys too."""
+    day = dt.datetime(2000, 3, 1)
+    frames = {
+        "nation": ("n_nationkey int, n_name string", [(0, "A"), (5, "F"), (5, "G")]),
+        "customer": ("c_custkey long, c_nationkey int, c_acctbal double", [(1, 0, 10.0), (2, 5, -20.0), (2, 5, 7.0), (None, 0, 1.0), (3, 9, 1.0)]),
+        "supplier": ("s_suppkey long, s_nationkey int", [(13, 0), (7, 5), (None, 0)]),
+        "part": ("p_partkey long, p_retailprice double", [(160, 900.0), (2, 950.0), (2, 960.0), (None, 1.0)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderdate timestamp", [(1, 1, day), (2, 2, day), (2, 1, day), (None, 1, day), (3, None, day), (128, 3, day), (256, 2, None)]),
+        "lineitem": ("l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate timestamp, l_quantity double, l_returnflag string, l_discount double, l_tax double",
+                     [(k, 7 if k == 2 else 1, p, s, day, 5.0, flag, 0.05, 0.01) for k in (1, 2, 3, 128, 256, None) for p in (160, 2, None) for s in (13, 7) for flag in ("A", "N")]),
+    }
+    for name, (schema, rows) in frames.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    plain = spark.sql(tables.LOADS_TEMPLATE, **tables.driver_tables(spark, str(tmp_path), tuple(frames)))
+    own = tables.loads(spark, str(tmp_path))
+    assert own.columns == plain.columns == list(tables.LOADS_COLUMNS)
+    assert plain.count() > 20 and own.exceptAll(plain).isEmpty() and plain.exceptAll(own).isEmpty()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = tables.loads(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    at = next(i for i, line in enumerate(lines) if "hashpartitioning(o_custkey" in line)
+    under = itertools.takewhile(lambda line: depth(line) > depth(lines[at]), lines[at + 1:])
+    assert not [line for line in under if "l_orderkey" in line]
