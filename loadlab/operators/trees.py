@@ -11,7 +11,8 @@ product over its path's features of ``o`` (known: 1 where the row's value lies i
 known.  With ``k! (d-1-k)! / d!`` written as the integral of ``u^k (1-u)^(d-1-k)`` over [0, 1], the sum over subset
 sizes is the integral of the product of ``z_j (1-u) + o_j u`` over the other features, a polynomial of
 degree d - 1: Gauss-Legendre with ceil(d / 2) points is exact, and each factor is positive, so leaving a
-feature out is a division.  Attributions of a row and the base value sum to the model's raw output.
+feature out is a division.  A row meets a leaf with one of 2^d patterns of ``o``, so a task computes these once for each
+leaf of a tree with short paths and looks them up.  Attributions of a row and the base value sum to the model's raw output.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,8 @@ from loadlab.operators.splits import with_position
 from loadlab.session import checkpoint_dir
 
 CHUNK = 200
-ROWS = 1024
+ROWS = 256
+SHORT = 8  # longest paths (in distinct features) whose leaves' attributions are tabled by pattern
 
 
 def node_table(spark: SparkSession, regressor) -> DataFrame:
@@ -113,15 +116,30 @@ class Tree:
             goes_left = x[rows, np.maximum(f, 0)] <= self.threshold[at]
             at = np.where(inner, np.where(goes_left, self.left[at], self.right[at]), at)
 
+    def _leaf_attributions(self, inside: np.ndarray) -> np.ndarray:
+        """Attributions of each leaf's slots (... x leaves x slots) where ``inside`` says which of its intervals hold the values."""
+        total = np.zeros(inside.shape)
+        for u, w in zip(self.points, self.point_weights, strict=True):
+            factor = self.share * (1 - u) + inside * u
+            total += w * factor.prod(-1)[..., None] / factor
+        return total * ((inside - self.share) * self.leaf_value[:, None])
+
+    @cached_property
+    def _by_pattern(self) -> np.ndarray:
+        """``_leaf_attributions`` of every pattern of held intervals (bit j: slot j), for short paths."""
+        d = self.slot.shape[1]
+        bits = (np.arange(2 ** d)[:, None] >> np.arange(d)) & 1
+        return self._leaf_attributions(np.repeat(bits[:, None, :].astype(float), len(self.slot), axis=1)).reshape(-1, d)
+
     def add_attributions(self, x: np.ndarray, out: np.ndarray) -> None:
         """Add each row's attributions (rows x features) to ``out``."""
+        n, d = self.slot.shape
         own = x[:, self.slot]
-        inside = ((own > self.low) & (own <= self.high)).astype(float)
-        total = np.zeros_like(inside)
-        for u, w in zip(self.points, self.point_weights, strict=True):
-            factor = self.share * (1 - u) + inside * u
-            total += w * factor.prod(2)[:, :, None] / factor
-        total *= (inside - self.share) * self.leaf_value[:, None]
+        inside = (own > self.low) & (own <= self.high)
+        if d <= SHORT:
+            total = self._by_pattern[(inside @ (1 << np.arange(d))) * n + np.arange(n)]
+        else:
+            total = self._leaf_attributions(inside.astype(float))
         out[:, self.used] += np.add.reduceat(total.reshape(len(x), -1)[:, self.order], self.starts, axis=1)
 
 

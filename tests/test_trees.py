@@ -94,3 +94,21 @@ def test_permutation_importance_of_trees_equals_scoring_copies(spark, sf001, gbt
         assert abs(touched[name].permutation_importance - r.permutation_importance) < 1e-12, name
         assert abs(touched[name].permutation_std - r.permutation_std) < 1e-12, name
     assert sum(r.permutation_importance != 0 for r in copies.values()) > 3
+
+
+def test_tabled_attributions_equal_computed_ones(monkeypatch):
+    rng = np.random.default_rng(11)
+    inner, n = 31, 63
+    feature = np.where(np.arange(n) < inner, rng.integers(0, 7, n), -1)
+    left, right = (np.where(feature >= 0, 2 * np.arange(n) + k, 0) for k in (1, 2))
+    cover = np.where(feature < 0, rng.integers(1, 50, n), 0).astype(float)
+    for k in range(inner - 1, -1, -1):
+        cover[k] = cover[left[k]] + cover[right[k]]
+    tree = TR.Tree(0.5, rng.normal(size=n), feature, rng.normal(size=n), left, right, cover)
+    x = rng.normal(size=(600, 7))
+    computed, calls = TR.Tree._leaf_attributions, []
+    monkeypatch.setattr(TR.Tree, "_leaf_attributions", lambda self, inside: calls.append(len(inside)) or computed(self, inside))
+    tabled = TR.attributions([tree], x)
+    assert calls == [2 ** tree.slot.shape[1]]  # once, whatever the number of rows
+    monkeypatch.setattr(TR, "SHORT", 0)
+    assert np.array_equal(tabled, TR.attributions([tree], x))
