@@ -10,6 +10,7 @@ import __spark_entry__ as E
 from loadlab.operators import encode as EN
 from loadlab.operators import models as MO
 from loadlab.operators import quantiles
+from loadlab.operators.lookup import written
 from loadlab.sources import tables
 
 COLUMNS = ("load_id string, pickup string, delivery string, pickup_lat double, pickup_lon double, delivery_lat double, delivery_lon double, "
@@ -79,6 +80,39 @@ def test_constant_columns_are_not_cached(spark, joined):
         assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
 
 
+def test_training_rows_are_predicted_from_written_vectors(spark, joined, monkeypatch):
+    spec = MO.default_specs()[2]
+    windows = tables.kept_windows(spark, "own rows")
+    model = MO.fit(spec, windows.train)
+    plain = sorted(tuple(r) for r in model.predict(windows.train, "p").select("posted_rate", "p").collect())
+    choice = MO.smearing_decision(model, windows.train, windows.holdout).first()
+    built = tables.Windows(MO.built_rows(spec, windows.development))
+    again = MO.fit(spec, None, built=built.train)
+    assert again.feature_names == model.feature_names
+    monkeypatch.setattr(EN.FeatureEncoderModel, "encode", lambda *a: pytest.fail("training rows were encoded again"))
+    for m in (model, again):
+        assert np.allclose(sorted(tuple(r) for r in m.predict_training("p").collect()), plain, rtol=1e-10)
+    monkeypatch.undo()
+    assert np.allclose(MO.smearing_decision(again, None, windows.holdout).first(), choice, rtol=1e-9)
+
+
+def test_rows_of_tree_fits_make_full_waves(spark, monkeypatch):
+    df = spark.range(4000).selectExpr("id", f"cast(hash(id) % 1000 as double) as {MO.LABEL}").repartition(3)
+    rows = written(df, "rows", 50)
+    key = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(key, None)
+    with MO.spread(rows, 2) as passes:
+        assert passes.exceptAll(rows).isEmpty() and rows.exceptAll(passes).isEmpty()
+        parts = passes.select(MO.LABEL).rdd.glom().map(lambda p: [r[0] for r in p]).collect()
+    assert spark.conf.get(key, None) == before
+    assert len(parts) == 2 * MO.WAVES and max(map(len, parts)) <= 1.5 * min(map(len, parts))
+    falls = sum(b < a for p in parts for a, b in itertools.pairwise(p))
+    assert falls <= 4 * MO.SPLITS * MO.WAVES  # a few sorted runs a partition
+    few = rows.coalesce(2)
+    with MO.spread(few, 2) as passes:
+        assert passes is few
+
+
 def test_bracket_counts_of_repeated_and_missing_values(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "ACCURACY", 100)
     rng = np.random.default_rng(3)
