@@ -91,12 +91,12 @@ def test_training_rows_are_predicted_from_written_vectors(spark, joined, monkeyp
     assert again.feature_names == model.feature_names
     monkeypatch.setattr(EN.FeatureEncoderModel, "encode", lambda *a: pytest.fail("training rows were encoded again"))
     for m in (model, again):
-        assert np.allclose(sorted(tuple(r) for r in m.predict_training("p").collect()), plain, rtol=1e-10)
+        assert np.allclose(sorted(tuple(r) for r in m.predict_training("posted_rate", "p").collect()), plain, rtol=1e-10)
     monkeypatch.undo()
     assert np.allclose(MO.smearing_decision(again, None, windows.holdout).first(), choice, rtol=1e-9)
 
 
-def test_rows_of_tree_fits_make_full_waves(spark, monkeypatch):
+def test_rows_of_tree_fits_make_full_waves(spark):
     df = spark.range(4000).selectExpr("id", f"cast(hash(id) % 1000 as double) as {MO.LABEL}").repartition(3)
     rows = written(df, "rows", 50)
     key = "spark.sql.files.minPartitionNum"
@@ -113,6 +113,19 @@ def test_rows_of_tree_fits_make_full_waves(spark, monkeypatch):
         assert passes is few
 
 
+def test_large_tree_fits_read_short_files_and_small_ones_do_not(spark, joined, monkeypatch):
+    train = tables.train(spark, "own rows")
+    spec = MO.default_specs()[3]
+    with MO.prepared(spec, train) as p:
+        assert p.passes is p.rows
+        small = len(p.rows.inputFiles())
+    monkeypatch.setattr(MO, "FILE_ROWS", 2)
+    with MO.prepared(spec, train) as p:
+        assert p.passes is not p.rows and len(p.rows.inputFiles()) > small
+        model = p.fit(spec, {"numTrees": 2, "maxDepth": 2})
+    assert model.predict_training("posted_rate").count() == train.count()
+
+
 def test_bracket_counts_of_repeated_and_missing_values(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "ACCURACY", 100)
     rng = np.random.default_rng(3)
