@@ -132,7 +132,7 @@ FROM (SELECT avg(residual) AS m, quantile_cont(residual, 0.5) AS med, stddev_sam
       FROM (SELECT absolute_error, row_number() OVER (ORDER BY absolute_error DESC) AS rn, count(*) OVER () AS cnt FROM errs))""",
                                                ERR_CTES))
 def a32_residual_diagnostics(spark, sf):
-    return rounded(ER.diagnose(_written_errors(spark, sf, "load_id", "predicted", "residual", "absolute_error", "prediction_quintile")))
+    return rounded(ER.diagnose(_written_errors(spark, sf, "predicted", "residual", "absolute_error", "prediction_quintile")))
 
 
 @register("w5_worst_share", oracle("""
@@ -140,7 +140,7 @@ SELECT round(100.0 * sum(absolute_error) FILTER (WHERE rn <= k) / sum(absolute_e
 FROM (SELECT absolute_error, row_number() OVER (ORDER BY absolute_error DESC) AS rn,
         cast(greatest(1, round_even(0.01 * count(*) OVER (), 0)) AS INTEGER) AS k FROM errs)""", ERR_CTES))
 def w5_worst_share(spark, sf):
-    return rounded(ER.worst_share(_written_errors(spark, sf, "load_id", "absolute_error")))
+    return rounded(ER.worst_share(_written_errors(spark, sf, "absolute_error")))
 
 
 @register("t1_worst_rows", oracle("""
