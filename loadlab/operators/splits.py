@@ -6,7 +6,7 @@ Global order without a global window: rows are range-partitioned on
 across many tasks - sorted within partitions, and numbered by
 ``partition offset + index in partition``. The offsets come from a table with
 one row per partition (bounded by the partition count, so broadcast). The
-numbered frame is checkpointed to the shared folder so a lost executor cannot
+numbered frame is written to the shared folder so a lost executor cannot
 renumber rows between the offset job and its users.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlab.config import DEFAULT, JobConfig
-from loadlab.session import checkpoint_dir
+from loadlab.operators.lookup import written
 
 
 def temporal_split(df: DataFrame, cfg: JobConfig = DEFAULT, boundary=None) -> DataFrame:
@@ -56,21 +56,20 @@ def assert_split_valid(split_df: DataFrame, cfg: JobConfig = DEFAULT) -> dict:
 
 def with_position(df: DataFrame, cfg: JobConfig = DEFAULT, n_partitions: int | None = None) -> DataFrame:
     """0-based position in (date, id) order, computed without a global window."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (df.repartitionByRange(n, cfg.date_column, cfg.id_column)
                .sortWithinPartitions(cfg.date_column, cfg.id_column)
                .withColumn("__pid", F.spark_partition_id())
                .withColumn("__mid", F.monotonically_increasing_id()))
-    ordered = ordered.withColumn("__idx", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33))
-    ordered = ordered.checkpoint(eager=True)
+    ordered = ordered.withColumn("__idx", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)).drop("__mid")
+    # Parquet: a checkpoint of the same rows is several times as large (rows as they lie in memory, not compressed).
+    ordered = written(ordered, "ordered")
     sizes = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # One row per partition: a window over it is a small, single-task job by design.
     offsets = sizes.withColumn("__off", F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)))
     offsets = F.broadcast(offsets.select("__pid", F.coalesce("__off", F.lit(0)).alias("__off")))
     return (ordered.join(offsets, "__pid").withColumn("position", F.col("__off") + F.col("__idx"))
-            .drop("__pid", "__mid", "__idx", "__off"))
+            .drop("__pid", "__idx", "__off"))
 
 
 def fold_bounds(n: int, k: int) -> list[tuple[int, int, int]]:
