@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from loadlab.config import PERMUTATION_REPEATS, JobConfig
 from loadlab.operators.models import FittedModel
-from loadlab.operators.splits import with_position
+from loadlab.operators.permute import columns_of, held_features, importance_of, matrix, permuted_pairs
 from loadlab.session import checkpoint_dir
 
 CHUNK = 200
@@ -253,44 +253,34 @@ def permutation_importance_trees(model: FittedModel, df: DataFrame, cfg: JobConf
     trees, names = _model_trees(model), model.feature_names
     splitting = {i: [k for k, t in enumerate(trees) if i in t.features] for i in range(len(names))}
     touched = sorted(i for i, ks in splitting.items() if ks)
-    encoded = model.pipeline.stages[0].transform(df)
-    y = F.col(cfg.target).cast("double")
-    label = F.ln(y) if model.spec.target_transform == "log" else y
-    base = encoded.select(cfg.id_column, *names, label.alias("__y"))
-    pos = with_position(base, JobConfig(date_column=cfg.id_column, id_column=cfg.id_column))
     used = [names[i] for i in touched]
+    held = held_features(model)
 
     def errors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, plain, changed = 0, 0.0, np.zeros(len(touched))
         for b in batches:
             y = b.column("__y").to_numpy(zero_copy_only=False)
-            x, donor = _matrix(b, names), _matrix(b, [f"__p_{i}" for i in touched]) if touched else None
+            x, donor = (matrix(columns_of(b, p, held), held, len(names)) for p in "od")
             own = [t.output(x) for t in trees]
             raw = np.sum(own, axis=0)
             n, plain = n + len(y), plain + np.abs(y - raw).sum()
             for j, i in enumerate(touched):
                 kept = x[:, i].copy()
-                x[:, i] = donor[:, j]
-                again = raw + sum(trees[k].output(x) - own[k] for k in splitting[i])
+                x[:, i] = donor[:, i]
+                at = np.nonzero(x[:, i] != kept)[0]  # rows that borrow the value they have keep their error
+                again = raw[at] + sum(trees[k].output(x[at]) - own[k][at] for k in splitting[i])
                 x[:, i] = kept
-                changed[j] += np.abs(y - again).sum()
+                changed[j] += (np.abs(y[at] - again) - np.abs(y[at] - raw[at])).sum()
         if n:
-            yield pa.RecordBatch.from_pydict({"feature": used, "n": [n] * len(used), "gain": (changed - plain).tolist()},
+            if np.isnan(plain):  # no increase without the errors of all rows
+                changed[:] = np.nan
+            yield pa.RecordBatch.from_pydict({"feature": used, "n": [n] * len(used), "gain": changed.tolist()},
                                              pa.schema([("feature", pa.string()), ("n", pa.int64()), ("gain", pa.float64())]))
 
-    parts = []
-    for r in range(repeats):
-        key = F.xxhash64(F.col(cfg.id_column), F.lit(seed), F.lit(r))
-        perm = with_position(pos.select(cfg.id_column, *used).withColumn("__h", key), JobConfig(date_column="__h", id_column=cfg.id_column))
-        donor = perm.select("position", *[F.col(names[i]).alias(f"__p_{i}") for i in touched])
-        rows = pos.join(donor, "position").drop("position", cfg.id_column)
+    increases = []
+    for r, rows in enumerate(permuted_pairs(model, df, cfg, repeats, seed) if touched else ()):
         sums = rows.mapInArrow(errors, "feature string, n long, gain double").groupBy("feature").agg(F.sum("gain").alias("gain"), F.sum("n").alias("n"))
-        parts.append(sums.select(F.lit(r).alias("repeat"), "feature", (F.col("gain") / F.col("n")).alias("increase")))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
+        increases += [(r, f["feature"], f["gain"] / f["n"]) for f in sums.collect()]
     # Features that no tree splits on change no prediction.
-    rest = [n for n in [*names, *model.constant_features] if n not in set(used)]
-    if rest:
-        every = every.unionByName(every.sparkSession.createDataFrame([(0, n, 0.0) for n in rest], "repeat int, feature string, increase double"))
-    return every.groupBy("feature").agg(F.avg("increase").alias("permutation_importance"), F.stddev_pop("increase").alias("permutation_std"))
+    increases += [(0, n, 0.0) for n in [*names, *model.constant_features] if n not in set(used)]
+    return importance_of(increases, df.sparkSession)

@@ -20,7 +20,7 @@ def test_distinct_values_and_repeated_ids_come_from_one_count(frame):
         values = [r[i] for r in ROWS if r[i] is not None]
         one = frame.select(F.count_distinct(c), F.count_distinct(F.lower(c))).first()
         assert (found[c].n, found[c].lower) == tuple(one)
-        assert found[c].repeated == sum(values.count(v) for v in values if values.count(v) > 1)
+        assert found[c].repeated == sum(values.count(v) for v in {*values} if values.count(v) > 1)
     issues = {r.issue_type: r for r in Q.validate(frame, "own").collect() if r.issue_type.startswith("duplicate")}
     plain = Q.duplicate_ids(frame).first()
     assert issues["duplicate_ids"].n_bad == plain.missing_ids + plain.dup_id_rows and issues["duplicate_ids"].n_total == len(ROWS)
