@@ -7,10 +7,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loadlab.functions.cleaning import clean_loads
+from loadlab.functions.features import build_features
 from loadlab.operators import encode as EN
 from loadlab.operators import vocabulary as VO
+from loadlab.operators.lookup import written
 from loadlab.plans.common import FEATURES_RAW_SQL, oracle, oracle_clean, rounded
 from loadlab.plans.registry import register
+from loadlab.session import small_methods
 from loadlab.sources import tables
 
 WEIGHT = ["weight"]
@@ -247,6 +250,10 @@ SELECT '{name}' AS matrix, count(*) AS n_rows, {1 + len(WEIGHT + OTHER + BINARY)
 FROM {src} b, med, scl"""
 
 
+def _with_key(model, frame, key):
+    return model.copy({model.keepColumns: [key]}).transform(frame)
+
+
 @register("s6_processed_matrices", oracle_clean("\nUNION ALL\n".join([
     _matrix_sql("train", "btrain", "(SELECT round(sum(posted_rate), 4) FROM train)"),
     _matrix_sql("holdout", "bhold", "cast(count(DISTINCT load_id) AS double)"),
@@ -257,18 +264,20 @@ def s6_processed_matrices(spark, sf):
     (J10: target, id, date), and read back."""
     from loadlab.operators import inference as INF
     from loadlab.sources import files
-    model = _fit(spark, sf)
-    scoring = tables.scoring(spark, sf)
+    # One star join for the encoder, the matrices and the lookups; the training rows' features are built once.
+    windows = tables.kept_windows(spark, sf, scoring=True)
+    built = written(build_features(clean_loads(windows.train), keep=("posted_rate",)), "built")
+    model = EN.FeatureEncoder().fit_built(built.drop("posted_rate"))
     scenario = INF.enrich(INF.scenario(spark).drop("predicted_rate"),
-                          INF.city_coordinates(tables.development(spark, sf), scoring), INF.daily_market(scoring))
+                          INF.city_coordinates(windows.development, windows.scoring), INF.daily_market(windows.scoring))
     total = F.round(F.sum("posted_rate"), 4)
-    frames = {"train": (tables.train(spark, sf), "posted_rate", total),
-              "holdout": (tables.holdout(spark, sf), "load_id", F.count_distinct("load_id").cast("double")),
-              "scenario": (scenario, "date", F.count_distinct("date").cast("double"))}
+    frames = {"train": (model.encode(built, ["posted_rate"]), total),
+              "holdout": (_with_key(model, windows.holdout, "load_id"), F.count_distinct("load_id").cast("double")),
+              "scenario": (_with_key(model, scenario, "date"), F.count_distinct("date").cast("double"))}
     out = None
-    for name, (frame, key, value) in frames.items():
-        matrix = model.copy({model.keepColumns: [key]}).transform(frame)
-        back = spark.read.parquet(files.write_parquet(matrix, files.scratch_path(spark, name)))
+    for name, (matrix, value) in frames.items():
+        with small_methods(spark):
+            back = spark.read.parquet(files.write_parquet(matrix, files.scratch_path(spark, name)))
         one = back.agg(F.count(F.lit(1)).alias("n_rows"), value.alias("key_value"),
                        F.round(F.sum(F.abs("weight")), 4).alias("weights"), F.round(F.sum(F.abs("distance")), 4).alias("distances"))
         one = one.select(F.lit(name).alias("matrix"), "*", F.lit(len(back.columns)).cast("long").alias("n_columns"))

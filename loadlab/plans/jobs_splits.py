@@ -142,8 +142,9 @@ hhold AS (SELECT *, 1 AS k FROM loads WHERE date >= DATE '2000-07-01' AND date <
     .replace("JOIN st ON", "JOIN hst st ON").replace("JOIN gr ON", "JOIN hgr gr ON").replace("FROM jt", "FROM hjt")
     .replace("FROM preds", "FROM hpreds")))
 def t4_j12_baseline_ranking(spark, sf):
-    hold = EV.holdout_table(tables.train(spark, sf), tables.holdout(spark, sf))
-    cv = rounded(EV.cv_summary(EV.cv_fold_metrics(_dev(spark, sf))))
+    windows = tables.kept_columns(spark, sf, EV.COLUMNS, EV.COLUMNS)  # one star join, for both
+    hold = EV.holdout_table(windows.train, windows.holdout)
+    cv = rounded(EV.cv_summary(EV.cv_fold_metrics(windows.rows)))
     table = EV.improvement_vs(rounded(hold), "Mean (constant)")
     from pyspark.sql import Window
     ranked = table.join(cv, "model", "left").withColumn("rank", F.row_number().over(Window.orderBy("mae", "model")))
